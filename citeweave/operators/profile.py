@@ -2,8 +2,9 @@
 
 Paths: an object key appends ``.key``, an array element appends ``[]``; the root path is ''.
 An empty object or array yields nothing; JSON null is a leaf. Leaves are found level by level
-with ``LATERAL variant_explode``; the number of levels comes from one ``schema_of_variant_agg``
-over the data (a schema string, metadata-sized), so the plan is built once with a fixed depth.
+with ``LATERAL variant_explode_outer``; the number of levels comes from one aggregation of the
+deepest bracket nesting over the data (a single number), so the plan is built once with a fixed
+depth.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from citeweave.functions.numeric import is_float32, is_integral, narrowest_type
 from citeweave.schemas import MAX_ENUM_VALUES
+from citeweave.session import ensure_checkpoint_dir
 
 
 def parse_documents(df: DataFrame, json_col: str, strict: bool = True) -> DataFrame:
@@ -23,42 +25,51 @@ def parse_documents(df: DataFrame, json_col: str, strict: bool = True) -> DataFr
             .where(F.col("v").isNotNull()))
 
 
-def nesting_depth(schema: str) -> int:
-    """Deepest container nesting in a ``schema_of_variant`` string (OBJECT<..>/ARRAY<..>)."""
-    depth = best = 0
-    for ch in schema:
-        if ch == "<":
-            depth += 1
-            best = max(best, depth)
-        elif ch == ">":
-            depth -= 1
-    return best
+def container_depth(json_text: Column) -> Column:
+    """Deepest nesting of objects/arrays in a JSON text (0 for a scalar), as a JVM expression.
+
+    String literals are removed first (so brackets inside strings do not count); the running
+    count of opening minus closing brackets is then folded with ``aggregate`` and its maximum kept.
+    """
+    no_strings = F.regexp_replace(json_text, r'"(?:[^"\\]|\\.)*"', "")
+    brackets = F.regexp_replace(no_strings, r"[^\[\]{}]", "")
+    return F.aggregate(
+        F.split(brackets, ""),
+        F.struct(F.lit(0).alias("c"), F.lit(0).alias("m")),
+        lambda acc, ch: F.struct(
+            (acc["c"] + F.when(ch.isin("[", "{"), 1).otherwise(-1)).alias("c"),
+            F.greatest(acc["m"], acc["c"] + F.when(ch.isin("[", "{"), 1).otherwise(-1))
+            .alias("m")),
+        lambda acc: acc["m"])
 
 
-def _is_container(v: Column) -> Column:
-    kind = F.schema_of_variant(v)
-    return kind.startswith("OBJECT") | kind.startswith("ARRAY")
+def max_depth(docs: DataFrame, variant_col: str = "v") -> int:
+    """Deepest container nesting over all documents: one aggregation, a single number back."""
+    row = docs.agg(F.max(container_depth(F.to_json(F.col(variant_col)))).alias("d")).first()
+    return int(row["d"] or 0) if row else 0
 
 
 def json_leaves(docs: DataFrame, variant_col: str = "v") -> DataFrame:
-    """(path, value) for every leaf of every document; ``value`` is a VARIANT."""
+    """(path, value) for every leaf of every document; ``value`` is a VARIANT.
+
+    Each level replaces every container by its children and passes leaves through unchanged
+    (``variant_explode_outer`` yields one all-NULL row for a scalar, which keeps it); an empty
+    object or array yields nothing. After ``depth`` levels only leaves remain, so the plan is one
+    linear chain of generators: every value is copied once per level it sits below, with no
+    union of per-level branches recomputing the chain.
+    """
     spark = docs.sparkSession
-    schema = docs.agg(F.schema_of_variant_agg(variant_col).alias("s")).first()
-    depth = nesting_depth(schema["s"]) if schema and schema["s"] else 0
     level = docs.select(F.lit("").alias("path"), F.col(variant_col).alias("v"))
-    leaves = []
-    for _ in range(depth + 1):
-        flagged = level.withColumn("_c", _is_container(F.col("v")))
-        leaves.append(flagged.where(~F.col("_c")).select("path", "v"))
+    for _ in range(max_depth(docs, variant_col)):
         level = spark.sql(
-            "SELECT CASE WHEN e.key IS NULL THEN concat(t.path, '[]') "
-            "ELSE concat(t.path, '.', e.key) END AS path, e.value AS v "
-            "FROM {t} AS t, LATERAL variant_explode(t.v) AS e",
-            t=flagged.where(F.col("_c")).select("path", "v"))
-    out = leaves[0]
-    for part in leaves[1:]:
-        out = out.unionAll(part)
-    return out
+            "SELECT CASE WHEN e.pos IS NULL THEN t.path "
+            "            WHEN e.key IS NULL THEN concat(t.path, '[]') "
+            "            ELSE concat(t.path, '.', e.key) END AS path, "
+            "       CASE WHEN e.pos IS NULL THEN t.v ELSE e.value END AS v "
+            "FROM {t} AS t, LATERAL variant_explode_outer(t.v) AS e "
+            "WHERE e.pos IS NOT NULL OR NOT (to_json(t.v) IN ('{{}}', '[]'))",
+            t=level)
+    return level
 
 
 def typed_leaves(leaves: DataFrame) -> DataFrame:
@@ -81,7 +92,8 @@ def enum_value_text(cls: Column, s: Column, x: Column) -> Column:
     """The value a histogram is keyed by: the string, or the number (integral numbers without
     a fraction)."""
     return (F.when(cls == "string", s)
-            .when((cls == "number") & is_integral(x), x.cast("decimal(38,0)").cast("string"))
+            .when((cls == "number") & is_integral(x) & (F.abs(x) < F.lit(1e18)),
+                  x.cast("long").cast("string"))
             .when(cls == "number", x.cast("string")))
 
 
@@ -106,24 +118,64 @@ def path_statistics(typed: DataFrame) -> DataFrame:
     )
 
 
-def path_histograms(typed: DataFrame, stats: DataFrame,
+def materialize_statistics(stats: DataFrame) -> DataFrame:
+    """Checkpoint the per-path statistics (one row per path) into the shared checkpoint folder,
+    so the leaves are aggregated once even though two later steps read the result."""
+    ensure_checkpoint_dir(stats.sparkSession)
+    return stats.checkpoint(eager=True)
+
+
+def enum_candidates(stats: DataFrame, max_values: int = MAX_ENUM_VALUES) -> list[str]:
+    """Paths whose approximate distinct count is below a wide margin (5x the limit, at least
+    100). The list has one entry per path at most: schema-sized, like the schema string."""
+    margin = max(100, 5 * max_values)
+    return [r["path"] for r in stats.where(F.col("_approx_values") <= margin)
+            .select("path").collect()]
+
+
+def path_histograms(typed: DataFrame, candidates: list[str],
                     max_values: int = MAX_ENUM_VALUES) -> DataFrame:
-    """(path, value, n) for paths with at most ``max_values`` distinct values.
+    """(path, value, n, n_values) for candidate paths with at most ``max_values`` values.
 
-    Only paths whose approximate distinct count is below a wide margin (5x the limit, and at
-    least 100) are counted exactly, so long free-text values are never shuffled for this; the
-    exact distinct count then decides.
+    Only candidate paths are counted, so long free-text values are never shuffled here. Their
+    values are counted per (path, value) with map-side partial counts, then gathered per path:
+    a candidate has about ``5 * max_values`` values at most, so each gathered list is small
+    whatever the number of rows. The exact distinct count then decides.
     """
-    margin = max(100, 5 * max_values)
-    candidates = stats.where(F.col("_approx_values") <= margin).select("path")
     value = enum_value_text(F.col("cls"), F.col("s"), F.col("x"))
-    counted = (typed.where(F.col("cls").isin("string", "number"))
-               .join(candidates, "path", "left_semi")
+    counted = (typed.where(F.col("cls").isin("string", "number") & F.col("path").isin(candidates))
                .select("path", value.alias("value"))
                .groupBy("path", "value").agg(F.count(F.lit(1)).alias("n")))
-    sizes = counted.groupBy("path").agg(F.count(F.lit(1)).alias("n_values"))
-    small = sizes.where(F.col("n_values") <= max_values)
-    return counted.join(small, "path", "inner").select("path", "value", "n", "n_values")
+    per_path = (counted.groupBy("path")
+                .agg(F.count(F.lit(1)).alias("n_values"),
+                     F.collect_list(F.struct("value", "n")).alias("_vals"))
+                .where(F.col("n_values") <= max_values))
+    return per_path.select("path", "n_values", F.inline("_vals")).select(
+        "path", "value", "n", "n_values")
+
+
+def profile_parts(typed: DataFrame, max_values: int = MAX_ENUM_VALUES,
+                  max_only_signed_rule: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(profile, histograms) sharing one aggregation of the leaves."""
+    stats = materialize_statistics(path_statistics(typed))
+    hist = path_histograms(typed, enum_candidates(stats, max_values), max_values)
+    enum_sizes = hist.select("path", "n_values").distinct()
+    kind = (F.when(F.size("classes") == 0, F.lit("empty"))
+            .when(F.size("classes") > 1, F.lit("conflict"))
+            .otherwise(F.element_at("classes", 1)))
+    number_type = narrowest_type(F.col("integral"), F.col("float32"), F.col("min"), F.col("max"),
+                                 max_only=max_only_signed_rule)
+    prof = (stats.join(enum_sizes, "path", "left")
+            .select("path", kind.alias("kind"), "n_leaves",
+                    F.when(kind == "boolean", F.col("n_true")).alias("n_true"),
+                    F.when(kind == "boolean", F.col("n_false")).alias("n_false"),
+                    F.when(kind == "number", number_type).alias("number_type"),
+                    F.when(kind == "number", F.col("min")).alias("min"),
+                    F.when(kind == "number", F.col("max")).alias("max"),
+                    F.when(kind.isin("number", "string"), F.col("n_values")).alias("n_values")))
+    enums = hist.join(prof.where(F.col("kind").isin("string", "number")).select("path"),
+                      "path", "left_semi").select("path", "value", "n")
+    return prof, enums
 
 
 def json_profile(typed: DataFrame, max_values: int = MAX_ENUM_VALUES,
@@ -135,23 +187,12 @@ def json_profile(typed: DataFrame, max_values: int = MAX_ENUM_VALUES,
     ``n_values`` is the exact number of distinct values when it is at most ``max_values``
     (the path is then an enum), else NULL.
     """
-    stats = path_statistics(typed)
-    hist = path_histograms(typed, stats, max_values)
-    enum_sizes = hist.select("path", "n_values").distinct()
-    kind = (F.when(F.size("classes") == 0, F.lit("empty"))
-            .when(F.size("classes") > 1, F.lit("conflict"))
-            .otherwise(F.element_at("classes", 1)))
-    number_type = narrowest_type(F.col("integral"), F.col("float32"), F.col("min"), F.col("max"),
-                                 max_only=max_only_signed_rule)
-    out = (stats.join(enum_sizes, "path", "left")
-           .select("path", kind.alias("kind"), "n_leaves",
-                   F.when(kind == "boolean", F.col("n_true")).alias("n_true"),
-                   F.when(kind == "boolean", F.col("n_false")).alias("n_false"),
-                   F.when(kind == "number", number_type).alias("number_type"),
-                   F.when(kind == "number", F.col("min")).alias("min"),
-                   F.when(kind == "number", F.col("max")).alias("max"),
-                   F.when(kind.isin("number", "string"), F.col("n_values")).alias("n_values")))
-    return out
+    return profile_parts(typed, max_values, max_only_signed_rule)[0]
+
+
+def json_enums(typed: DataFrame, max_values: int = MAX_ENUM_VALUES) -> DataFrame:
+    """(path, value, n) histograms of enum paths (strings or numbers, no type conflict)."""
+    return profile_parts(typed, max_values)[1]
 
 
 def profile_summary(profile: DataFrame) -> DataFrame:

@@ -96,7 +96,7 @@ def paper_rows(records: DataFrame, strict: bool = True) -> DataFrame:
         check = require(F.coalesce(F.length("source_uuid") == 36, F.lit(False)),
                         F.concat(F.lit("paper id is not 36 characters: "),
                                  F.coalesce(F.col("source_uuid"), F.lit("NULL"))))
-        out = out.withColumn("source_uuid", F.coalesce(F.col("source_uuid"), check.cast("string")))
+        out = out.withColumn("source_uuid", F.coalesce(check.cast("string"), F.col("source_uuid")))
     return out
 
 

@@ -265,11 +265,7 @@ def json_profile(spark, d):
 
 
 def json_enums(spark, d):
-    typed = _typed_leaves(spark, d)
-    prof = profile.json_profile(typed).where(F.col("kind").isin("string", "number"))
-    stats = profile.path_statistics(typed)
-    hist = profile.path_histograms(typed, stats)
-    return hist.join(prof.select("path"), "path", "left_semi").select("path", "value", "n")
+    return profile.json_enums(_typed_leaves(spark, d))
 
 
 def json_empty_paths(spark, d):

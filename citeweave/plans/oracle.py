@@ -79,8 +79,8 @@ _LEAVES = f"""
     WHERE t.type NOT IN ('OBJECT', 'ARRAY')),
   vals AS (
     SELECT path, cls, CASE WHEN cls = 'string' THEN s
-                           WHEN cls = 'number' AND round(x) = x
-                                THEN CAST(CAST(x AS DECIMAL(38,0)) AS VARCHAR)
+                           WHEN cls = 'number' AND round(x) = x AND abs(x) < 1e18
+                                THEN CAST(CAST(x AS BIGINT) AS VARCHAR)
                            WHEN cls = 'number' THEN CAST(x AS VARCHAR) END AS value
     FROM leaves WHERE cls IN ('string', 'number')),
   hist AS (SELECT path, value, count(*) AS n FROM vals GROUP BY path, value),
