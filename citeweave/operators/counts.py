@@ -108,3 +108,9 @@ def co_occurrence_counts(df: DataFrame, owner: str = "paper_id",
     counts = (joined.select(F.least("_a", "_c").alias(left), F.greatest("_a", "_c").alias(right))
               .groupBy(left, right).agg(F.count(F.lit(1)).alias(alias)))
     return counts.where(F.col(alias) >= min_pair_support) if min_pair_support else counts
+
+
+def ranked_counts(counts_df: DataFrame, name: str, alias: str = "n") -> DataFrame:
+    """A frequency table in report order: count descending, then name (a deterministic tie-break
+    the original ranking lacked)."""
+    return counts_df.orderBy(F.desc(alias), F.asc(name))
