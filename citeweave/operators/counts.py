@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeweave.schemas import DEFAULT_MIN_SUPPORT, GENERIC_SOFTWARE_NAMES
+from citeweave.session import materialize
 
 
 def owner_item_set(df: DataFrame, owner: str, item: str,
@@ -71,7 +72,7 @@ def co_occurrence_counts(df: DataFrame, owner: str = "paper_id",
                          min_item_support: int = DEFAULT_MIN_SUPPORT,
                          min_pair_support: int = DEFAULT_MIN_SUPPORT,
                          block_size: int = 2048, left: str = "item_a", right: str = "item_b",
-                         alias: str = "n") -> DataFrame:
+                         alias: str = "n", materialize_pairs: bool = True) -> DataFrame:
     """Number of owners holding both items, for every unordered item pair (left < right).
 
     1. A-priori pruning: only items with ``min_item_support`` owners can take part.
@@ -82,12 +83,18 @@ def co_occurrence_counts(df: DataFrame, owner: str = "paper_id",
        (k / block_size)^2 / 2 join keys, and no task forms more than about block_size^2 pairs, so a
        single very large owner cannot land in one task.
     3. Pair counts are pre-aggregated per task before the shuffle on the pair.
+
+    The pruned (owner, item) set feeds three branches; it is written once to the shared
+    checkpoint folder (``materialize_pairs``) so the scan, distinct and pruning run once.
     """
     pairs = owner_item_set(df, owner, item, stop_list)
     if min_item_support and min_item_support > 1:
         supported = (pairs.groupBy(item).agg(F.count(F.lit(1)).alias("_s"))
                      .where(F.col("_s") >= min_item_support).select(item))
         pairs = pairs.join(supported, item, "left_semi")
+    if materialize_pairs:
+        # Read three times below (owner sizes and both join sides): write it once.
+        pairs = materialize(pairs, "co-occurrence-pairs")
 
     # Block count per owner; owners that fit in one block are absent here and get one block.
     sizes = (pairs.groupBy(owner).agg(F.count(F.lit(1)).alias("_k"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from citeweave.functions.numeric import is_float32, is_integral, narrowest_type
 from citeweave.schemas import MAX_ENUM_VALUES
-from citeweave.session import ensure_checkpoint_dir
+from citeweave.session import materialize
 
 
 def parse_documents(df: DataFrame, json_col: str, strict: bool = True) -> DataFrame:
@@ -119,10 +119,9 @@ def path_statistics(typed: DataFrame) -> DataFrame:
 
 
 def materialize_statistics(stats: DataFrame) -> DataFrame:
-    """Checkpoint the per-path statistics (one row per path) into the shared checkpoint folder,
-    so the leaves are aggregated once even though two later steps read the result."""
-    ensure_checkpoint_dir(stats.sparkSession)
-    return stats.checkpoint(eager=True)
+    """Write the per-path statistics (one row per path) to the shared checkpoint folder, so the
+    leaves are aggregated once even though two later steps read the result."""
+    return materialize(stats, "json-path-statistics")
 
 
 def enum_candidates(stats: DataFrame, max_values: int = MAX_ENUM_VALUES) -> list[str]:

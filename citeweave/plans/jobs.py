@@ -19,6 +19,7 @@ from citeweave.schemas import (DEFAULT_MIN_SUPPORT, DEFAULT_SAMPLE_FRACTIONS, GE
 from citeweave.sinks import writers
 from citeweave.sources import jsonl, raw_tree
 from citeweave.sources import tables as table_sources
+from citeweave.session import materialize
 
 
 def _children(spark: SparkSession, path: str) -> list[str]:
@@ -63,17 +64,15 @@ def extract_tables(spark: SparkSession, collection: str, out: str, source_type:
                    strict: bool = True, repartition: int | None = None) -> None:
     """Collated JSONL → papers.parquet, mentions.<type>.parquet, purpose_assessments.<type>.parquet.
 
-    One plan for all three; the papers' ids are computed once and checkpointed to the shared
-    checkpoint folder so the mention lookup and the writes reuse them.
+    The papers (with their dense ids) are computed once and written to the shared checkpoint
+    folder, so the mention lookup and the papers write read the same ids.
     """
     papers_in = jsonl.read_collection(spark, collection, PAPER_JSON, "papers",
                                       repartition=repartition)
     mentions_in = jsonl.read_collection(spark, collection, MENTION_JSON, source_type,
                                         repartition=repartition)
     papers = tables.papers_table(papers_in, mentions_in, strict=strict)
-    from citeweave.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    papers = papers.checkpoint(eager=True)
+    papers = materialize(papers, "papers-with-ids")
     rows = tables.mention_rows(mentions_in, papers.select("source_uuid", "paper_id"),
                                source_type, strict)
     writers.write_table(papers, f"{out}/papers.parquet")

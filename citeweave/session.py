@@ -60,3 +60,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables that cut lineage."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    Used where several later steps read the same intermediate: it is computed once (an eager
+    ``checkpoint()`` would compute it twice, once for the job and once for the write), and the
+    lineage is cut, so a lost executor only recomputes from the written table.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
