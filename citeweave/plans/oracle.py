@@ -328,7 +328,7 @@ ORACLE = {
                arg_max(value, event_id) AS value
         FROM events GROUP BY user_id""",
     "slim_children": """
-        SELECT doc_id, len(lines) AS n_items,
+        SELECT doc_id, CAST(len(lines) AS INTEGER) AS n_items,
                array_to_string(list_transform(lines, lambda x: split_part(x, ' ', 1)), '|') AS names
         FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents)""",
 }
