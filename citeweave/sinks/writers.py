@@ -6,16 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_collection(collated: DataFrame, out: str, mode: str = "overwrite") -> None:
-    """One gzip JSONL file per (parse_type, prefix) bucket, rows in UUID order inside it.
-
-    ``repartition`` on the bucket columns sends each bucket to one task; ``partitionBy`` names the
-    folders. With dynamic partition overwrite a rerun replaces only the buckets it writes, so a
-    resumed run (see ``pending_prefixes``) leaves finished buckets untouched.
+def write_collection(collated: DataFrame, out: str, mode: str = "overwrite",
+                     num_partitions: int | None = None) -> None:
+    """gzip JSONL under ``parse_type=<t>/prefix=<p>/``, rows in UUID order.
+
+    Rows are range-partitioned on (parse_type, prefix, uuid) and sorted inside each task, so every
+    output file holds a contiguous UUID range of one bucket, and a bucket holding a large share of
+    the rows is split over several tasks (several files, in name order) instead of one. With
+    dynamic partition overwrite a rerun replaces only the buckets it writes, so a resumed run
+    (see ``pending_prefixes``) leaves finished buckets untouched.
     """
     spark = collated.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (collated.repartition("parse_type", "prefix").sortWithinPartitions("uuid")
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["parse_type", "prefix", "uuid"]
+    (collated.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
      .drop("uuid")
      .write.mode(mode).partitionBy("parse_type", "prefix")
      .option("compression", "gzip").json(out))

@@ -19,19 +19,35 @@ COLLECTION_PATTERNS = {
 }
 
 
+# File-name globs with the same meaning, applied while listing so other files are never opened.
+_HEX2 = "[0-9a-f][0-9a-f]"
+COLLECTION_GLOBS = {
+    "papers": "{" + _HEX2 + ",gg}.jsonl*",
+    "pdf": _HEX2 + ".software.jsonl*",
+    "latex": _HEX2 + ".latex.tei.software.jsonl*",
+    "jats": _HEX2 + ".jats.software.jsonl*",
+    "grobid": _HEX2 + ".grobid.tei.software.jsonl*",
+    "pub2tei": _HEX2 + ".pub2tei.tei.jsonl*",
+}
+
+
 def read_collection(spark: SparkSession, path: str, schema: T.StructType,
                     parse_type: str | None = None, mode: str = "FAILFAST",
                     repartition: int | None = None) -> DataFrame:
     """Typed scan of a JSONL collection, optionally restricted to one parse type's files.
 
-    Files are selected by name on the scan's ``_metadata.file_name`` (the filter is applied per
-    file, before rows are decoded). ``bucket`` is the file's prefix (text before the first dot),
+    Files are selected while listing (``pathGlobFilter``), so other parse types are never opened;
+    the exact pattern is then checked on ``_metadata.file_name``. ``bucket`` is the file's prefix
+    (text before the first dot),
     which orders papers the way the files are listed. gzip files are not splittable, so pass
     ``repartition`` to spread rows over more tasks right after the scan.
     """
     if parse_type is not None and parse_type not in COLLECTION_PATTERNS:
         raise ValueError(f"parse type must be one of {sorted(COLLECTION_PATTERNS)}: {parse_type}")
-    df = spark.read.schema(schema).option("mode", mode).json(path)
+    reader = spark.read.schema(schema).option("mode", mode)
+    if parse_type is not None:
+        reader = reader.option("pathGlobFilter", COLLECTION_GLOBS[parse_type])
+    df = reader.json(path)
     name = F.col("_metadata.file_name")
     if parse_type is not None:
         df = df.where(name.rlike(COLLECTION_PATTERNS[parse_type]))
@@ -41,6 +57,21 @@ def read_collection(spark: SparkSession, path: str, schema: T.StructType,
     return df
 
 
+def read_collated(spark: SparkSession, path: str, schema: T.StructType,
+                  parse_type: str | None = None, mode: str = "FAILFAST") -> DataFrame:
+    """Typed scan of a collection written by ``write_collection`` (``parse_type=…/prefix=…``).
+
+    The parse type is a partition column, so the filter prunes whole directories at planning
+    time; ``bucket`` is the prefix partition.
+    """
+    full = T.StructType(schema.fields + [T.StructField("parse_type", T.StringType()),
+                                         T.StructField("prefix", T.StringType())])
+    df = spark.read.schema(full).option("mode", mode).json(path)
+    if parse_type is not None:
+        df = df.where(F.col("parse_type") == parse_type)
+    return df.withColumn("bucket", F.col("prefix")).drop("parse_type", "prefix")
+
+
 def read_variant_lines(spark: SparkSession, path: str, column: str = "v") -> DataFrame:
     """Schemaless scan: each JSON line as one VARIANT value (no inference pass, no widening)."""
     return spark.read.option("singleVariantColumn", column).json(path)

@@ -87,3 +87,23 @@ def test_streaming_collation_processes_each_file_once(spark, raw, tmp_path):
     _put(raw, f"cd/99/00/00/{C[:2]}99/{C[:2]}99{C[4:]}.json", {"id": "new"})
     collate_stream(spark, raw, out, ckpt, schema=schema, available_now=True)
     assert first == 8 and spark.read.json(out).count() == 9
+
+
+def test_collated_layout_feeds_table_build(spark, raw, tmp_path):
+    from citeweave.operators import tables
+    from citeweave.schemas import MENTION_JSON, PAPER_JSON
+    from citeweave.sources.jsonl import read_collated
+
+    schema = ("id string, title string, file string, "
+              "mentions array<struct<`software-name`:struct<normalizedForm:string>>>")
+    records = read_raw_tree(spark, raw, schema=schema)
+    out = str(tmp_path / "collated")
+    write_collection(collate.collate_records(records, "_file_name").drop("_file_path"), out,
+                     num_partitions=3)
+    papers = read_collated(spark, out, PAPER_JSON, "paper")
+    mentions = read_collated(spark, out, MENTION_JSON, "pdf")
+    p = tables.papers_table(papers, mentions, num_partitions=2)
+    assert [(r.source_uuid, r.paper_id) for r in p.orderBy("paper_id").collect()] == [
+        (A, 1), (B, 2), (C, 3)]
+    plan = papers._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(parse_type" in plan and "(parse_type" in plan
