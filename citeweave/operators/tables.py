@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeweave.functions.keys import mention_id, uuid_of_name
-from citeweave.functions.text import empty_to_null, keep_empty, strict_date, lenient_date
+from citeweave.functions.text import (empty_to_null, keep_empty, lenient_date, strict_date,
+                                     zero_to_null)
 from citeweave.operators.keys import dense_ids
 from citeweave.schemas import PAPERS, MENTIONS, PURPOSE_ASSESSMENTS, PURPOSES, SCOPES
 
@@ -82,7 +83,7 @@ def paper_rows(records: DataFrame, strict: bool = True) -> DataFrame:
         F.col("bucket"),
         F.col("id").alias("source_uuid"),
         empty_to_null("title").alias("title"),
-        F.nullif(F.col("year"), F.lit(0)).cast("int").alias("published_year"),
+        zero_to_null("year").alias("published_year"),
         date.alias("published_date"),
         empty_to_null("journal_name").alias("publication_venue"),
         empty_to_null("publisher").alias("publisher_name"),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from citeweave.functions import identifiers as ids
 from citeweave.functions.keys import mention_id, prefix_bucket, uuid_from_hex32
-from citeweave.functions.text import empty_to_null, strict_date
+from citeweave.functions.text import empty_to_null, strict_date, zero_to_null
 from citeweave.operators import analyses, collate, counts, identifiers, profile, sampling, tables
 from citeweave.operators.keys import dense_ids
 from citeweave.schemas import PARSE_SUFFIXES, RESOURCE_CODES
@@ -189,7 +189,7 @@ def clean_rows(spark, d):
         empty_to_null("o_orderstatus").alias("order_status"),
         empty_to_null(F.split_part("o_orderpriority", F.lit("-"), F.lit(2))).alias("priority"),
         strict_date(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("order_date"),
-        F.nullif(F.year("o_orderdate") - F.lit(1995), F.lit(0)).cast("int").alias("year_offset"),
+        zero_to_null(F.year("o_orderdate") - F.lit(1995)).alias("year_offset"),
     )
 
 

@@ -32,13 +32,15 @@ def read_id_map(spark: SparkSession, path: str) -> DataFrame:
             .csv(path))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
 def read_uuid_list(spark: SparkSession, path: str) -> DataFrame:
     """One UUID per line; a missing file is an empty set."""
-    from py4j.protocol import Py4JJavaError  # noqa: F401  (raised by the JVM for odd paths)
-    try:
-        df = spark.read.text(path)
-    except Exception as exc:  # the path does not exist
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            return spark.createDataFrame([], "source_uuid string")
-        raise
+    if not _exists(spark, path):
+        return spark.createDataFrame([], "source_uuid string")
+    df = spark.read.text(path)
     return df.select(F.trim("value").alias("source_uuid")).where(F.col("source_uuid") != "")

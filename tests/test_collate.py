@@ -5,7 +5,6 @@ import os
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from citeweave.operators import collate
 from citeweave.sinks.writers import write_collection
