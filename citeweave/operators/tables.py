@@ -152,21 +152,36 @@ def mention_rows(mention_records: DataFrame, papers: DataFrame, source_type: str
         F.posexplode("mentions").alias("mention_index", "m"))
 
 
-def mentions_table(rows: DataFrame) -> DataFrame:
-    """Typed mention columns from :func:`mention_rows`; '' → NULL except the software names."""
-    m = F.col("m")
-    out = rows.select(
+def _mention_columns(m: Column) -> list[Column]:
+    """The mention table's columns from a row of :func:`mention_rows` ('' → NULL except names)."""
+    return [
         mention_id("paper_id", "source_file_type", "mention_index").alias("software_mention_id"),
-        "paper_id", "source_file_type", "mention_index",
+        F.col("paper_id"), F.col("source_file_type"), F.col("mention_index"),
         keep_empty(m["software-name"]["rawForm"]).alias("software_raw"),
         keep_empty(m["software-name"]["normalizedForm"]).alias("software_normalized"),
-        *[empty_to_null(m[src][form]).alias(f"{dst}_{kind}")
-          for src, dst in (("version", "version"), ("publisher", "publisher"),
-                           ("language", "language"), ("url", "url"))
+        *[empty_to_null(m[src][form]).alias(f"{src}_{kind}")
+          for src in ("version", "publisher", "language", "url")
           for form, kind in (("rawForm", "raw"), ("normalizedForm", "normalized"))],
         empty_to_null(m["context"]).alias("context_full_text"),
-    )
-    return _with_comments(out, MENTIONS)
+    ]
+
+
+def _score_columns(m: Column) -> list[Column]:
+    """The six scores as ``<scope>_<purpose>``: document ← documentContextAttributes, local ← the
+    mention's own attributes."""
+    sources = {SCOPES[0]: m["documentContextAttributes"], SCOPES[1]: m["mentionContextAttributes"]}
+    return [sources[scope][p]["score"].alias(f"{scope}_{p}") for scope in SCOPES for p in PURPOSES]
+
+
+def flat_mention_rows(rows: DataFrame) -> DataFrame:
+    """Mention columns plus the six scores, the nested record dropped: everything both tables
+    need, so a job can write it once and derive both tables from it."""
+    m = F.col("m")
+    return rows.select(*_mention_columns(m), *_score_columns(m))
+
+
+def mentions_from_flat(flat: DataFrame) -> DataFrame:
+    return _with_comments(flat, MENTIONS)
 
 
 def unpivot_scores(rows: DataFrame, keys: Sequence[str],
@@ -182,20 +197,24 @@ def unpivot_scores(rows: DataFrame, keys: Sequence[str],
     return rows.select(*keys, F.inline(F.array(*structs)))
 
 
-def assessments_table(rows: DataFrame) -> DataFrame:
-    """Six assessments per mention: document ← documentContextAttributes, local ← the mention's
-    own attributes; purposes created, shared, used."""
-    m = F.col("m")
-    keyed = rows.select(
-        mention_id("paper_id", "source_file_type", "mention_index").alias("software_mention_id"),
-        "paper_id", "source_file_type", "mention_index", "m")
-    sources = {SCOPES[0]: m["documentContextAttributes"], SCOPES[1]: m["mentionContextAttributes"]}
-    cells = [(scope, p, sources[scope][p]["score"]) for scope in SCOPES for p in PURPOSES]
-    out = unpivot_scores(keyed, ["software_mention_id", "paper_id", "source_file_type",
-                                 "mention_index"], cells)
+def assessments_from_flat(flat: DataFrame) -> DataFrame:
+    """Six assessments per mention, scope-major: document (created, shared, used), then local."""
+    cells = [(scope, p, F.col(f"{scope}_{p}")) for scope in SCOPES for p in PURPOSES]
+    out = unpivot_scores(flat, ["software_mention_id", "paper_id", "source_file_type",
+                                "mention_index"], cells)
     return _with_comments(out, PURPOSE_ASSESSMENTS)
 
 
+def mentions_table(rows: DataFrame) -> DataFrame:
+    """Typed mention columns from :func:`mention_rows`."""
+    return mentions_from_flat(flat_mention_rows(rows))
+
+
+def assessments_table(rows: DataFrame) -> DataFrame:
+    """Purpose assessments from :func:`mention_rows`."""
+    return assessments_from_flat(flat_mention_rows(rows))
+
+
 def build_tables(paper_records: DataFrame, mention_records: DataFrame, source_type: str = "pdf",
                  strict: bool = True, num_partitions: int | None = None):
     """(papers, mentions, purpose_assessments) from paper and mention JSON records."""

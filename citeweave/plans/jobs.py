@@ -75,9 +75,12 @@ def extract_tables(spark: SparkSession, collection: str, out: str, source_type:
     papers = materialize(papers, "papers-with-ids")
     rows = tables.mention_rows(mentions_in, papers.select("source_uuid", "paper_id"),
                                source_type, strict)
+    # Both tables come from one flat intermediate, so the JSON scan, the id lookup join and the
+    # explode run once.
+    flat = materialize(tables.flat_mention_rows(rows), "mention-rows")
     writers.write_table(papers, f"{out}/papers.parquet")
-    writers.write_table(tables.mentions_table(rows), f"{out}/mentions.{source_type}.parquet")
-    writers.write_table(tables.assessments_table(rows),
+    writers.write_table(tables.mentions_from_flat(flat), f"{out}/mentions.{source_type}.parquet")
+    writers.write_table(tables.assessments_from_flat(flat),
                         f"{out}/purpose_assessments.{source_type}.parquet")
 
 
