@@ -43,24 +43,30 @@ def container_depth(json_text: Column) -> Column:
         lambda acc: acc["m"])
 
 
-def max_depth(docs: DataFrame, variant_col: str = "v") -> int:
-    """Deepest container nesting over all documents: one aggregation, a single number back."""
-    row = docs.agg(F.max(container_depth(F.to_json(F.col(variant_col)))).alias("d")).first()
+def max_depth(docs: DataFrame, variant_col: str = "v", text_col: str | None = None) -> int:
+    """Deepest container nesting over all documents: one aggregation, a single number back.
+
+    With ``text_col`` the original JSON text is measured (no parse, no re-serialization);
+    otherwise the VARIANT is rendered with ``to_json``.
+    """
+    text = F.col(text_col) if text_col else F.to_json(F.col(variant_col))
+    row = docs.agg(F.max(container_depth(text)).alias("d")).first()
     return int(row["d"] or 0) if row else 0
 
 
-def json_leaves(docs: DataFrame, variant_col: str = "v") -> DataFrame:
+def json_leaves(docs: DataFrame, variant_col: str = "v", depth: int | None = None) -> DataFrame:
     """(path, value) for every leaf of every document; ``value`` is a VARIANT.
 
     Each level replaces every container by its children and passes leaves through unchanged
     (``variant_explode_outer`` yields one all-NULL row for a scalar, which keeps it); an empty
     object or array yields nothing. After ``depth`` levels only leaves remain, so the plan is one
     linear chain of generators: every value is copied once per level it sits below, with no
-    union of per-level branches recomputing the chain.
+    union of per-level branches recomputing the chain. ``depth`` may be passed when it is known
+    (for example from :func:`max_depth` over the source text).
     """
     spark = docs.sparkSession
     level = docs.select(F.lit("").alias("path"), F.col(variant_col).alias("v"))
-    for _ in range(max_depth(docs, variant_col)):
+    for _ in range(max_depth(docs, variant_col) if depth is None else depth):
         level = spark.sql(
             "SELECT CASE WHEN e.pos IS NULL THEN t.path "
             "            WHEN e.key IS NULL THEN concat(t.path, '[]') "

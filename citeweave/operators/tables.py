@@ -113,11 +113,12 @@ def paper_ids(papers: DataFrame, num_partitions: int | None = None) -> DataFrame
     """Dense 1-based ``paper_id`` in file order: bucket (file prefix) order, then UUID order.
 
     The special trailing bucket sorts after the hex prefixes because the bucket name is compared
-    as text ('gg' > 'ff'). Rows with the same UUID keep a deterministic order through
-    ``source_uuid`` then ``title``.
+    as text ('gg' > 'ff'). Rows repeating a UUID are ordered by all their other columns, so the
+    ids never depend on shuffle order.
     """
-    return dense_ids(papers, ["bucket", "source_uuid", "title", "published_year"],
-                     id_col="paper_id", num_partitions=num_partitions)
+    order = ["bucket", "source_uuid"] + [c for c in papers.columns
+                                         if c not in ("bucket", "source_uuid")]
+    return dense_ids(papers, order, id_col="paper_id", num_partitions=num_partitions)
 
 
 def papers_table(paper_records: DataFrame, mention_records: DataFrame | None = None,

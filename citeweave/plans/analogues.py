@@ -256,8 +256,10 @@ def _json_documents(spark, d):
 
 
 def _typed_leaves(spark, d):
-    docs = profile.parse_documents(_json_documents(spark, d), "j")
-    return profile.typed_leaves(profile.json_leaves(docs))
+    text = _json_documents(spark, d)
+    depth = profile.max_depth(text, text_col="j")
+    docs = profile.parse_documents(text, "j")
+    return profile.typed_leaves(profile.json_leaves(docs, depth=depth))
 
 
 def json_profile(spark, d):

@@ -4,8 +4,13 @@ import json
 import os
 
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
+# A strict check raises inside a task; PySpark reports it as a PySparkException, or as the raw
+# JVM error when several stages fail at once.
+SPARK_ERRORS = (PySparkException, Py4JJavaError)
+
 from citeweave.operators import collate
 from citeweave.sinks.writers import write_collection
 from citeweave.sources.raw_tree import list_files, read_raw_tree
@@ -74,7 +79,7 @@ def test_sort_and_last_by_key(spark):
     last = collate.last_by_key(df.withColumn("k", collate.uuid_sort_key("file")), "k", "pos")
     assert sorted((r.key, r.pos) for r in last.collect()) == [(A, 3), (B, 1)]
     bad = spark.createDataFrame([(None, 1)], "file string, pos int")
-    with pytest.raises(PySparkException):
+    with pytest.raises(SPARK_ERRORS):
         collate.sort_by_uuid(bad).collect()
 
 
