@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from citeweave.functions import identifiers as ids
 from citeweave.functions.keys import mention_id, prefix_bucket, uuid_from_hex32
 from citeweave.functions.text import empty_to_null, strict_date, zero_to_null
-from citeweave.operators import analyses, collate, counts, identifiers, profile, sampling, tables
+from citeweave.operators import (analyses, collate, counts, identifiers, profile, sampling, slim,
+                                 tables)
 from citeweave.operators.keys import dense_ids
 from citeweave.schemas import PARSE_SUFFIXES, RESOURCE_CODES
 
@@ -391,14 +392,26 @@ def last_by_key(spark, d):
     return collate.last_by_key(events, "user_id", "event_id", alias="user_id")
 
 
-def slim_children(spark, d):
+def _slim_records(spark, d):
+    """Documents as per-paper mention files: the file is named by the document's UUID and each
+    line is a mention whose software name is the line's first word."""
     recs = _documents_as_records(spark, d)
-    slim = recs.select("doc_id", F.transform(
-        "lines", lambda ln: F.struct(F.split_part(ln, F.lit(" "), F.lit(1))
-                                     .alias("normalized_form"))).alias("items"))
-    return slim.select("doc_id", F.size("items").alias("n_items"),
-                       F.array_join(F.transform("items", lambda s: s["normalized_form"]), "|")
-                       .alias("names"))
+    return slim.slim_mentions(recs.select(
+        F.concat(_uuid_of(F.col("doc_id")), F.lit(".software.json")).alias("_file_name"),
+        F.transform("lines", lambda ln: F.struct(F.struct(
+            F.split_part(ln, F.lit(" "), F.lit(1)).alias("normalizedForm"),
+            F.lit(None).cast("string").alias("wikidataId")).alias("software-name")))
+        .alias("mentions")))
+
+
+def slim_children(spark, d):
+    return _slim_records(spark, d).select(
+        F.hex("id").alias("id_hex"), F.size("mentions").alias("n_items"),
+        F.array_join(F.transform("mentions", lambda s: s["normalized_form"]), "|").alias("names"))
+
+
+def slim_name_counts(spark, d):
+    return slim.name_occurrences(_slim_records(spark, d))
 
 
 QUERIES = {
@@ -437,4 +450,5 @@ QUERIES = {
     "uuid_order": uuid_order,
     "last_by_key": last_by_key,
     "slim_children": slim_children,
+    "slim_name_counts": slim_name_counts,
 }

@@ -327,8 +327,15 @@ ORACLE = {
         SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type,
                arg_max(value, event_id) AS value
         FROM events GROUP BY user_id""",
-    "slim_children": """
-        SELECT doc_id, CAST(len(lines) AS INTEGER) AS n_items,
+    "slim_children": f"""
+        SELECT upper(replace({_uuid_sql('doc_id')}, '-', '')) AS id_hex,
+               CAST(len(lines) AS INTEGER) AS n_items,
                array_to_string(list_transform(lines, lambda x: split_part(x, ' ', 1)), '|') AS names
         FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents)""",
+    "slim_name_counts": """
+        SELECT normalized_form, count(*) AS n FROM (
+          SELECT unnest(list_transform(string_split(text, chr(10)),
+                                       lambda x: split_part(x, ' ', 1))) AS normalized_form
+          FROM documents)
+        GROUP BY normalized_form""",
 }
