@@ -414,6 +414,85 @@ def slim_name_counts(spark, d):
     return slim.name_occurrences(_slim_records(spark, d))
 
 
+# ---------------------------------------------------------------------------------------------
+# Whole table build: documents as papers, their long lines as mentions
+# ---------------------------------------------------------------------------------------------
+
+MIN_MENTION_CHARS = 60
+
+
+def _paper_records(spark, d):
+    """Paper JSON records (``PAPER_JSON`` shape) derived from documents."""
+    docs = table(spark, d, "documents")
+    uuid = _uuid_of(F.col("doc_id"))
+    year = F.when(F.col("doc_id") % 10 == 0, F.lit(0)).otherwise(2000 + F.col("doc_id") % 21)
+    date = F.when(year == 0, F.lit("")).otherwise(F.format_string(
+        "%d-%02d-%02d", year, (F.col("doc_id") % 12 + 1).cast("int"),
+        (F.col("doc_id") % 28 + 1).cast("int")))
+    return docs.select(
+        uuid.alias("id"), F.concat(uuid, F.lit(".json")).alias("file"),
+        F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
+        year.cast("long").alias("year"), date.alias("published_date"),
+        F.col("source").alias("journal_name"), F.col("lang").alias("publisher"),
+        F.when(F.col("doc_id") % 3 != 0, F.concat(F.lit("10.1000/"), F.col("doc_id").cast("string")))
+        .alias("doi"),
+        F.lit("").alias("pmcid"), F.lit(None).cast("string").alias("pmid"),
+        F.lit("journal-article").alias("genre"), F.lit("").alias("license"),
+        F.substring(uuid, 1, 2).alias("bucket"))
+
+
+def _score(x: Column) -> Column:
+    return F.struct(x.alias("score"), F.lit(None).cast("boolean").alias("value"))
+
+
+def _mention_records(spark, d):
+    """Mention JSON records (``MENTION_JSON`` shape): one per document, listing its long lines.
+
+    Software name and version are the line's first and second words; scores are derived from the
+    line length; documents with an odd id carry no document-level attributes (scores 0.0)."""
+    docs = table(spark, d, "documents").select("doc_id", F.split("text", "\n").alias("lines"))
+    no_forms = F.lit(None).cast("struct<normalizedForm:string,rawForm:string>")
+
+    def mention(ln):
+        n = F.length(ln)
+        local = F.struct(_score((n % 10) / 10.0).alias("created"),
+                         _score((n % 7) / 10.0).alias("shared"),
+                         _score((n % 3) / 10.0).alias("used"))
+        doc = F.when(F.col("doc_id") % 2 == 0, F.struct(
+            _score((n % 4) / 10.0).alias("created"), _score((n % 5) / 10.0).alias("shared"),
+            _score((n % 6) / 10.0).alias("used")))
+        return F.struct(
+            F.struct(F.split_part(ln, F.lit(" "), F.lit(1)).alias("normalizedForm"),
+                     F.split_part(ln, F.lit(" "), F.lit(2)).alias("rawForm"),
+                     F.lit(None).cast("string").alias("wikidataId")).alias("software-name"),
+            F.struct(F.split_part(ln, F.lit(" "), F.lit(2)).alias("normalizedForm"),
+                     F.lit("").alias("rawForm")).alias("version"),
+            no_forms.alias("publisher"), no_forms.alias("language"), no_forms.alias("url"),
+            ln.alias("context"),
+            local.alias("mentionContextAttributes"), doc.alias("documentContextAttributes"))
+
+    long_lines = F.filter("lines", lambda ln: F.length(ln) > MIN_MENTION_CHARS)
+    return docs.select(
+        F.concat(_uuid_of(F.col("doc_id")), F.lit(".software.json")).alias("file"),
+        F.transform(long_lines, mention).alias("mentions"))
+
+
+def _built(spark, d):
+    return tables.build_tables(_paper_records(spark, d), _mention_records(spark, d), "pdf")
+
+
+def built_papers(spark, d):
+    return _built(spark, d)[0]
+
+
+def built_mentions(spark, d):
+    return _built(spark, d)[1]
+
+
+def built_assessments(spark, d):
+    return _built(spark, d)[2]
+
+
 QUERIES = {
     "distinct_key_count": distinct_key_count,
     "yearly_counts_for_item": yearly_counts_for_item,
@@ -451,4 +530,7 @@ QUERIES = {
     "last_by_key": last_by_key,
     "slim_children": slim_children,
     "slim_name_counts": slim_name_counts,
+    "built_papers": built_papers,
+    "built_mentions": built_mentions,
+    "built_assessments": built_assessments,
 }

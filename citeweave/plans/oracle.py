@@ -165,6 +165,31 @@ def _classify(name: str) -> str:
     return f"CASE {whens} END"
 
 
+_BUILT = f"""
+  WITH d AS (
+    SELECT doc_id, text, source, lang, {_uuid_sql('doc_id')} AS uuid,
+           string_split(text, chr(10)) AS lines,
+           CASE WHEN doc_id % 10 = 0 THEN 0 ELSE 2000 + doc_id % 21 END AS yr
+    FROM documents),
+  m AS (SELECT doc_id, list_filter(lines, lambda l: length(l) > {A.MIN_MENTION_CHARS}) AS ms FROM d),
+  papers AS (
+    SELECT row_number() OVER (ORDER BY d.uuid) AS paper_id, d.doc_id, d.uuid AS source_uuid,
+           nullif(split_part(d.text, chr(10), 1), '') AS title,
+           CAST(nullif(d.yr, 0) AS INTEGER) AS published_year,
+           CASE WHEN d.yr = 0 THEN NULL
+                ELSE CAST(printf('%d-%02d-%02d', d.yr, d.doc_id % 12 + 1, d.doc_id % 28 + 1) AS DATE)
+           END AS published_date,
+           nullif(d.source, '') AS publication_venue, nullif(d.lang, '') AS publisher_name,
+           CASE WHEN d.doc_id % 3 <> 0 THEN '10.1000/' || CAST(d.doc_id AS VARCHAR) ELSE '' END AS doi,
+           CAST(NULL AS VARCHAR) AS pmcid, CAST(NULL AS VARCHAR) AS pmid,
+           'journal-article' AS genre, CAST(NULL AS VARCHAR) AS license_type,
+           len(m.ms) > 0 AS has_mentions, m.ms
+    FROM d JOIN m USING (doc_id)),
+  mentions_exploded AS (
+    SELECT paper_id, doc_id, i - 1 AS mention_index, ms[i] AS line
+    FROM (SELECT paper_id, doc_id, ms, unnest(generate_series(1, len(ms))) AS i FROM papers))"""
+
+
 ORACLE = {
     "distinct_key_count": f"""
         SELECT count(DISTINCT user_id) AS n FROM events WHERE event_type = {_q(A.PURCHASE)}""",
@@ -338,4 +363,39 @@ ORACLE = {
                                        lambda x: split_part(x, ' ', 1))) AS normalized_form
           FROM documents)
         GROUP BY normalized_form""",
+    "built_papers": f"""
+        {_BUILT}
+        SELECT paper_id, source_uuid, title, published_year, published_date, publication_venue,
+               publisher_name, doi, pmcid, pmid, genre, license_type, has_mentions
+        FROM papers""",
+    "built_mentions": f"""
+        {_BUILT}
+        SELECT printf('%10d.%s.%05d', paper_id, 'pdf', mention_index) AS software_mention_id,
+               paper_id, 'pdf' AS source_file_type, CAST(mention_index AS INTEGER) AS mention_index,
+               split_part(line, ' ', 2) AS software_raw,
+               split_part(line, ' ', 1) AS software_normalized,
+               CAST(NULL AS VARCHAR) AS version_raw,
+               nullif(split_part(line, ' ', 2), '') AS version_normalized,
+               CAST(NULL AS VARCHAR) AS publisher_raw, CAST(NULL AS VARCHAR) AS publisher_normalized,
+               CAST(NULL AS VARCHAR) AS language_raw, CAST(NULL AS VARCHAR) AS language_normalized,
+               CAST(NULL AS VARCHAR) AS url_raw, CAST(NULL AS VARCHAR) AS url_normalized,
+               nullif(line, '') AS context_full_text
+        FROM mentions_exploded""",
+    "built_assessments": f"""
+        {_BUILT},
+        cells AS (
+          SELECT printf('%10d.%s.%05d', paper_id, 'pdf', mention_index) AS software_mention_id,
+                 paper_id, CAST(mention_index AS INTEGER) AS mention_index, doc_id,
+                 length(line) AS n
+          FROM mentions_exploded)
+        """ + " UNION ALL ".join(
+        f"SELECT software_mention_id, paper_id, 'pdf' AS source_file_type, mention_index, "
+        f"'{scope}' AS scope, '{purpose}' AS purpose, {expr} AS certainty_score FROM cells"
+        for scope, purpose, expr in (
+            ("document", "created", "CASE WHEN doc_id % 2 = 0 THEN (n % 4) / 10.0 ELSE 0.0 END"),
+            ("document", "shared", "CASE WHEN doc_id % 2 = 0 THEN (n % 5) / 10.0 ELSE 0.0 END"),
+            ("document", "used", "CASE WHEN doc_id % 2 = 0 THEN (n % 6) / 10.0 ELSE 0.0 END"),
+            ("local", "created", "(n % 10) / 10.0"),
+            ("local", "shared", "(n % 7) / 10.0"),
+            ("local", "used", "(n % 3) / 10.0"))),
 }
