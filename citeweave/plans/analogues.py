@@ -493,6 +493,27 @@ def built_assessments(spark, d):
     return _built(spark, d)[2]
 
 
+# The three documented analyses, run by their own functions on the built tables.
+BUILT_ITEM = "The"
+BUILT_SINCE = 2010
+BUILT_MIN_SCORE = 0.25
+
+
+def built_papers_mentioning(spark, d):
+    return analyses.distinct_owner_count(built_mentions(spark, d), item=BUILT_ITEM)
+
+
+def built_yearly_counts(spark, d):
+    papers, mentions, _ = _built(spark, d)
+    return analyses.yearly_counts(mentions, papers, item=BUILT_ITEM)
+
+
+def built_popular_used_since(spark, d):
+    papers, mentions, purposes = _built(spark, d)
+    return analyses.popular_used_since(papers, mentions, purposes, since_year=BUILT_SINCE,
+                                       min_score=BUILT_MIN_SCORE)
+
+
 QUERIES = {
     "distinct_key_count": distinct_key_count,
     "yearly_counts_for_item": yearly_counts_for_item,
@@ -533,4 +554,7 @@ QUERIES = {
     "built_papers": built_papers,
     "built_mentions": built_mentions,
     "built_assessments": built_assessments,
+    "built_papers_mentioning": built_papers_mentioning,
+    "built_yearly_counts": built_yearly_counts,
+    "built_popular_used_since": built_popular_used_since,
 }

@@ -398,4 +398,24 @@ ORACLE = {
             ("local", "created", "(n % 10) / 10.0"),
             ("local", "shared", "(n % 7) / 10.0"),
             ("local", "used", "(n % 3) / 10.0"))),
+    "built_papers_mentioning": f"""
+        {_BUILT}
+        SELECT count(DISTINCT paper_id) AS n FROM mentions_exploded
+        WHERE split_part(line, ' ', 1) = {_q(A.BUILT_ITEM)}""",
+    "built_yearly_counts": f"""
+        {_BUILT}
+        SELECT p.published_year, count(*) AS n
+        FROM (SELECT DISTINCT paper_id FROM mentions_exploded
+              WHERE split_part(line, ' ', 1) = {_q(A.BUILT_ITEM)}) h
+        JOIN papers p USING (paper_id)
+        WHERE p.published_year BETWEEN 2000 AND 2020
+        GROUP BY p.published_year""",
+    "built_popular_used_since": f"""
+        {_BUILT}
+        SELECT software_normalized, count(*) AS n FROM (
+          SELECT DISTINCT e.paper_id, split_part(e.line, ' ', 1) AS software_normalized
+          FROM mentions_exploded e JOIN papers p USING (paper_id)
+          WHERE p.published_year >= {A.BUILT_SINCE} AND e.doc_id % 2 = 0
+            AND (length(e.line) % 6) / 10.0 > {A.BUILT_MIN_SCORE})
+        GROUP BY software_normalized""",
 }

@@ -23,4 +23,4 @@ def test_entry_smoke(spark):
     import __spark_entry__ as E
 
     df = E.entry(spark)
-    assert df.columns == ["p_brand", "n"] and df.count() >= 0
+    assert df.columns == ["software_normalized", "n"] and df.count() > 0
