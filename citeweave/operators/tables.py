@@ -218,8 +218,20 @@ def assessments_table(rows: DataFrame) -> DataFrame:
 
 def build_tables(paper_records: DataFrame, mention_records: DataFrame, source_type: str = "pdf",
                  strict: bool = True, num_partitions: int | None = None):
-    """(papers, mentions, purpose_assessments) from paper and mention JSON records."""
-    papers = papers_table(paper_records, mention_records, strict, num_partitions)
-    rows = mention_rows(mention_records, papers.select("source_uuid", "paper_id"), source_type,
+    """(papers, mentions, purpose_assessments) from paper and mention JSON records.
+
+    Paper ids come first; the mention records are exploded once against them; ``has_mentions`` is
+    then the existence of an exploded row for the paper (a non-empty list gives at least one), so
+    the mention records are read once for all three tables.
+    """
+    core = paper_ids(paper_rows(paper_records, strict), num_partitions)
+    rows = mention_rows(mention_records, core.select("source_uuid", "paper_id"), source_type,
                         strict)
-    return papers, mentions_table(rows), assessments_table(rows)
+    flat = flat_mention_rows(rows)
+    return papers_from_mentions(core, flat), mentions_from_flat(flat), assessments_from_flat(flat)
+
+
+def papers_from_mentions(core: DataFrame, flat: DataFrame) -> DataFrame:
+    """Papers with ids plus ``has_mentions`` from the exploded mention rows."""
+    return _with_comments(existence_flag(core, flat.select("paper_id"), "paper_id",
+                                         "has_mentions"), PAPERS)

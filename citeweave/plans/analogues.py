@@ -431,7 +431,7 @@ def _paper_records(spark, d):
         (F.col("doc_id") % 28 + 1).cast("int")))
     return docs.select(
         uuid.alias("id"), F.concat(uuid, F.lit(".json")).alias("file"),
-        F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
+        F.substring_index("text", "\n", 1).alias("title"),
         year.cast("long").alias("year"), date.alias("published_date"),
         F.col("source").alias("journal_name"), F.col("lang").alias("publisher"),
         F.when(F.col("doc_id") % 3 != 0, F.concat(F.lit("10.1000/"), F.col("doc_id").cast("string")))
@@ -449,12 +449,21 @@ def _mention_records(spark, d):
     """Mention JSON records (``MENTION_JSON`` shape): one per document, listing its long lines.
 
     Software name and version are the line's first and second words; scores are derived from the
-    line length; documents with an odd id carry no document-level attributes (scores 0.0)."""
+    line length; documents with an odd id carry no document-level attributes (scores 0.0).
+    Each line's length and words are computed once, then the mention structs are built from them.
+    """
     docs = table(spark, d, "documents").select("doc_id", F.split("text", "\n").alias("lines"))
     no_forms = F.lit(None).cast("struct<normalizedForm:string,rawForm:string>")
+    measured = F.transform(
+        F.filter("lines", lambda ln: F.length(ln) > MIN_MENTION_CHARS),
+        lambda ln: F.struct(ln.alias("line"), F.length(ln).alias("n"),
+                            F.split(ln, " ", 3).alias("w")))
+
+    def word(x, i):
+        return F.coalesce(F.get(x["w"], i), F.lit(""))
 
-    def mention(ln):
-        n = F.length(ln)
+    def mention(x):
+        n = x["n"]
         local = F.struct(_score((n % 10) / 10.0).alias("created"),
                          _score((n % 7) / 10.0).alias("shared"),
                          _score((n % 3) / 10.0).alias("used"))
@@ -462,19 +471,17 @@ def _mention_records(spark, d):
             _score((n % 4) / 10.0).alias("created"), _score((n % 5) / 10.0).alias("shared"),
             _score((n % 6) / 10.0).alias("used")))
         return F.struct(
-            F.struct(F.split_part(ln, F.lit(" "), F.lit(1)).alias("normalizedForm"),
-                     F.split_part(ln, F.lit(" "), F.lit(2)).alias("rawForm"),
+            F.struct(word(x, 0).alias("normalizedForm"), word(x, 1).alias("rawForm"),
                      F.lit(None).cast("string").alias("wikidataId")).alias("software-name"),
-            F.struct(F.split_part(ln, F.lit(" "), F.lit(2)).alias("normalizedForm"),
-                     F.lit("").alias("rawForm")).alias("version"),
+            F.struct(word(x, 1).alias("normalizedForm"), F.lit("").alias("rawForm"))
+            .alias("version"),
             no_forms.alias("publisher"), no_forms.alias("language"), no_forms.alias("url"),
-            ln.alias("context"),
+            x["line"].alias("context"),
             local.alias("mentionContextAttributes"), doc.alias("documentContextAttributes"))
 
-    long_lines = F.filter("lines", lambda ln: F.length(ln) > MIN_MENTION_CHARS)
     return docs.select(
         F.concat(_uuid_of(F.col("doc_id")), F.lit(".software.json")).alias("file"),
-        F.transform(long_lines, mention).alias("mentions"))
+        F.transform(measured, mention).alias("mentions"))
 
 
 def _built(spark, d):

@@ -64,21 +64,19 @@ def extract_tables(spark: SparkSession, collection: str, out: str, source_type:
                    strict: bool = True, repartition: int | None = None) -> None:
     """Collated JSONL → papers.parquet, mentions.<type>.parquet, purpose_assessments.<type>.parquet.
 
-    The papers (with their dense ids) are computed once and written to the shared checkpoint
-    folder, so the mention lookup and the papers write read the same ids.
+    Papers with their dense ids are written once to the shared checkpoint folder; the mention
+    records are scanned once, exploded against those ids and written once as a flat intermediate;
+    the three tables are then derived from the two intermediates.
     """
     papers_in = jsonl.read_collection(spark, collection, PAPER_JSON, "papers",
                                       repartition=repartition)
     mentions_in = jsonl.read_collection(spark, collection, MENTION_JSON, source_type,
                                         repartition=repartition)
-    papers = tables.papers_table(papers_in, mentions_in, strict=strict)
-    papers = materialize(papers, "papers-with-ids")
-    rows = tables.mention_rows(mentions_in, papers.select("source_uuid", "paper_id"),
+    core = materialize(tables.paper_ids(tables.paper_rows(papers_in, strict)), "papers-with-ids")
+    rows = tables.mention_rows(mentions_in, core.select("source_uuid", "paper_id"),
                                source_type, strict)
-    # Both tables come from one flat intermediate, so the JSON scan, the id lookup join and the
-    # explode run once.
     flat = materialize(tables.flat_mention_rows(rows), "mention-rows")
-    writers.write_table(papers, f"{out}/papers.parquet")
+    writers.write_table(tables.papers_from_mentions(core, flat), f"{out}/papers.parquet")
     writers.write_table(tables.mentions_from_flat(flat), f"{out}/mentions.{source_type}.parquet")
     writers.write_table(tables.assessments_from_flat(flat),
                         f"{out}/purpose_assessments.{source_type}.parquet")
