@@ -236,3 +236,14 @@ def assert_no_conflicts(typed: DataFrame) -> DataFrame:
                                                          F.col("path")))).cast("string")
     return (typed.join(bad, "path", "left")
             .withColumn("path", F.coalesce(check, F.col("path"))).drop("_bad"))
+
+
+def raise_on_conflicts(profile: DataFrame) -> DataFrame:
+    """Strict form over a finished profile: a path of kind ``conflict`` raises at action time.
+
+    The per-path statistics already hold every path's classes, so no second pass over the
+    leaves is needed (unlike :func:`assert_no_conflicts`, which checks the leaves themselves).
+    """
+    check = F.when(F.col("kind") == "conflict", F.raise_error(
+        F.concat(F.lit("type conflict at "), F.col("path")))).cast("string")
+    return profile.withColumn("kind", F.coalesce(check, F.col("kind")))

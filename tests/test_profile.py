@@ -33,6 +33,8 @@ def test_conflict(spark):
         (".a", 2, "number,string")]
     with pytest.raises(SPARK_ERRORS):
         profile.assert_no_conflicts(typed).collect()
+    with pytest.raises(SPARK_ERRORS):
+        profile.raise_on_conflicts(profile.json_profile(typed)).collect()
 
 
 def test_enum_limit(spark):
