@@ -66,6 +66,42 @@ def zero_filled_counts(dimension: DataFrame, facts: DataFrame, key: str,
             .withColumn(alias, F.coalesce(F.col("_n"), F.lit(0)).cast("long")).drop("_n"))
 
 
+def _pairs_in_owners(pairs: DataFrame, owner: str, item: str, left: str, right: str,
+                     alias: str) -> DataFrame:
+    """Pair counts by a plain self-join on the owner (owners here hold a bounded item set)."""
+    a = pairs.select(owner, F.col(item).alias(left))
+    b = pairs.select(owner, F.col(item).alias(right))
+    return (a.join(b, owner).where(F.col(left) < F.col(right))
+            .groupBy(left, right).agg(F.count(F.lit(1)).alias(alias)))
+
+
+def _pairs_in_blocks(pairs: DataFrame, owner: str, item: str, block_size: int, left: str,
+                     right: str, alias: str) -> DataFrame:
+    """Pair counts with every owner of more than ``block_size`` items split into hash blocks.
+
+    Each item row is copied to the block pairs it belongs to and the pairs are formed by an
+    equi-join on (owner, block_i, block_j): an owner with k items is spread over about
+    (k / block_size)^2 / 2 join keys and no task forms more than about block_size^2 of its pairs.
+    """
+    sizes = (pairs.groupBy(owner).agg(F.count(F.lit(1)).alias("_k"))
+             .where(F.col("_k") > block_size)
+             .select(owner, F.ceil(F.col("_k") / F.lit(block_size)).cast("int").alias("_nb")))
+    blocked = (pairs.join(sizes, owner, "left")
+               .withColumn("_nb", F.coalesce(F.col("_nb"), F.lit(1)))
+               .withColumn("_b", F.pmod(F.xxhash64(F.col(item)), F.col("_nb")).cast("int")))
+    # As left member an item pairs with its own block and every later block; as right member
+    # with its own block and every earlier one.
+    lhs = blocked.select(F.col(owner), F.col(item).alias("_a"), F.col("_b").alias("_bi"),
+                         F.explode(F.sequence(F.col("_b"), F.col("_nb") - 1)).alias("_bj"))
+    rhs = blocked.select(F.col(owner), F.col(item).alias("_c"),
+                         F.explode(F.sequence(F.lit(0), F.col("_b"))).alias("_bi"),
+                         F.col("_b").alias("_bj"))
+    joined = lhs.join(rhs, [owner, "_bi", "_bj"], "inner").where(
+        (F.col("_bi") < F.col("_bj")) | (F.col("_a") < F.col("_c")))
+    return (joined.select(F.least("_a", "_c").alias(left), F.greatest("_a", "_c").alias(right))
+            .groupBy(left, right).agg(F.count(F.lit(1)).alias(alias)))
+
+
 def co_occurrence_counts(df: DataFrame, owner: str = "paper_id",
                          item: str = "software_normalized",
                          stop_list: Iterable | None = tuple(GENERIC_SOFTWARE_NAMES),
@@ -75,17 +111,21 @@ def co_occurrence_counts(df: DataFrame, owner: str = "paper_id",
                          alias: str = "n", materialize_pairs: bool = True) -> DataFrame:
     """Number of owners holding both items, for every unordered item pair (left < right).
 
-    1. A-priori pruning: only items with ``min_item_support`` owners can take part.
-    2. Owners are split into blocks of about ``block_size`` items by a hash of the item, with the
-       number of blocks taken from the owner's own item count (one block for ordinary owners). Each
-       item row is copied to the block pairs it belongs to and the pairs are formed by an equi-join
-       on (owner, block_i, block_j). An owner with k items is therefore spread over about
-       (k / block_size)^2 / 2 join keys, and no task forms more than about block_size^2 pairs, so a
-       single very large owner cannot land in one task.
-    3. Pair counts are pre-aggregated per task before the shuffle on the pair.
-
-    The pruned (owner, item) set feeds three branches; it is written once to the shared
-    checkpoint folder (``materialize_pairs``) so the scan, distinct and pruning run once.
+    1. A-priori pruning: only items with ``min_item_support`` owners can take part. The pruned
+       (owner, item) set feeds several branches, so it is written once to the shared checkpoint
+       folder (``materialize_pairs``).
+    2. Owners holding more than ``block_size`` of those items are *heavy*; their number h is
+       counted (one small aggregation).
+       * h = 0: pairs come from a self-join on the owner.
+       * 0 < h < ``min_pair_support``: a pair held by no ordinary owner is held by at most h
+         owners and cannot qualify, so heavy owners only add to pairs that ordinary owners
+         produce. Ordinary pairs with at least ``min_pair_support - h`` owners are the candidates,
+         and each heavy owner holding both items of a candidate adds one, found by joining the
+         candidates with the heavy owners' items on both members. No pair of a heavy owner is
+         enumerated, however many items it holds.
+       * otherwise (or with no pair threshold): every owner's pairs are formed in hash blocks
+         (see :func:`_pairs_in_blocks`), so a heavy owner is spread over many tasks.
+    3. Pair counts are pre-aggregated in each task before the shuffle on the pair.
     """
     pairs = owner_item_set(df, owner, item, stop_list)
     if min_item_support and min_item_support > 1:
@@ -93,28 +133,30 @@ def co_occurrence_counts(df: DataFrame, owner: str = "paper_id",
                      .where(F.col("_s") >= min_item_support).select(item))
         pairs = pairs.join(supported, item, "left_semi")
     if materialize_pairs:
-        # Read three times below (owner sizes and both join sides): write it once.
         pairs = materialize(pairs, "co-occurrence-pairs")
 
-    # Block count per owner; owners that fit in one block are absent here and get one block.
-    sizes = (pairs.groupBy(owner).agg(F.count(F.lit(1)).alias("_k"))
-             .where(F.col("_k") > block_size)
-             .select(owner, F.ceil(F.col("_k") / F.lit(block_size)).cast("int").alias("_nb")))
-    blocked = (pairs.join(sizes, owner, "left")
-               .withColumn("_nb", F.coalesce(F.col("_nb"), F.lit(1)))
-               .withColumn("_b", F.pmod(F.xxhash64(F.col(item)), F.col("_nb")).cast("int")))
-    # As left member an item pairs with its own block and every later block; as right member
-    # with its own block and every earlier one.
-    lhs = blocked.select(F.col(owner), F.col(item).alias("_a"), F.col("_b").alias("_bi"),
-                         F.explode(F.sequence(F.col("_b"), F.col("_nb") - 1)).alias("_bj"))
-    rhs = blocked.select(F.col(owner), F.col(item).alias("_c"),
-                         F.explode(F.sequence(F.lit(0), F.col("_b"))).alias("_bi"),
-                         F.col("_b").alias("_bj"))
-    joined = lhs.join(rhs, [owner, "_bi", "_bj"], "inner").where(
-        (F.col("_bi") < F.col("_bj")) | (F.col("_a") < F.col("_c")))
-    counts = (joined.select(F.least("_a", "_c").alias(left), F.greatest("_a", "_c").alias(right))
-              .groupBy(left, right).agg(F.count(F.lit(1)).alias(alias)))
-    return counts.where(F.col(alias) >= min_pair_support) if min_pair_support else counts
+    heavy = (pairs.groupBy(owner).agg(F.count(F.lit(1)).alias("_k"))
+             .where(F.col("_k") > block_size).select(owner))
+    n_heavy = heavy.count()
+    threshold = min_pair_support or 0
+    if n_heavy == 0:
+        counts = _pairs_in_owners(pairs, owner, item, left, right, alias)
+    elif threshold > n_heavy:
+        ordinary = pairs.join(heavy, owner, "left_anti")
+        heavy_items = pairs.join(heavy, owner, "left_semi")
+        base = (_pairs_in_owners(ordinary, owner, item, left, right, "_n")
+                .where(F.col("_n") >= threshold - n_heavy))
+        lift = (base.select(left, right)
+                .join(heavy_items.select(owner, F.col(item).alias(left)), left)
+                .join(heavy_items.select(owner, F.col(item).alias(right)), [owner, right],
+                      "left_semi")
+                .groupBy(left, right).agg(F.count(F.lit(1)).alias("_h")))
+        counts = (base.join(lift, [left, right], "left")
+                  .select(left, right,
+                          (F.col("_n") + F.coalesce(F.col("_h"), F.lit(0))).alias(alias)))
+    else:
+        counts = _pairs_in_blocks(pairs, owner, item, block_size, left, right, alias)
+    return counts.where(F.col(alias) >= threshold) if threshold else counts
 
 
 def ranked_counts(counts_df: DataFrame, name: str, alias: str = "n") -> DataFrame:

@@ -49,20 +49,36 @@ def test_top_ranked_short_result(spark):
     assert [(r.rank, r.item) for r in top] == [(0, "a"), (1, "b"), (2, "c")]
 
 
-def test_co_occurrence_matches_brute_force_with_heavy_owner_split(spark):
-    rnd = random.Random(7)
-    rows = [(o, f"s{rnd.randrange(30)}") for o in range(300) for _ in range(rnd.randrange(1, 6))]
-    rows += [(9999, f"s{i}") for i in range(30)]          # one owner holding every item
+def _random_rows(seed, n_owners, n_items, heavy):
+    rnd = random.Random(seed)
+    rows = [(o, f"s{rnd.randrange(n_items)}") for o in range(n_owners)
+            for _ in range(rnd.randrange(1, 6))]
+    for h in range(heavy):                                # owners holding almost every item
+        rows += [(10_000 + h, f"s{i}") for i in range(n_items) if rnd.random() < 0.9]
     rows += [(o, "code") for o in range(50)]              # stop-listed name
-    df = spark.createDataFrame(rows, "paper_id long, software_normalized string")
-    want_pairs, want_support = _brute_pairs(rows, {"code"}, 20, 3)
-    for block in (4, 2048):                               # 4 forces the heavy owner to split
+    return rows
+
+
+def test_co_occurrence_paths_match_brute_force(spark):
+    # (heavy owners, pair threshold, block size) covering the three strategies:
+    # no heavy owner; fewer heavy owners than the threshold (membership lift, no heavy pairs
+    # formed); as many heavy owners as the threshold (blocked enumeration).
+    for heavy, min_pair, block in ((0, 3, 2048), (2, 3, 8), (4, 3, 8), (1, 3, 8)):
+        rows = _random_rows(7 + heavy, 300, 30, heavy)
+        df = spark.createDataFrame(rows, "paper_id long, software_normalized string")
+        want, _ = _brute_pairs(rows, {"code"}, 20, min_pair)
         got = {(r.item_a, r.item_b): r.n for r in counts.co_occurrence_counts(
-            df, min_item_support=20, min_pair_support=3, block_size=block).collect()}
-        assert got == want_pairs
-    got_sup = {r.software_normalized: r.n for r in
-               counts.item_support(df, min_support=20).collect()}
-    assert got_sup == want_support
+            df, min_item_support=20, min_pair_support=min_pair, block_size=block).collect()}
+        assert got == want, (heavy, min_pair, block)
+
+
+def test_support_matches_brute_force(spark):
+    rows = _random_rows(3, 300, 30, 1)
+    df = spark.createDataFrame(rows, "paper_id long, software_normalized string")
+    _, want_support = _brute_pairs(rows, {"code"}, 20, 1)
+    got = {r.software_normalized: r.n for r in
+           counts.item_support(df, min_support=20).collect()}
+    assert got == want_support
 
 
 def test_zero_filled_counts(spark):
