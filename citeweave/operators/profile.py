@@ -130,25 +130,26 @@ def materialize_statistics(stats: DataFrame) -> DataFrame:
     return materialize(stats, "json-path-statistics")
 
 
-def enum_candidates(stats: DataFrame, max_values: int = MAX_ENUM_VALUES) -> list[str]:
+def enum_candidates(stats: DataFrame, max_values: int = MAX_ENUM_VALUES) -> DataFrame:
     """Paths whose approximate distinct count is below a wide margin (5x the limit, at least
-    100). The list has one entry per path at most: schema-sized, like the schema string."""
+    100). Kept as a DataFrame: with object keys that are data (ids as keys) the number of paths
+    grows with the data, so it is joined, never collected."""
     margin = max(100, 5 * max_values)
-    return [r["path"] for r in stats.where(F.col("_approx_values") <= margin)
-            .select("path").collect()]
+    return stats.where(F.col("_approx_values") <= margin).select("path")
 
 
-def path_histograms(typed: DataFrame, candidates: list[str],
+def path_histograms(typed: DataFrame, candidates: DataFrame,
                     max_values: int = MAX_ENUM_VALUES) -> DataFrame:
     """(path, value, n, n_values) for candidate paths with at most ``max_values`` values.
 
-    Only candidate paths are counted, so long free-text values are never shuffled here. Their
-    values are counted per (path, value) with map-side partial counts, then gathered per path:
-    a candidate has about ``5 * max_values`` values at most, so each gathered list is small
-    whatever the number of rows. The exact distinct count then decides.
+    Only candidate paths are counted (a semi-join with the candidate list), so long free-text
+    values are never shuffled here. Values are counted per (path, value) with map-side partial
+    counts, then gathered per path: a candidate has about ``5 * max_values`` values at most, so
+    each gathered list is small whatever the number of rows. The exact count then decides.
     """
     value = enum_value_text(F.col("cls"), F.col("s"), F.col("x"))
-    counted = (typed.where(F.col("cls").isin("string", "number") & F.col("path").isin(candidates))
+    counted = (typed.where(F.col("cls").isin("string", "number"))
+               .join(candidates, "path", "left_semi")
                .select("path", value.alias("value"))
                .groupBy("path", "value").agg(F.count(F.lit(1)).alias("n")))
     per_path = (counted.groupBy("path")
