@@ -45,14 +45,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is only read here. A folder of our own
-    is set only when the setting is absent, which happens in local tests.
+    On a cluster this setting points at shared storage and is only read here (the SparkContext's
+    checkpoint folder is used when only that is set). A folder of our own is created only when
+    neither is set, which happens in local tests.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        configured = spark.sparkContext.getCheckpointDir()
+        if configured:
+            return configured
         configured = tempfile.mkdtemp(prefix="citeweave-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
+        try:
+            spark.conf.set("spark.checkpoint.dir", configured)
+        except Exception:  # noqa: BLE001 - some sessions reject core settings at run time
+            pass
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(configured)
     return configured
 
 
