@@ -201,8 +201,14 @@ def json_enums(typed: DataFrame, max_values: int = MAX_ENUM_VALUES) -> DataFrame
     return profile_parts(typed, max_values)[1]
 
 
-def profile_summary(profile: DataFrame) -> DataFrame:
-    """``path;summary`` report lines, as the command-line report printed them (sorted by path)."""
+def profile_summary(profile: DataFrame, enums: DataFrame | None = None) -> DataFrame:
+    """``path;summary`` report lines, sorted by path.
+
+    boolean ``true:T;false:F``; number ``<type>;<min>;<max>`` (integers as ``%d``, others as
+    ``%f``); string ``enum;<n>;`` or ``string;``; ``empty``. With ``enums`` each enum's values
+    follow as ``value:count;`` in value order (at most 20 per path, gathered per path), numbers
+    formatted like their min and max. A ``;`` always separates max from the first entry.
+    """
     num = (F.when(F.col("number_type").startswith("float"),
                   F.format_string("%s;%f;%f", "number_type", "min", "max"))
            .otherwise(F.format_string("%s;%d;%d", F.col("number_type"),
@@ -215,7 +221,26 @@ def profile_summary(profile: DataFrame) -> DataFrame:
                      F.format_string("enum;%d;", "n_values"))
                .when(F.col("kind") == "string", F.lit("string;"))
                .otherwise(F.col("kind")))
-    return profile.select("path", summary.alias("summary")).orderBy("path")
+    if enums is None:
+        return profile.select("path", summary.alias("summary")).orderBy("path")
+    kinds = profile.select("path", "kind", "number_type")
+    entry_text = (F.when((F.col("kind") == "number") & F.col("number_type").startswith("float"),
+                         F.format_string("%f", F.col("value").cast("double")))
+                  .otherwise(F.col("value")))
+    entries = (enums.join(kinds, "path")
+               .select("path", F.struct(
+                   F.when(F.col("kind") == "number", F.col("value").cast("double")).alias("x"),
+                   F.col("value").alias("v"),
+                   F.concat(entry_text, F.lit(":"), F.col("n").cast("string"), F.lit(";"))
+                   .alias("e")).alias("_e"))
+               .groupBy("path").agg(F.array_sort(F.collect_list("_e")).alias("_es"))
+               .select("path", F.array_join(F.col("_es.e"), "").alias("_entries")))
+    sep = F.when(F.col("kind") == "number", F.lit(";")).otherwise(F.lit(""))
+    lines = (profile.join(entries, "path", "left")
+             .select("path", F.when(F.col("_entries").isNotNull(),
+                                    F.concat(summary, sep, F.col("_entries")))
+                     .otherwise(summary).alias("summary")))
+    return lines.orderBy("path")
 
 
 def empty_paths(profile: DataFrame) -> DataFrame:

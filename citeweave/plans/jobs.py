@@ -88,7 +88,8 @@ def json_stats(spark: SparkSession, path: str, out: str | None = None) -> DataFr
     """Profile of every leaf path in JSONL files, as ``path;summary`` lines sorted by path."""
     docs = jsonl.read_variant_lines(spark, path, "v")
     typed = profile.typed_leaves(profile.json_leaves(docs))
-    report = profile.profile_summary(profile.raise_on_conflicts(profile.json_profile(typed)))
+    prof, enums = profile.profile_parts(typed)
+    report = profile.profile_summary(profile.raise_on_conflicts(prof), enums)
     if out:
         writers.write_report(report, out)
     return report

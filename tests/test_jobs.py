@@ -69,7 +69,7 @@ def test_json_stats_and_sort(spark, tmp_path):
                       {"file": u2 + ".x", "n": 2, "b": False},
                       {"file": u1 + ".x", "n": 3}])
     lines = [tuple(r) for r in jobs.json_stats(spark, src).collect()]
-    assert lines[0] == (".b", "true:1;false:1") and lines[2] == (".n", "uint8;1;3")
+    assert lines[0] == (".b", "true:1;false:1") and lines[2] == (".n", "uint8;1;3;1:1;2:1;3:1;")
     out = str(tmp_path / "sorted")
     jobs.sort_jsonl(spark, src, out)
     got = [json.loads(r.value)["n"] for r in spark.read.text(out).collect()]

@@ -69,3 +69,14 @@ def test_nested_depth(spark):
 def test_brackets_inside_strings_do_not_count(spark):
     prof, _, _ = _profile(spark, ['{"a":"x[{\\"y]]]]"}', '{"b":[{"c":"]]"}]}'])
     assert set(prof) == {".a", ".b[].c"}
+
+
+def test_summary_lines_with_enum_entries(spark):
+    df = spark.createDataFrame([(x,) for x in ['{"n":2,"s":"b","f":0.5}', '{"n":10,"s":"a","f":1.5}',
+                                               '{"n":2,"s":"a"}']], "j string")
+    typed = profile.typed_leaves(profile.json_leaves(profile.parse_documents(df, "j")))
+    prof, enums = profile.profile_parts(typed)
+    lines = dict(tuple(r) for r in profile.profile_summary(prof, enums).collect())
+    assert lines[".n"] == "uint8;2;10;2:2;10:1;"          # numeric order, not text order
+    assert lines[".s"] == "enum;2;a:2;b:1;"
+    assert lines[".f"] == "float32;0.500000;1.500000;0.500000:1;1.500000:1;"
