@@ -275,6 +275,11 @@ def json_empty_paths(spark, d):
     return profile.empty_paths(json_profile(spark, d))
 
 
+def json_report(spark, d):
+    prof, enums = profile.profile_parts(_typed_leaves(spark, d))
+    return profile.profile_summary(prof, enums)
+
+
 def json_type_conflicts(spark, d):
     return profile.type_conflicts(_typed_leaves(spark, d))
 
@@ -546,6 +551,7 @@ QUERIES = {
     "json_enums": json_enums,
     "json_empty_paths": json_empty_paths,
     "json_type_conflicts": json_type_conflicts,
+    "json_report": json_report,
     "typed_ids": typed_ids,
     "id_roundtrip_violations": id_roundtrip_violations,
     "licence_codes": licence_codes,

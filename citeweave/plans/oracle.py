@@ -418,4 +418,34 @@ ORACLE = {
           WHERE p.published_year >= {A.BUILT_SINCE} AND e.doc_id % 2 = 0
             AND (length(e.line) % 6) / 10.0 > {A.BUILT_MIN_SCORE})
         GROUP BY software_normalized""",
+    "json_report": f"""
+        WITH {_LEAVES},
+        kinds AS (
+          SELECT path, kind, n_true, n_false, mn, mx, n_values,
+                 CASE WHEN kind = 'number' THEN {_NUMBER_TYPE} END AS number_type
+          FROM prof),
+        ent AS (
+          SELECT h.path,
+                 string_agg(CASE WHEN k.kind = 'number' AND k.number_type LIKE 'float%'
+                                 THEN printf('%f', CAST(h.value AS DOUBLE)) ELSE h.value END
+                            || ':' || CAST(h.n AS VARCHAR) || ';', ''
+                            ORDER BY CASE WHEN k.kind = 'number' THEN CAST(h.value AS DOUBLE) END
+                                     NULLS FIRST, h.value) AS entries
+          FROM hist h JOIN nvals v ON v.path = h.path JOIN kinds k ON k.path = h.path
+          WHERE k.kind IN ('string', 'number')
+          GROUP BY h.path)
+        SELECT k.path,
+               CASE WHEN kind = 'empty' THEN 'empty'
+                    WHEN kind = 'boolean' THEN printf('true:%d;false:%d', n_true, n_false)
+                    WHEN kind = 'number' THEN
+                      (CASE WHEN number_type LIKE 'float%'
+                            THEN printf('%s;%f;%f', number_type, mn, mx)
+                            ELSE printf('%s;%d;%d', number_type, CAST(mn AS BIGINT),
+                                        CAST(mx AS BIGINT)) END)
+                      || COALESCE(';' || e.entries, '')
+                    WHEN kind = 'string' AND n_values IS NOT NULL
+                      THEN printf('enum;%d;', n_values) || COALESCE(e.entries, '')
+                    WHEN kind = 'string' THEN 'string;'
+                    ELSE kind END AS summary
+        FROM kinds k LEFT JOIN ent e ON e.path = k.path""",
 }
