@@ -38,6 +38,19 @@ def write_table(df: DataFrame, out: str, partition_by: list[str] | None = None,
     writer.parquet(out)
 
 
+def write_bucketed_table(df: DataFrame, name: str, path: str, key: str = "paper_id",
+                         num_buckets: int = 1024, compression: str = "gzip",
+                         mode: str = "overwrite") -> None:
+    """Catalog table at ``path`` bucketed and sorted by ``key``.
+
+    Tables written with the same key and bucket count (papers, mentions, assessments by
+    ``paper_id``) are joined on that key without a shuffle on either side, and an aggregation
+    grouped by a superset of the key reuses the bucketing too.
+    """
+    (df.write.mode(mode).option("compression", compression).option("path", path)
+     .bucketBy(num_buckets, key).sortBy(key).saveAsTable(name))
+
+
 def write_samples(sampled: DataFrame, out: str, sample_col: str = "sample",
                   mode: str = "overwrite") -> None:
     """One folder per sample (``sample=0``, ``sample=1``, ...), in a single pass over the rows."""

@@ -45,3 +45,29 @@ def test_table_comments_and_partitioned_write(spark, tmp_path):
     writers.write_table(df, out, partition_by=["v"])
     back = spark.read.parquet(out)
     assert writers.table_comment(back, "k") == "the key" and back.count() == 1
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    papers = spark.range(2000).select(F.col("id").alias("paper_id"),
+                                      (F.col("id") % 30 + 1990).cast("int").alias("published_year"))
+    mentions = spark.range(8000).select((F.col("id") % 2000).alias("paper_id"),
+                                        (F.col("id") % 7).cast("string").alias("software"))
+    writers.write_bucketed_table(papers, "cw_papers", str(tmp_path / "p"), num_buckets=8)
+    writers.write_bucketed_table(mentions, "cw_mentions", str(tmp_path / "m"), num_buckets=8)
+    p, m = spark.table("cw_papers"), spark.table("cw_mentions")
+    joined = (p.where("published_year >= 2010").join(m, "paper_id")
+              .select("paper_id", "software").distinct())
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = (p.where("published_year >= 2010").join(m, "paper_id")
+                .select("paper_id", "software").distinct()
+                ._jdf.queryExecution().executedPlan().toString())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan.split("SortMergeJoin")[1].split(
+        "HashAggregate")[0]
+    want = {(i % 2000, str(i % 7)) for i in range(8000) if (i % 2000) % 30 + 1990 >= 2010}
+    assert {(r.paper_id, r.software) for r in joined.collect()} == want
