@@ -61,12 +61,15 @@ def collate_tree(spark: SparkSession, raw_root: str, out: str,
 # JOB-2, JOB-3 ----------------------------------------------------------------------------------
 
 def extract_tables(spark: SparkSession, collection: str, out: str, source_type: str = "pdf",
-                   strict: bool = True, repartition: int | None = None) -> None:
+                   strict: bool = True, repartition: int | None = None,
+                   table_prefix: str | None = None, num_buckets: int = 1024) -> None:
     """Collated JSONL → papers.parquet, mentions.<type>.parquet, purpose_assessments.<type>.parquet.
 
     Papers with their dense ids are written once to the shared checkpoint folder; the mention
     records are scanned once, exploded against those ids and written once as a flat intermediate;
-    the three tables are then derived from the two intermediates.
+    the three tables are then derived from the two intermediates. With ``table_prefix`` the
+    tables are also registered in the catalog as ``<prefix>papers`` etc., bucketed and sorted by
+    ``paper_id`` (``num_buckets``), so later joins on ``paper_id`` need no shuffle.
     """
     papers_in = jsonl.read_collection(spark, collection, PAPER_JSON, "papers",
                                       repartition=repartition)
@@ -76,10 +79,18 @@ def extract_tables(spark: SparkSession, collection: str, out: str, source_type:
     rows = tables.mention_rows(mentions_in, core.select("source_uuid", "paper_id"),
                                source_type, strict)
     flat = materialize(tables.flat_mention_rows(rows), "mention-rows")
-    writers.write_table(tables.papers_from_mentions(core, flat), f"{out}/papers.parquet")
-    writers.write_table(tables.mentions_from_flat(flat), f"{out}/mentions.{source_type}.parquet")
-    writers.write_table(tables.assessments_from_flat(flat),
-                        f"{out}/purpose_assessments.{source_type}.parquet")
+    outputs = {
+        "papers": (tables.papers_from_mentions(core, flat), f"{out}/papers.parquet"),
+        "mentions": (tables.mentions_from_flat(flat), f"{out}/mentions.{source_type}.parquet"),
+        "purpose_assessments": (tables.assessments_from_flat(flat),
+                                f"{out}/purpose_assessments.{source_type}.parquet"),
+    }
+    for name, (df, path) in outputs.items():
+        if table_prefix:
+            writers.write_bucketed_table(df, f"{table_prefix}{name}", path,
+                                         num_buckets=num_buckets)
+        else:
+            writers.write_table(df, path)
 
 
 # JOB-4 -----------------------------------------------------------------------------------------

@@ -113,3 +113,13 @@ def test_raw_tree_jobs(spark, tmp_path):
     slim = spark.read.parquet(str(tmp_path / "slim"))
     assert slim.schema["id"].dataType.typeName() == "binary" and slim.count() == 5
     assert [r.name for r in jobs.residual_report(spark, raw).collect()] == ["readme.txt"]
+
+
+def test_extract_tables_bucketed(spark, tmp_path):
+    coll, tabs = str(tmp_path / "coll"), str(tmp_path / "tables")
+    _collection(coll)
+    jobs.extract_tables(spark, coll, tabs, table_prefix="cw_built_", num_buckets=4)
+    papers = spark.table("cw_built_papers")
+    mentions = spark.table("cw_built_mentions")
+    assert papers.count() == 120 and mentions.count() == 180
+    assert spark.read.parquet(f"{tabs}/purpose_assessments.pdf.parquet").count() == 1080
