@@ -34,27 +34,37 @@ def _children(spark: SparkSession, path: str) -> list[str]:
 
 # JOB-1 -----------------------------------------------------------------------------------------
 
-def collate_tree(spark: SparkSession, raw_root: str, out: str,
-                 schema=None, resume: bool = True) -> list[str]:
+def collate_tree(spark: SparkSession, raw_root: str, out: str, schema=None, resume: bool = True,
+                 prefixes_per_job: int = 8, open_cost_bytes: int = 64 * 1024) -> list[str]:
     """Raw tree → JSONL partitioned by parse type and prefix; returns the prefixes processed.
 
-    With ``resume`` a prefix is skipped when both standard outputs (papers and pdf mentions) exist
-    already, and only the remaining top-level folders are scanned.
+    With ``resume`` a prefix is skipped when both standard outputs (papers and pdf mentions)
+    exist already. Pending prefixes are collated ``prefixes_per_job`` at a time: the driver only
+    ever lists that share of the ~100 M files, and each group commits on its own, so a failure
+    loses at most one group. Raw files are a few KB each; ``open_cost_bytes`` (the planner's
+    per-file cost, 4 MB by default) is lowered for this read so a task packs thousands of files.
     """
     prefixes = [p for p in _children(spark, raw_root) if len(p) == 2]
     if resume:
         done_paper = {p.split("=", 1)[1] for p in _children(spark, f"{out}/parse_type=paper")}
         done_pdf = {p.split("=", 1)[1] for p in _children(spark, f"{out}/parse_type=pdf")}
         prefixes = [p for p in prefixes if p not in (done_paper & done_pdf)]
-    if not prefixes:
-        return []
-    paths = [os.path.join(raw_root, p) for p in prefixes]
-    reader = (spark.read.option("multiLine", True).option("recursiveFileLookup", True)
-              .option("pathGlobFilter", "*.json"))
-    if schema is not None:
-        reader = reader.schema(schema)
-    records = reader.json(paths).withColumn("_file_name", F.col("_metadata.file_name"))
-    writers.write_collection(collate.collate_records(records, "_file_name"), out, mode="overwrite")
+    key = "spark.sql.files.openCostInBytes"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(open_cost_bytes))
+    try:
+        for start in range(0, len(prefixes), prefixes_per_job):
+            group = prefixes[start:start + prefixes_per_job]
+            reader = (spark.read.option("multiLine", True).option("recursiveFileLookup", True)
+                      .option("pathGlobFilter", "*.json"))
+            if schema is not None:
+                reader = reader.schema(schema)
+            records = (reader.json([os.path.join(raw_root, p) for p in group])
+                       .withColumn("_file_name", F.col("_metadata.file_name")))
+            writers.write_collection(collate.collate_records(records, "_file_name"), out,
+                                     mode="overwrite")
+    finally:
+        spark.conf.set(key, previous)
     return prefixes
 
 

@@ -105,7 +105,7 @@ def test_raw_tree_jobs(spark, tmp_path):
     with open(os.path.join(raw, "0a", "readme.txt"), "w") as fh:
         fh.write("x")
     out = str(tmp_path / "coll")
-    assert jobs.collate_tree(spark, raw, out) == ["0a", "1b"]
+    assert jobs.collate_tree(spark, raw, out, prefixes_per_job=1) == ["0a", "1b"]
     assert jobs.collate_tree(spark, raw, out) == []           # resumed: nothing left to do
     assert spark.read.json(out).where("parse_type = 'paper'").count() == 5
     counts = jobs.mentions_convert(spark, raw, str(tmp_path / "slim")).collect()
