@@ -22,14 +22,28 @@ from citeweave.sources import tables as table_sources
 from citeweave.session import materialize
 
 
-def _children(spark: SparkSession, path: str) -> list[str]:
-    """Names of the entries directly under ``path`` (a directory listing, metadata only)."""
+def _entries(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    """(name, is_directory) of the entries directly under ``path`` (a listing, metadata only)."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(hpath):
         return []
-    return sorted(st.getPath().getName() for st in fs.listStatus(hpath))
+    return sorted((st.getPath().getName(), st.isDirectory()) for st in fs.listStatus(hpath))
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    return [name for name, _ in _entries(spark, path)]
+
+
+def _prefix_groups(spark: SparkSession, raw_root: str, size: int,
+                   prefixes_only: bool = True) -> list[list[str]]:
+    """Top-level folders of the raw tree (only the 2-character prefixes unless
+    ``prefixes_only`` is false), in groups of ``size``: one job per group keeps the driver's file
+    listing to that share of the tree."""
+    dirs = [n for n, is_dir in _entries(spark, raw_root)
+            if is_dir and (len(n) == 2 or not prefixes_only)]
+    return [dirs[i:i + size] for i in range(0, len(dirs), size)]
 
 
 # JOB-1 -----------------------------------------------------------------------------------------
@@ -179,13 +193,21 @@ def license_count(spark: SparkSession, typed_path: str) -> DataFrame:
 # JOB-9 -----------------------------------------------------------------------------------------
 
 def mentions_convert(spark: SparkSession, raw_root: str, out: str,
-                     parse_suffix: str = ".software.json") -> DataFrame:
-    """Per-paper mention files → slim mention table; returns name occurrence counts (desc)."""
-    records = raw_tree.read_raw_tree(spark, raw_root, MENTION_JSON, glob="*" + parse_suffix)
-    records = records.where(F.col("_file_name").endswith(parse_suffix)
-                            & (F.length(F.col("_file_name")) == 36 + len(parse_suffix)))
-    slim_df = slim.slim_mentions(records)
-    writers.write_table(slim_df, out, compression="snappy")
+                     parse_suffix: str = ".software.json",
+                     prefixes_per_job: int = 8) -> DataFrame:
+    """Per-paper mention files → slim mention table; returns name occurrence counts (desc).
+
+    The tree is read one group of prefix folders per job (bounded driver listing); each group
+    appends its part of the table.
+    """
+    mode = "overwrite"
+    for group in _prefix_groups(spark, raw_root, prefixes_per_job):
+        records = raw_tree.read_raw_tree(spark, [os.path.join(raw_root, p) for p in group],
+                                         MENTION_JSON, glob="*" + parse_suffix)
+        records = records.where(F.col("_file_name").endswith(parse_suffix)
+                                & (F.length(F.col("_file_name")) == 36 + len(parse_suffix)))
+        writers.write_table(slim.slim_mentions(records), out, compression="snappy", mode=mode)
+        mode = "append"
     return counts.ranked_counts(slim.name_occurrences(spark.read.parquet(out)), "normalized_form")
 
 
@@ -206,9 +228,29 @@ def sort_jsonl(spark: SparkSession, path: str, out: str, last_only: bool = False
 
 # JOB-11 ----------------------------------------------------------------------------------------
 
-def residual_report(spark: SparkSession, raw_root: str) -> DataFrame:
-    """Files under the raw tree that match no parse pattern (listing only; nothing is deleted)."""
-    return collate.residual_files(raw_tree.list_files(spark, raw_root), "name")
+def residual_report(spark: SparkSession, raw_root: str, out: str | None = None,
+                    prefixes_per_job: int = 8) -> DataFrame:
+    """Files under the raw tree that match no parse pattern (listing only; nothing is deleted).
+
+    Without ``out`` the tree is listed in one job (small trees). With ``out`` each group of prefix
+    folders is listed by its own job and appended to ``out`` as (path, name, length), so the
+    driver never holds the whole listing; files directly under the root come from the root
+    listing (their length is not read).
+    """
+    if out is None:
+        return collate.residual_files(raw_tree.list_files(spark, raw_root), "name")
+    mode = "overwrite"
+    for group in _prefix_groups(spark, raw_root, prefixes_per_job, prefixes_only=False):
+        listing = raw_tree.list_files(spark, [os.path.join(raw_root, p) for p in group])
+        collate.residual_files(listing, "name").write.mode(mode).parquet(out)
+        mode = "append"
+    loose = [(os.path.join(raw_root, n), n) for n, is_dir in _entries(spark, raw_root)
+             if not is_dir]
+    if loose:
+        files = (spark.createDataFrame(loose, "path string, name string")
+                 .withColumn("length", F.lit(None).cast("long")))
+        collate.residual_files(files, "name").write.mode(mode).parquet(out)
+    return spark.read.parquet(out)
 
 
 # JOB-12 .. JOB-14 ------------------------------------------------------------------------------

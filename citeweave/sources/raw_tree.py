@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_raw_tree(spark: SparkSession, root: str, schema: T.StructType | None = None,
+def read_raw_tree(spark: SparkSession, root: str | list[str], schema: T.StructType | None = None,
                   glob: str = "*.json", mode: str = "PERMISSIVE") -> DataFrame:
     """Every ``glob``-matching file under ``root`` (recursively) as one record.
 
@@ -24,7 +24,7 @@ def read_raw_tree(spark: SparkSession, root: str, schema: T.StructType | None =
             .withColumn("_file_path", F.col("_metadata.file_path")))
 
 
-def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
+def list_files(spark: SparkSession, root: str | list[str], glob: str = "*") -> DataFrame:
     """(path, name, length) of every file under ``root``; file contents are never read.
 
     The binary-file source only reads content when the ``content`` column is selected.

@@ -108,11 +108,16 @@ def test_raw_tree_jobs(spark, tmp_path):
     assert jobs.collate_tree(spark, raw, out, prefixes_per_job=1) == ["0a", "1b"]
     assert jobs.collate_tree(spark, raw, out) == []           # resumed: nothing left to do
     assert spark.read.json(out).where("parse_type = 'paper'").count() == 5
-    counts = jobs.mentions_convert(spark, raw, str(tmp_path / "slim")).collect()
+    counts = jobs.mentions_convert(spark, raw, str(tmp_path / "slim"),
+                                   prefixes_per_job=1).collect()
     assert [tuple(r) for r in counts] == [("SPSS", 10), ("R", 5)]
     slim = spark.read.parquet(str(tmp_path / "slim"))
     assert slim.schema["id"].dataType.typeName() == "binary" and slim.count() == 5
     assert [r.name for r in jobs.residual_report(spark, raw).collect()] == ["readme.txt"]
+    with open(os.path.join(raw, "notes.md"), "w") as fh:
+        fh.write("x")
+    grouped = jobs.residual_report(spark, raw, str(tmp_path / "residual"), prefixes_per_job=1)
+    assert sorted(r.name for r in grouped.collect()) == ["notes.md", "readme.txt"]
 
 
 def test_extract_tables_bucketed(spark, tmp_path):
