@@ -19,16 +19,25 @@ from citeweave.operators.collate import collate_records
 def collate_stream(spark: SparkSession, raw_root: str, out: str, checkpoint: str,
                    schema: T.StructType | str, glob: str = "*.json",
                    max_files_per_trigger: int = 100_000, available_now: bool = True,
-                   bucket_width: int = 2):
+                   bucket_width: int = 2, archive_dir: str | None = None):
     """Stream raw per-paper JSON files into (parse_type, prefix)-partitioned JSONL.
 
     ``checkpoint`` must be on storage shared by the cluster. With ``available_now`` the query
     processes every file not yet seen and stops (a restartable batch); otherwise it keeps running
     and the caller owns the returned ``StreamingQuery``.
+
+    This is the incremental path for files that keep arriving; the source remembers the files it
+    has seen, so the initial backfill of a tree of ~100 M files is better done by
+    ``plans.jobs.collate_tree`` (prefix groups), with the stream started afterwards. With
+    ``archive_dir`` the source moves each processed file there once its batch is committed
+    (Spark's ``cleanSource=archive``), the streaming counterpart of removing processed raw files;
+    by default nothing is moved.
     """
     records = (spark.readStream.schema(schema).option("multiLine", True)
                .option("recursiveFileLookup", True).option("pathGlobFilter", glob)
                .option("maxFilesPerTrigger", max_files_per_trigger)
+               .options(**({"cleanSource": "archive", "sourceArchiveDir": archive_dir}
+                           if archive_dir else {}))
                .json(raw_root)
                .withColumn("_file_name", F.col("_metadata.file_name")))
     tagged = collate_records(records, "_file_name", bucket_width).drop("uuid")
