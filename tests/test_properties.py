@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from citeweave.operators import collate, profile
+from citeweave.schemas import LICENCE_CANONICAL
 from citeweave.sinks.writers import write_collection
 
 TRICKY = st.text(alphabet=st.sampled_from(list('ab[]{}"\\:,é ')), max_size=8)
@@ -52,3 +53,29 @@ def test_hot_bucket_is_split_into_ordered_files(spark, tmp_path):
         ranges.append((rows[0], rows[-1]))
     assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))   # disjoint, in name order
     assert sum(spark.read.json(os.path.join(folder, p)).count() for p in parts) == 3000
+
+
+HEX = "0123456789abcdef"
+RECORD = st.fixed_dictionaries({
+    "id": st.text(alphabet=HEX, min_size=32, max_size=32).map(
+        lambda h: f"{h[:8]}-{h[8:12]}-{h[12:16]}-{h[16:20]}-{h[20:]}"),
+    "pmid": st.one_of(st.just(""), st.integers(1, 4294967295).map(str)),
+    "pmcid": st.one_of(st.just(""), st.integers(1, 99999999).map(lambda n: f"PMC{n}")),
+    "istexId": st.one_of(st.just(""), st.text(alphabet=HEX.upper(), min_size=40, max_size=40)),
+    "resources": st.lists(st.sampled_from(["json", "pdf", "latex", "xml"]), max_size=4),
+    "license": st.sampled_from([name for _, name in LICENCE_CANONICAL]),
+})
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(RECORD, min_size=50, max_size=50))
+def test_canonical_identifiers_round_trip(spark, records):
+    from citeweave.operators import identifiers
+
+    rows = [(i, r["id"], "10.1/x", None, r["pmid"], r["pmcid"], r["istexId"], r["resources"],
+             r["license"], None) for i, r in enumerate(records)]
+    df = spark.createDataFrame(rows, "row_key long, id string, doi string, arxiv string, "
+                                     "pmid string, pmcid string, istexId string, "
+                                     "resources array<string>, license string, oa_link string")
+    assert identifiers.roundtrip_violations(df).count() == 0
+    assert identifiers.identifier_violations(df).count() == 0
