@@ -89,8 +89,8 @@ def extract_tables(spark: SparkSession, collection: str, out: str, source_type:
                    table_prefix: str | None = None, num_buckets: int = 1024) -> None:
     """Collated JSONL → papers.parquet, mentions.<type>.parquet, purpose_assessments.<type>.parquet.
 
-    Papers with their dense ids are written once to the shared checkpoint folder; the mention
-    records are scanned once, exploded against those ids and written once as a flat intermediate;
+    The projected paper rows, then the papers with their dense ids, are written once to the shared
+    checkpoint folder; the mention records are scanned once, exploded against those ids and written once as a flat intermediate;
     the three tables are then derived from the two intermediates. With ``table_prefix`` the
     tables are also registered in the catalog as ``<prefix>papers`` etc., bucketed and sorted by
     ``paper_id`` (``num_buckets``), so later joins on ``paper_id`` need no shuffle.
@@ -99,7 +99,10 @@ def extract_tables(spark: SparkSession, collection: str, out: str, source_type:
                                       repartition=repartition)
     mentions_in = jsonl.read_collection(spark, collection, MENTION_JSON, source_type,
                                         repartition=repartition)
-    core = materialize(tables.paper_ids(tables.paper_rows(papers_in, strict)), "papers-with-ids")
+    # The range partitioning behind the ids reads its input twice (sampling, then shuffle): give
+    # it the projected rows as Parquet rather than the gzip JSON.
+    paper_rows = materialize(tables.paper_rows(papers_in, strict), "paper-rows")
+    core = materialize(tables.paper_ids(paper_rows), "papers-with-ids")
     rows = tables.mention_rows(mentions_in, core.select("source_uuid", "paper_id"),
                                source_type, strict)
     flat = materialize(tables.flat_mention_rows(rows), "mention-rows")
