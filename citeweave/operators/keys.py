@@ -30,6 +30,8 @@ def dense_ids(df: DataFrame, order: Sequence[Column | str], id_col: str = "paper
     ``order`` must be a total order (end it with a unique column); then the ids do not depend on
     the input partitioning. Work per task is bounded by the range partitioning, which the sampler
     balances even when one leading key value (for example one prefix bucket) is very common.
+    The range partitioner reads its input twice (a sampling pass, then the shuffle), so an input
+    that is expensive to produce (parsed JSON) is best written once first (``materialize``).
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order]
     n = _num_partitions(df, num_partitions)
