@@ -19,7 +19,7 @@ from citeweave.schemas import (DEFAULT_MIN_SUPPORT, DEFAULT_SAMPLE_FRACTIONS, GE
 from citeweave.sinks import writers
 from citeweave.sources import jsonl, raw_tree
 from citeweave.sources import tables as table_sources
-from citeweave.session import materialize
+from citeweave.session import release_scratch, write_scratch
 
 
 def _entries(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
@@ -91,7 +91,8 @@ def extract_tables(spark: SparkSession, collection: str, out: str, source_type:
 
     The projected paper rows, then the papers with their dense ids, are written once to the shared
     checkpoint folder; the mention records are scanned once, exploded against those ids and written once as a flat intermediate;
-    the three tables are then derived from the two intermediates. With ``table_prefix`` the
+    the three tables are then derived from the two intermediates, which are deleted at the end.
+    With ``table_prefix`` the
     tables are also registered in the catalog as ``<prefix>papers`` etc., bucketed and sorted by
     ``paper_id`` (``num_buckets``), so later joins on ``paper_id`` need no shuffle.
     """
@@ -101,11 +102,15 @@ def extract_tables(spark: SparkSession, collection: str, out: str, source_type:
                                         repartition=repartition)
     # The range partitioning behind the ids reads its input twice (sampling, then shuffle): give
     # it the projected rows as Parquet rather than the gzip JSON.
-    paper_rows = materialize(tables.paper_rows(papers_in, strict), "paper-rows")
-    core = materialize(tables.paper_ids(paper_rows), "papers-with-ids")
+    rows_path = write_scratch(tables.paper_rows(papers_in, strict), "paper-rows")
+    core_path = write_scratch(tables.paper_ids(spark.read.parquet(rows_path)), "papers-with-ids")
+    core = spark.read.parquet(core_path)
     rows = tables.mention_rows(mentions_in, core.select("source_uuid", "paper_id"),
                                source_type, strict)
-    flat = materialize(tables.flat_mention_rows(rows), "mention-rows")
+    # Both mention tables come from one flat intermediate, so the mention JSON scan, the id
+    # lookup join and the explode run once.
+    flat_path = write_scratch(tables.flat_mention_rows(rows), "mention-rows")
+    flat = spark.read.parquet(flat_path)
     outputs = {
         "papers": (tables.papers_from_mentions(core, flat), f"{out}/papers.parquet"),
         "mentions": (tables.mentions_from_flat(flat), f"{out}/mentions.{source_type}.parquet"),
@@ -118,6 +123,7 @@ def extract_tables(spark: SparkSession, collection: str, out: str, source_type:
                                          num_buckets=num_buckets)
         else:
             writers.write_table(df, path)
+    release_scratch(spark, rows_path, core_path, flat_path)
 
 
 # JOB-4 -----------------------------------------------------------------------------------------

@@ -70,16 +70,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+def write_scratch(df, name: str) -> str:
+    """Write ``df`` as Parquet under the shared checkpoint folder; return the path."""
+    import uuid
+
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
 def materialize(df, name: str):
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
     Used where several later steps read the same intermediate: it is computed once (an eager
     ``checkpoint()`` would compute it twice, once for the job and once for the write), and the
-    lineage is cut, so a lost executor only recomputes from the written table.
+    lineage is cut, so a lost executor only recomputes from the written table. The frame stays
+    readable until its folder is released (``release_scratch``).
     """
-    import uuid
+    return df.sparkSession.read.parquet(write_scratch(df, name))
 
-    spark = df.sparkSession
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+
+def release_scratch(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch tables once nothing reads them any more (a job's last step)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        hpath.getFileSystem(conf).delete(hpath, True)

@@ -33,7 +33,17 @@ def _collection(root):
 def test_extract_subsample_and_analyses(spark, tmp_path):
     coll, tabs, samples = (str(tmp_path / n) for n in ("coll", "tables", "samples"))
     _collection(coll)
+    from citeweave.session import ensure_checkpoint_dir
+
+    ckpt = ensure_checkpoint_dir(spark)
+
+    def scratch():
+        return {n for n in os.listdir(ckpt) if n.startswith(("paper-rows", "papers-with-ids",
+                                                             "mention-rows"))}
+
+    before = scratch()
     jobs.extract_tables(spark, coll, tabs)
+    assert scratch() == before                             # intermediates released
     papers = spark.read.parquet(f"{tabs}/papers.parquet")
     mentions = spark.read.parquet(f"{tabs}/mentions.pdf.parquet")
     purposes = spark.read.parquet(f"{tabs}/purpose_assessments.pdf.parquet")
