@@ -58,9 +58,11 @@ def write_samples(sampled: DataFrame, out: str, sample_col: str = "sample",
 
 
 def write_report(df: DataFrame, out: str, sep: str = ";", mode: str = "overwrite") -> None:
-    """``a;b;c`` lines. A globally sorted frame is written as range partitions, so the part
-    files in name order hold the lines in order (no single-task funnel for long reports)."""
-    df.write.mode(mode).option("sep", sep).option("header", False).csv(out)
+    """``a;b;c`` text lines, fields joined as they are (no CSV quoting, so a summary that itself
+    contains ``;`` is printed as is). A globally sorted frame is written as range partitions, so
+    the part files in name order hold the lines in order (no single-task funnel)."""
+    line = F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])
+    df.select(line.alias("value")).write.mode(mode).text(out)
 
 
 def read_report_lines(spark, out: str) -> list[str]:

@@ -78,7 +78,9 @@ def test_json_stats_and_sort(spark, tmp_path):
     write_jsonl(src, [{"file": u1 + ".x", "n": 1, "b": True},
                       {"file": u2 + ".x", "n": 2, "b": False},
                       {"file": u1 + ".x", "n": 3}])
-    lines = [tuple(r) for r in jobs.json_stats(spark, src).collect()]
+    lines = [tuple(r) for r in jobs.json_stats(spark, src, str(tmp_path / "stats")).collect()]
+    from citeweave.sinks.writers import read_report_lines
+    assert read_report_lines(spark, str(tmp_path / "stats"))[0] == ".b;true:1;false:1"
     assert lines[0] == (".b", "true:1;false:1") and lines[2] == (".n", "uint8;1;3;1:1;2:1;3:1;")
     out = str(tmp_path / "sorted")
     jobs.sort_jsonl(spark, src, out)

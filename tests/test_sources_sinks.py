@@ -32,10 +32,10 @@ def test_identifier_input_must_be_jsonl(spark, tmp_path):
 def test_report_keeps_order_and_separator(spark, tmp_path):
     from pyspark.sql import functions as F
 
-    df = spark.createDataFrame([("b", 1), ("a", 3), ("c", 3)], "name string, n long")
+    df = spark.createDataFrame([("b", 1), ("a", 3), ("c", 3), ("d;e", 0)], "name string, n long")
     out = str(tmp_path / "report")
     writers.write_report(df.orderBy(F.desc("n"), "name"), out)
-    assert writers.read_report_lines(spark, out) == ["a;3", "c;3", "b;1"]
+    assert writers.read_report_lines(spark, out) == ["a;3", "c;3", "b;1", "d;e;0"]
 
 
 def test_table_comments_and_partitioned_write(spark, tmp_path):
