@@ -145,18 +145,27 @@ def mentions_count(mentions: DataFrame, owner: str = "paper_id",
                    item: str = "software_normalized",
                    stop_list: Sequence[str] = tuple(GENERIC_SOFTWARE_NAMES),
                    min_support: int = DEFAULT_MIN_SUPPORT, top_items: int = 10,
-                   top_pairs: int = 20) -> dict[str, DataFrame]:
-    """Number of supported items, the top items with rank, and the top co-mentioned pairs."""
+                   top_pairs: int = 20, out: str | None = None) -> dict[str, DataFrame]:
+    """Number of supported items, the top items with rank, and the top co-mentioned pairs.
+
+    With ``out`` the three reports are also written as ``<out>/n_items``, ``<out>/top_items``
+    (``rank;name;count``) and ``<out>/top_pairs`` (``rank;name;name;count``).
+    """
     support = counts.item_support(mentions, owner, item, stop_list, min_support)
     pairs = counts.co_occurrence_counts(mentions, owner, item, stop_list, min_support,
                                         min_support)
-    return {
+    result = {
         "n_items": counts.supported_item_total(support),
         "top_items": counts.top_ranked(support, [F.desc("n"), F.asc(item)], top_items)
         .select("rank", item, "n"),
         "top_pairs": counts.top_ranked(pairs, [F.desc("n"), F.asc("item_a"), F.asc("item_b")],
-                                       top_pairs),
+                                       top_pairs).select("rank", "item_a", "item_b", "n"),
     }
+    if out:
+        for name, df in result.items():
+            writers.write_report(df.orderBy("rank") if "rank" in df.columns else df,
+                                 f"{out}/{name}")
+    return result
 
 
 # JOB-6 -----------------------------------------------------------------------------------------
@@ -193,21 +202,25 @@ def paper_id_convert(spark: SparkSession, path: str, out: str, keep_oa_link: boo
     return None
 
 
-def license_count(spark: SparkSession, typed_path: str) -> DataFrame:
-    """Papers per licence (all 17 codes), count descending."""
-    dist = identifiers.licence_distribution(spark.read.parquet(typed_path))
-    return counts.ranked_counts(dist, "licence_name")
+def license_count(spark: SparkSession, typed_path: str, out: str | None = None) -> DataFrame:
+    """Papers per licence (all 17 codes), count descending; with ``out`` also the
+    ``licence;count`` report."""
+    dist = counts.ranked_counts(identifiers.licence_distribution(spark.read.parquet(typed_path)),
+                                "licence_name")
+    if out:
+        writers.write_report(dist.select("licence_name", "n"), out)
+    return dist
 
 
 # JOB-9 -----------------------------------------------------------------------------------------
 
 def mentions_convert(spark: SparkSession, raw_root: str, out: str,
                      parse_suffix: str = ".software.json",
-                     prefixes_per_job: int = 8) -> DataFrame:
+                     prefixes_per_job: int = 8, counts_out: str | None = None) -> DataFrame:
     """Per-paper mention files → slim mention table; returns name occurrence counts (desc).
 
     The tree is read one group of prefix folders per job (bounded driver listing); each group
-    appends its part of the table.
+    appends its part of the table. With ``counts_out`` the ``name;count`` report is written too.
     """
     mode = "overwrite"
     for group in _prefix_groups(spark, raw_root, prefixes_per_job):
@@ -217,7 +230,11 @@ def mentions_convert(spark: SparkSession, raw_root: str, out: str,
                                 & (F.length(F.col("_file_name")) == 36 + len(parse_suffix)))
         writers.write_table(slim.slim_mentions(records), out, compression="snappy", mode=mode)
         mode = "append"
-    return counts.ranked_counts(slim.name_occurrences(spark.read.parquet(out)), "normalized_form")
+    ranked = counts.ranked_counts(slim.name_occurrences(spark.read.parquet(out)),
+                                  "normalized_form")
+    if counts_out:
+        writers.write_report(ranked, counts_out)
+    return ranked
 
 
 # JOB-10 ----------------------------------------------------------------------------------------

@@ -67,9 +67,12 @@ def test_extract_subsample_and_analyses(spark, tmp_path):
     n_2020 = papers.where("published_year >= 2020 AND has_mentions").count()
     assert top[0].software_normalized == "SPSS" and top[0].n == n_2020
 
-    mc = jobs.mentions_count(mentions, min_support=10)
+    mc = jobs.mentions_count(mentions, min_support=10, out=str(tmp_path / "mc"))
     assert mc["n_items"].first().n_items == 2
-    assert [tuple(r) for r in mc["top_pairs"].collect()] == [("R", "SPSS", 90, 0)]
+    assert [tuple(r) for r in mc["top_pairs"].collect()] == [(0, "R", "SPSS", 90)]
+    from citeweave.sinks.writers import read_report_lines
+    assert read_report_lines(spark, str(tmp_path / "mc/top_items")) == ["0;R;90", "1;SPSS;90"]
+    assert read_report_lines(spark, str(tmp_path / "mc/n_items")) == ["2"]
 
 
 def test_json_stats_and_sort(spark, tmp_path):
@@ -100,7 +103,9 @@ def test_identifier_jobs(spark, tmp_path):
     assert [r.field for r in bad.collect()] == ["pmid"]
     typed = spark.read.parquet(str(tmp_path / "typed"))
     assert typed.where("oa_link IS NOT NULL").count() == 0
-    dist = jobs.license_count(spark, str(tmp_path / "typed")).collect()
+    dist = jobs.license_count(spark, str(tmp_path / "typed"), str(tmp_path / "lic")).collect()
+    from citeweave.sinks.writers import read_report_lines
+    assert read_report_lines(spark, str(tmp_path / "lic"))[:2] == ["cc-by;1", "cc0;1"]
     assert len(dist) == 17 and {dist[0].license, dist[1].license} == {1, 7}
 
 
