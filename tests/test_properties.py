@@ -79,3 +79,33 @@ def test_canonical_identifiers_round_trip(spark, records):
                                      "resources array<string>, license string, oa_link string")
     assert identifiers.roundtrip_violations(df).count() == 0
     assert identifiers.identifier_violations(df).count() == 0
+
+
+def test_hot_key_results_equal_brute_force(spark):
+    import random
+    from collections import defaultdict
+
+    from citeweave.operators import analyses, counts, tables
+    from citeweave.operators.collate import last_by_key
+
+    rnd = random.Random(11)
+    rows = [(0 if i % 3 == 0 else rnd.randrange(1, 500), f"s{rnd.randrange(40)}", i)
+            for i in range(6000)]                          # owner 0 holds a third of the rows
+    df = spark.createDataFrame(rows, "paper_id long, software_normalized string, pos long")
+    owners = defaultdict(set)
+    for o, it, _ in rows:
+        owners[it].add(o)
+    got = {r.software_normalized: r.n for r in counts.item_support(df, min_support=30).collect()}
+    assert got == {it: len(os) for it, os in owners.items() if len(os) >= 30}
+    n = analyses.distinct_owner_count(df, item="s1").first().n
+    assert n == len(owners["s1"])
+    keys = spark.createDataFrame([(o,) for o in range(0, 600, 2)], "paper_id long")
+    flags = {r.paper_id: r.hit for r in
+             tables.existence_flag(keys, df, "paper_id", "hit").collect()}
+    present = {o for o, _, _ in rows}
+    assert flags == {o: o in present for o in range(0, 600, 2)}
+    last = {r.key: r.pos for r in last_by_key(df, "paper_id", "pos").collect()}
+    want = {}
+    for o, _, p in rows:
+        want[o] = max(want.get(o, -1), p)
+    assert last == want
