@@ -4,7 +4,9 @@
 over many partitions: the data are range-partitioned and sorted on the key, each row's place in
 its partition comes from ``monotonically_increasing_id`` (whose low 33 bits are the row's index in
 the task's partition), and the per-partition counts give offsets through a running sum over a
-table with one row per partition.
+table with one row per partition. The ranged rows are written once to the shared scratch folder
+and both the positions and the counts are read from there: two evaluations of one range
+partitioning may sample different bounds, so they must not be mixed.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from citeweave.session import write_scratch
+
 _LOW_33_BITS = (1 << 33) - 1
 
 
@@ -32,6 +36,7 @@ def dense_ids(df: DataFrame, order: Sequence[Column | str], id_col: str = "paper
     balances even when one leading key value (for example one prefix bucket) is very common.
     The range partitioner reads its input twice (a sampling pass, then the shuffle), so an input
     that is expensive to produce (parsed JSON) is best written once first (``materialize``).
+    The call runs a job: it writes the ranged rows under the shared checkpoint folder.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order]
     n = _num_partitions(df, num_partitions)
@@ -39,6 +44,7 @@ def dense_ids(df: DataFrame, order: Sequence[Column | str], id_col: str = "paper
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_33_BITS))))
     # One row per non-empty partition; the running sum runs over those few rows only.
+    ranged = df.sparkSession.read.parquet(write_scratch(ranged, "ranged-rows"))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select(
         "_pid",
