@@ -42,11 +42,12 @@ def exact_groups(rows: DataFrame, id_col: str, key: Column, first_block: int = F
             .withColumn("head", _block("bytes", 0, first_block)))
 
     # Round 0 over all rows: length and first block. Only shared digits are kept, with a group id.
+    # The join is a sort-merge join at every size, so that a hot digit can be split.
     heads = write_scratch(
         base.groupBy("n_bytes", "head").agg(F.count("*").alias("n")).where("n > 1")
         .select("n_bytes", "head", F.monotonically_increasing_id().alias("grp")), "radix-heads")
     members = write_scratch(
-        base.join(spark.read.parquet(heads), ["n_bytes", "head"], "left")
+        base.join(spark.read.parquet(heads).hint("merge"), ["n_bytes", "head"], "left")
         .select(F.monotonically_increasing_id().alias("row"), "id", "n_bytes", "grp",
                 F.sha2("bytes", 256).alias("text_sha256"),
                 F.when(F.col("grp").isNotNull() & (F.col("n_bytes") > first_block),
@@ -85,11 +86,14 @@ def exact_groups(rows: DataFrame, id_col: str, key: Column, first_block: int = F
         start = end
 
     labels = grouped.select("row", "id", "grp", "text_sha256")
-    groups = labels.groupBy("grp").agg(
+    # Written first: the aggregate must not share the join's shuffle, or a hot group is one task.
+    groups = spark.read.parquet(write_scratch(labels.groupBy("grp").agg(
         F.count("*").alias("group_size"), F.min("id").alias("keep_id"),
         F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "row")).alias("first"))
+        .select("grp", "group_size", "keep_id", "first.row"), "radix-groups")
+        ).withColumnRenamed("row", "first_row")
     copies = (labels.join(groups, "grp")
-              .select("id", "keep_id", "group_size", (F.col("first.row") == F.col("row"))
+              .select("id", "keep_id", "group_size", (F.col("first_row") == F.col("row"))
                       .alias("kept"), "text_sha256"))
     alone = singles.select("id", F.col("id").alias("keep_id"), F.lit(1).cast("long")
                            .alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
