@@ -16,6 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once: a lambda variable, unlike a column alias, is
+    never inlined by the optimizer into the inner loops that use it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only. Pure ASCII texts (as many bytes as characters) take the fast built-in;
     others go through ``translate``, which leaves accented capitals as they are."""

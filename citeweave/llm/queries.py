@@ -5,10 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm import exact_dedup, token_shards
+from citeweave.llm import decontaminate, exact_dedup, mixing, token_shards
 from citeweave.llm.common import collapse_space, table
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"),
+                                        table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+                        "contaminated")
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
+    return plan.select("doc_id", F.col("mix_size").alias("size"),
+                       F.col("mix_source_size").alias("source_size"),
+                       F.col("mix_target").alias("target"),
+                       (F.col("mix_size") * F.col("mix_copies")).alias("taken"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return exact_dedup.exact_groups(docs, "doc_id", collapse_space(F.col("text"))).select(
@@ -25,11 +41,65 @@ def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
+    "op2_mixing": op2_mixing,
     "op3_exact_dedup": op3_exact_dedup,
     "op8_token_shards": op8_token_shards,
 }
 
 ORACLE = {
+    "op1_decontaminate": """
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+             b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+             bw AS (SELECT DISTINCT item_id, least(len(w), 13) AS n,
+                           array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS content
+                    FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i
+                          FROM b WHERE len(w) > 0)),
+             dw AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS content
+                    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+                          FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+             hit AS (SELECT dw.doc_id, dw.i, dw.n, bw.item_id
+                     FROM dw JOIN bw ON dw.n = bw.n AND dw.content = bw.content),
+             covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+                         FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY 1),
+             found AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids
+                       FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS x FROM hit) GROUP BY 1)
+        SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+               coalesce(n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+        FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    "op2_mixing": """
+        WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text,
+                       '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents),
+             s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY 1),
+             w AS (SELECT *, [5, 2, 1][1 + ((row_number() OVER (ORDER BY source NULLS LAST) - 1)
+                                       % 3)::INTEGER] AS weight FROM s),
+             r AS (SELECT *, row_number() OVER o AS k,
+                          ((SELECT sum(source_size) FROM w)
+                           - coalesce(sum(3 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING
+                                                             AND 1 PRECEDING), 0))::DOUBLE
+                          / (sum(weight) OVER (o ROWS BETWEEN CURRENT ROW
+                                               AND UNBOUNDED FOLLOWING))::DOUBLE AS level
+                   FROM w WINDOW o AS (ORDER BY 3 * source_size / weight, source NULLS LAST)),
+             c AS (SELECT level FROM r WHERE level * weight <= 3 * source_size ORDER BY k LIMIT 1),
+             t AS (SELECT source, source_size,
+                          CASE WHEN 3 * source_size < level * weight THEN (3 * source_size)::DOUBLE
+                               ELSE level * weight END AS target
+                   FROM w, c),
+             m AS (SELECT doc_id, size, source_size, target,
+                          CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+                          ('0x' || substr(md5('20:' || doc_id), 1, 13))::BIGINT / 4503599627370496.0
+                          ::DOUBLE AS draw
+                   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+        SELECT doc_id, size, source_size, target,
+               (size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END))
+               ::BIGINT AS taken
+        FROM m""",
     "op3_exact_dedup": """
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')
                           AS norm FROM documents)
