@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm import decontaminate, exact_dedup, mixing, token_shards
+from citeweave.llm import decontaminate, exact_dedup, mixing, secrets, token_shards
 from citeweave.llm.common import collapse_space, table
 
 
@@ -40,11 +40,22 @@ def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.read_token_shards(shards, out)
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter(
+        "base", lambda s: s["kind"] == secrets.KINDS.index(kind))).cast("long").alias(f"n_{kind}")
+    return found.select(
+        F.col("id").alias("doc_id"), count("assign"), count("access"), count("hex"),
+        F.sha2(secrets.span_text(F.col("base")), 256).alias("base_sha256"),
+        secrets.span_text(F.array_sort(F.concat("base", "linked"))).alias("spans"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_mixing": op2_mixing,
     "op3_exact_dedup": op3_exact_dedup,
     "op8_token_shards": op8_token_shards,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLE = {
