@@ -20,6 +20,7 @@ speculation) replaces a file by an equal one and readers never see half a file.
 
 from __future__ import annotations
 
+import functools
 import re
 import struct
 import uuid
@@ -39,7 +40,7 @@ from citeweave.session import scratch_path, write_scratch
 
 SKIPPABLE_MAGIC, SEEK_MAGIC = 0x184D2A5E, 0x8F92EAB1
 FRAME_IDS = 1 << 18
-# Text handled at once inside a task, and pieces remembered per task.
+# Text handled at once inside a task, and pieces remembered per Python worker.
 SLICE_BYTES, CACHE_PIECES = 4 << 20, 400_000
 PUNCTUATION = ".,!?&%$*#|;:"
 # White space as the pre-tokenizer has it; cuts go in front of it, behind anything else.
@@ -132,6 +133,12 @@ class PieceEncoder:
         return ids, np.diff(bounds)
 
 
+@functools.lru_cache(maxsize=1)
+def _encoder(tokenizer_file: str) -> PieceEncoder:
+    """One encoder per Python worker: what a task has learned serves the worker's next tasks."""
+    return PieceEncoder(tokenizer_file)
+
+
 def _slices(texts: pa.Array) -> Iterator[pa.Array]:
     """Runs of whole texts of about SLICE_BYTES."""
     sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -275,7 +282,7 @@ def write_token_shards(docs: DataFrame, tokenizer_file: str, out_dir: str, end_i
             if batch.num_rows and writer is None:
                 fs.create_dir(folder, recursive=True)
                 sink = fs.open_output_stream(draft)
-                writer, encoder = ShardWriter(sink, frame_ids), PieceEncoder(tokenizer_file)
+                writer, encoder = ShardWriter(sink, frame_ids), _encoder(tokenizer_file)
             doc_ids, at = batch.column(0).to_pylist(), 0
             texts = batch.column(1)
             for some in _slices(texts.cast(pa.string())):
