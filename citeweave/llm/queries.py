@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm import decontaminate, exact_dedup, mixing, secrets, token_shards
+from citeweave.llm import decontaminate, exact_dedup, mixing, secrets, simhash, token_shards
 from citeweave.llm.common import collapse_space, table
 
 
@@ -31,6 +31,12 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"),
+                        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -54,6 +60,7 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_mixing": op2_mixing,
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_simhash": op5_simhash,
     "op8_token_shards": op8_token_shards,
     "op10_secrets": op10_secrets,
 }
