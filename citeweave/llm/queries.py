@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm import decontaminate, exact_dedup, mixing, secrets, simhash, token_shards
+from citeweave.llm import (decontaminate, exact_dedup, language, mixing, pii, secrets, simhash,
+                           token_shards)
 from citeweave.llm.common import collapse_space, table
 
 
@@ -31,6 +32,13 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.fit(docs)).select(
+        F.col("id").alias("doc_id"), language.held_out(F.col("id")).alias("held_out"),
+        "lang_pred", "score", "rejected")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"),
@@ -46,6 +54,23 @@ def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.read_token_shards(shards, out)
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    names = F.array(*[F.lit(k) for k in pii.KINDS])
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def count(k):
+        return F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    return found.select(F.col("id").alias("doc_id"), *counts,
+                        F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
+                        listed(F.array_sort(F.concat("base", "added"))).alias("spans"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter(
@@ -60,8 +85,10 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_mixing": op2_mixing,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_language": op4_language,
     "op5_simhash": op5_simhash,
     "op8_token_shards": op8_token_shards,
+    "op9_pii": op9_pii,
     "op10_secrets": op10_secrets,
 }
 
