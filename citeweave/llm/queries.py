@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm import (decontaminate, exact_dedup, language, mixing, pii, secrets, simhash,
-                           token_shards)
+from citeweave.llm import (decontaminate, exact_dedup, language, licenses, mixing, pii, secrets,
+                           simhash, token_shards)
 from citeweave.llm.common import collapse_space, table
 
 
@@ -45,6 +45,38 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "license", "containment")
+
+
+def _license_sql() -> str:
+    """Windows of two blocks per template class, containment counted over exact shingles."""
+    rows = ", ".join("('{}', '{}')".format(n.replace("'", "''"), t.replace("'", "''"))
+                     for n, t in licenses.TEMPLATES)
+    tokens = ("regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+              "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+    return f"""
+        WITH t AS (SELECT license, {tokens.format("text")} AS w FROM (VALUES {rows})
+                   v(license, text)),
+             ts AS (SELECT DISTINCT license, array_to_string(w[i:i + 4], ' ') AS shingle
+                    FROM (SELECT license, w, unnest(range(1, len(w) - 3)) AS i FROM t)),
+             size AS (SELECT license, count(*) AS n FROM ts GROUP BY 1),
+             block AS (SELECT a.license, a.n, max(b.n) AS block
+                       FROM size a JOIN size b ON b.n >= a.n AND a.n >= 0.6 * b.n GROUP BY 1, 2),
+             d AS (SELECT doc_id, {tokens.format("text")} AS w FROM documents),
+             ds AS (SELECT doc_id, i - 1 AS place, array_to_string(w[i:i + 4], ' ') AS shingle
+                    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+             hit AS (SELECT doc_id, license, n, block, shingle, place // block AS k
+                     FROM ds JOIN ts USING (shingle) JOIN block USING (license)),
+             win AS (SELECT * FROM hit
+                     UNION ALL SELECT doc_id, license, n, block, shingle, k - 1 FROM hit
+                               WHERE block > 1 AND k > 0),
+             c AS (SELECT doc_id, license, k, count(DISTINCT shingle)::DOUBLE / any_value(n) AS c
+                   FROM win GROUP BY 1, 2, 3)
+        SELECT doc_id, license, max(c) AS containment FROM c WHERE c >= 0.8 GROUP BY 1, 2"""
+
+
 def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -87,6 +119,7 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_language": op4_language,
     "op5_simhash": op5_simhash,
+    "op6_licenses": op6_licenses,
     "op8_token_shards": op8_token_shards,
     "op9_pii": op9_pii,
     "op10_secrets": op10_secrets,
@@ -153,4 +186,5 @@ ORACLE = {
                doc_id = min(doc_id) OVER (PARTITION BY norm) AS kept,
                sha256(norm) AS text_sha256
         FROM t""",
+    "op6_licenses": _license_sql(),
 }
