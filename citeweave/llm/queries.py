@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm import (decontaminate, exact_dedup, language, licenses, mixing, pii, secrets,
-                           simhash, token_shards)
+from citeweave.llm import (decontaminate, exact_dedup, language, licenses, line_dedup, mixing,
+                           pii, secrets, simhash, token_shards)
 from citeweave.llm.common import collapse_space, table
 
 
@@ -77,6 +77,11 @@ def _license_sql() -> str:
         SELECT doc_id, license, max(c) AS containment FROM c WHERE c >= 0.8 GROUP BY 1, 2"""
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.without_repeated_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "lines_deleted", "words_deleted", "text")
+
+
 def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -120,6 +125,7 @@ QUERIES = {
     "op4_language": op4_language,
     "op5_simhash": op5_simhash,
     "op6_licenses": op6_licenses,
+    "op7_line_dedup": op7_line_dedup,
     "op8_token_shards": op8_token_shards,
     "op9_pii": op9_pii,
     "op10_secrets": op10_secrets,

@@ -232,8 +232,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 **options) -> DataFrame:
     """``docs`` (all columns) with one document of each component: the one whose id names it.
-    Rows whose ids are null throughout a component stay."""
-    found = near_duplicates(docs, id_col, text_col, **options)
-    gone = found.where("id != component_id or (id is null and component_id is not null)").select(
-        F.col("id").alias("gone_id"))
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["gone_id"]), "left_anti")
+    Rows of a null id stay, since no id names them; rows of one repeated id stay or go together."""
+    gone = (near_duplicates(docs, id_col, text_col, **options)
+            .where(F.col("id").isNotNull() & (F.col("id") != F.col("component_id")))
+            .select(F.col("id").alias("gone_id")))
+    # A sort-merge join at every size: a list of ids may be a large part of the table.
+    return docs.join(gone.hint("merge"), docs[id_col] == gone["gone_id"], "left_anti")
