@@ -40,7 +40,7 @@ def _each(n: Column, make) -> Column:
 
 
 def _classes(words_: Column, lengths: list[int], gram_words: int) -> Column:
-    """For each window length L an entry (length, fingerprints of all windows of L words)."""
+    """For each window length L an entry (length, fingerprints of all its windows)."""
     grams = sorted({min(gram_words, n) for n in lengths})
 
     def gram_hashes(hashes: Column, k: int) -> Column:
@@ -62,9 +62,11 @@ def _classes(words_: Column, lengths: list[int], gram_words: int) -> Column:
             for length in lengths])))
 
 
-def _windows(rows: DataFrame, *keep: str) -> DataFrame:
-    """One row per window: its length, position (from 0) and fingerprint."""
-    return (rows.select(*keep, "words", F.explode("classes").alias("class"))
+def _windows(rows: DataFrame, classes: Column, *keep: str) -> DataFrame:
+    """One row per window: its length, position (from 0) and fingerprint. The fingerprints are an
+    expression, not a column: of an exploded column the optimizer infers a filter, which would
+    compute them again."""
+    return (rows.select(*keep, "words", F.explode(classes).alias("class"))
             .select(*keep, "words", F.col("class.length").alias("length"),
                     F.posexplode("class.prints").alias("at", "print")))
 
@@ -107,8 +109,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     own = F.least(F.size("words"), F.lit(span_words))
     classes = _classes(F.col("words"), lengths, gram_words)
     bench_windows = spark.read.parquet(write_scratch(
-        _windows(item_rows.withColumn("classes", classes).withColumn("own", own),
-                 "item_id", "own")
+        _windows(item_rows.withColumn("own", own), classes, "item_id", "own")
         .where("length = own")
         .select("length", "print", _content().alias("content"), "item_id")
         .groupBy("length", "print", "content")
@@ -116,24 +117,23 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     small = bench_windows.count() <= broadcast_windows
     prints = bench_windows.select("length", "print").distinct()
 
-    rows = base.withColumn("classes", classes)
     if small:
         # Both sides of the match stay in the scan's tasks: no text is shuffled.
-        near = (_windows(rows, "id", "text_hash")
+        near = (_windows(base, classes, "id", "text_hash")
                 .join(F.broadcast(prints), ["length", "print"], "left_semi")
                 .select("id", "text_hash", "length", "at", "print", _content().alias("content")))
         matched = near.join(F.broadcast(bench_windows), ["length", "print", "content"])
     else:
         # A large benchmark: shuffle the distinct fingerprints, and texts of candidates only.
-        narrow = (rows.select("id", "text_hash", F.explode("classes").alias("class"))
+        narrow = (base.select("id", "text_hash", F.explode(classes).alias("class"))
                   .select("id", "text_hash", F.col("class.length").alias("length"),
                           F.explode(F.array_distinct("class.prints")).alias("print")))
         found = (narrow.join(prints, ["length", "print"], "left_semi")
                  .select(F.col("id").alias("found_id"), F.col("text_hash").alias("found_hash"))
                  .distinct())
-        candidates = rows.join(found, F.col("id").eqNullSafe(F.col("found_id"))
+        candidates = base.join(found, F.col("id").eqNullSafe(F.col("found_id"))
                                & F.col("text_hash").eqNullSafe(F.col("found_hash")), "left_semi")
-        near = (_windows(candidates, "id", "text_hash")
+        near = (_windows(candidates, classes, "id", "text_hash")
                 .select("id", "text_hash", "length", "at", "print", _content().alias("content")))
         matched = near.join(bench_windows, ["length", "print", "content"])
 
@@ -164,5 +164,6 @@ def decontaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     """``docs`` (all columns) without the contaminated documents."""
     bad = (contamination(docs, items, id_col, text_col, **options).where("contaminated")
            .select(F.col("id").alias("bad_id"), F.col("text_hash").alias("bad_hash")))
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["bad_id"])
+    # A sort-merge join at every size: the list of documents grows with the corpus.
+    return docs.join(bad.hint("merge"), docs[id_col].eqNullSafe(bad["bad_id"])
                      & F.xxhash64(docs[text_col]).eqNullSafe(bad["bad_hash"]), "left_anti")
