@@ -134,9 +134,15 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) ->
         raise ValueError("the grid finds links of at most 4 bits")
     spark = fps.sparkSession
     cells = grid_cells(fps)
-    crowded = write_scratch(cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1"),
-                            "simhash-cells")
-    members = (cells.join(spark.read.parquet(crowded).hint("merge"), "cell")
+    shared = write_scratch(cells.groupBy("cell").agg(
+        F.count("*").alias("n"), F.min("fp").alias("u"), F.max("fp").alias("v")).where("n > 1"),
+        "simhash-cells")
+    # Most shared cells hold two fingerprints that met by chance: these are compared as they are.
+    differing = F.bit_count(F.col("u").bitwiseXOR(F.col("v")))
+    pairs = spark.read.parquet(shared).where((F.col("n") == 2) & (differing <= max_bits)).select(
+        "u", "v")
+    crowded = spark.read.parquet(shared).where("n > 2").select("cell", "n")
+    members = (cells.join(crowded.hint("merge"), "cell")
                .withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
                .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
@@ -154,8 +160,9 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) ->
                     for k in (0, 1))
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
-    links = write_scratch(groups.mapInArrow(link, "u long, v long").distinct(), "simhash-links")
-    release_scratch(spark, crowded)
+    links = write_scratch(groups.mapInArrow(link, "u long, v long").unionByName(pairs).distinct(),
+                          "simhash-links")
+    release_scratch(spark, shared)
     return spark.read.parquet(links)
 
 
