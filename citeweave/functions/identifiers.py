@@ -62,9 +62,18 @@ def format_pmid(n: Column | str) -> Column:
 
 # PMCID -------------------------------------------------------------------------------------
 
+def _pmcid_in_range(t: Column) -> Column:
+    """The pattern holds and number and version fit 32 unsigned bits, as PMIDs must."""
+    number = F.regexp_extract(t, _PMCID, 1).try_cast("long")
+    version = F.nullif(F.regexp_extract(t, _PMCID, 2), F.lit(""))
+    return (t.rlike(_PMCID) & F.coalesce(number <= _UINT32_MAX, F.lit(False))
+            & (version.isNull() | F.coalesce(version.try_cast("long") <= _UINT32_MAX,
+                                             F.lit(False))))
+
+
 def valid_pmcid(text: Column | str) -> Column:
     t = empty_to_null(text)
-    return t.isNull() | t.rlike(_PMCID)
+    return t.isNull() | F.coalesce(_pmcid_in_range(t), F.lit(False))
 
 
 def parse_pmcid(text: Column | str) -> Column:
@@ -72,9 +81,9 @@ def parse_pmcid(text: Column | str) -> Column:
     t = empty_to_null(text)
     number = F.regexp_extract(t, _PMCID, 1)
     version = F.regexp_extract(t, _PMCID, 2)
-    return F.when(t.rlike(_PMCID), F.struct(
-        number.cast("long").alias("id"),
-        F.nullif(version, F.lit("")).cast("long").alias("version")))
+    return F.when(_pmcid_in_range(t), F.struct(
+        number.try_cast("long").alias("id"),
+        F.nullif(version, F.lit("")).try_cast("long").alias("version")))
 
 
 def format_pmcid(s: Column | str) -> Column:

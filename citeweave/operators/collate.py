@@ -33,24 +33,37 @@ def classify_name(name: Column | str) -> Column:
 
 
 def collate_records(records: DataFrame, file_name: Column | str = "_file_name",
-                    bucket_width: int = 2) -> DataFrame:
+                    prefix: Column | str | None = None, bucket_width: int = 2) -> DataFrame:
     """Tag raw records for collation: ``file`` (base name, overwriting any such key), UUID,
-    prefix bucket and parse type. Unclassified files are left out (see :func:`residual_files`)."""
+    bucket and parse type. Unclassified files are left out (see :func:`residual_files`).
+
+    The bucket (``prefix``) is the top-level folder a file came from; a caller that has no folders
+    may leave it out, which takes the first characters of the UUID.
+    """
     name = col(file_name)
     tagged = (records.withColumn("file", name)
               .withColumn("parse_type", classify_name(name))
-              .withColumn("uuid", F.lower(uuid_of_name(name)))
-              .withColumn("prefix", prefix_bucket("uuid", bucket_width)))
+              .withColumn("uuid", F.lower(uuid_of_name(name))))
+    tagged = tagged.withColumn("prefix", prefix_bucket("uuid", bucket_width) if prefix is None
+                               else col(prefix))
     if isinstance(file_name, str) and file_name != "file":
         tagged = tagged.drop(file_name)
     return tagged.where(F.col("parse_type").isNotNull())
 
 
-def pending_prefixes(input_prefixes: DataFrame, done_prefixes: DataFrame,
-                     prefix: str = "prefix") -> DataFrame:
-    """Resume: prefixes of the input that have no finished output yet (anti-join)."""
-    return input_prefixes.select(prefix).distinct().join(done_prefixes.select(prefix), prefix,
-                                                         "left_anti")
+def copied_object(text: Column | str, file_name: Column | str) -> Column:
+    """The JSON object in ``text`` with its ``file`` key set, as one JSON line.
+
+    Every other key keeps its value and type (VARIANT): nulls stay, nothing is widened to what
+    another file holds. Text that is not one JSON object raises.
+    """
+    fields = F.from_json(col(text), "map<string,variant>", {"mode": "FAILFAST"})
+    fields = F.coalesce(fields, F.raise_error(F.concat(
+        F.lit("not a JSON object: "), col(file_name))).cast("map<string,variant>"))
+    own = F.parse_json(F.to_json(F.struct(col(file_name).alias("file"))))
+    value = F.variant_get(own, "$.file", "variant")
+    return F.to_json(F.map_concat(F.map_filter(fields, lambda k, _: k != "file"),
+                                  F.create_map(F.lit("file"), value)))
 
 
 def residual_files(listing: DataFrame, name: Column | str = "name") -> DataFrame:
@@ -87,14 +100,18 @@ def sort_by_uuid(records: DataFrame, file_col: str = "file",
     return records.orderBy(uuid_sort_key(file_col), *tiebreak)
 
 
-def last_by_key(records: DataFrame, key: Column | str, position: Column | str,
+def last_by_key(records: DataFrame, key: Column | str, position: Column | str | Sequence[str],
                 alias: str = "key") -> DataFrame:
     """The last record of each key by ``position`` (later reads win).
 
-    ``max_by`` is aggregated partially in every task before the shuffle, so a key with very many
-    records is reduced map-side instead of being gathered in one task.
+    ``position`` is one column, or several that are compared in turn. The latest position is
+    aggregated partially in every task before the shuffle, so a key with very many records is
+    reduced map-side instead of being gathered in one task. Where several records share a
+    key's last position, one of them stays.
     """
-    fields = [c for c in records.columns]
+    fields = list(records.columns)
+    if isinstance(position, (list, tuple)):
+        position = F.struct(*[col(p) for p in position])
     latest = records.groupBy(col(key).alias(alias)).agg(
         F.max_by(F.struct(*fields), col(position)).alias("_r"))
     return latest.select(alias, *[F.col("_r")[c].alias(c) for c in fields if c != alias])

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeweave.functions.keys import mention_id, uuid_of_name
-from citeweave.functions.text import (empty_to_null, keep_empty, lenient_date, strict_date,
-                                     zero_to_null)
+from citeweave.functions.text import (empty_to_null, is_valid_date_text, keep_empty,
+                                     lenient_date, strict_date, zero_to_null)
 from citeweave.operators.keys import dense_ids
 from citeweave.schemas import PAPERS, MENTIONS, PURPOSE_ASSESSMENTS, PURPOSES, SCOPES
 
@@ -50,11 +50,13 @@ def strict_lookup(probe: DataFrame, mapping: DataFrame, key: str, value: str,
                   strict: bool = True) -> DataFrame:
     """Attach ``mapping[value]`` to each probe row by ``key``; a missing key is an error.
 
-    A left join keeps missing keys visible; strict mode then raises on the first one, otherwise
+    A key that the mapping repeats has the last (largest) value, so the join never multiplies
+    rows; :func:`repeated_keys` reports them. A left join keeps missing keys visible; strict mode then raises on the first one, otherwise
     the rows are dropped here and reported by :func:`lookup_violations`. The mapping is not forced
     into a broadcast: the planner and AQE pick broadcast or shuffle from its measured size.
     """
-    joined = probe.join(mapping.select(key, value), key, "left")
+    last = mapping.groupBy(key).agg(F.max(value).alias(value))
+    joined = probe.join(last, key, "left")
     if strict:
         check = require(F.col(value).isNotNull(),
                         F.concat(F.lit(f"missing {value} for {key} "), F.col(key).cast("string")))
@@ -63,6 +65,11 @@ def strict_lookup(probe: DataFrame, mapping: DataFrame, key: str, value: str,
     return joined.where(F.col(value).isNotNull())
 
 
+def repeated_keys(mapping: DataFrame, key: str) -> DataFrame:
+    """Keys that a mapping holds more than once, with their number of rows ``n``."""
+    return mapping.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
 def lookup_violations(probe: DataFrame, mapping: DataFrame, key: str) -> DataFrame:
     """Probe rows whose key has no mapping (the quarantine form of :func:`strict_lookup`)."""
     return probe.join(mapping.select(key), key, "left_anti")
@@ -103,7 +110,6 @@ def paper_rows(records: DataFrame, strict: bool = True) -> DataFrame:
 
 def paper_violations(records: DataFrame) -> DataFrame:
     """Paper records that strict mode would reject, with the reason."""
-    from citeweave.functions.text import is_valid_date_text
     reason = (F.when(F.coalesce(F.length("id") != 36, F.lit(True)), F.lit("id length"))
               .when(~is_valid_date_text("published_date"), F.lit("published_date")))
     return records.withColumn("reason", reason).where(F.col("reason").isNotNull())

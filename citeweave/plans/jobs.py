@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import os
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +21,7 @@ from citeweave.schemas import (DEFAULT_MIN_SUPPORT, DEFAULT_SAMPLE_FRACTIONS, GE
 from citeweave.sinks import writers
 from citeweave.sources import jsonl, raw_tree
 from citeweave.sources import tables as table_sources
-from citeweave.session import release_scratch, write_scratch
+from citeweave.session import scratch_scope, write_scratch
 
 
 def _entries(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
@@ -36,107 +38,148 @@ def _children(spark: SparkSession, path: str) -> list[str]:
     return [name for name, _ in _entries(spark, path)]
 
 
-def _prefix_groups(spark: SparkSession, raw_root: str, size: int,
-                   prefixes_only: bool = True) -> list[list[str]]:
-    """Top-level folders of the raw tree (only the 2-character prefixes unless
-    ``prefixes_only`` is false), in groups of ``size``: one job per group keeps the driver's file
-    listing to that share of the tree."""
-    dirs = [n for n, is_dir in _entries(spark, raw_root)
-            if is_dir and (len(n) == 2 or not prefixes_only)]
+def _folder_groups(spark: SparkSession, raw_root: str, size: int) -> list[list[str]]:
+    """Top-level folders of the raw tree, whatever their names, in groups of ``size``: one job per
+    group keeps the driver's file listing to that share of the tree."""
+    dirs = [n for n, is_dir in _entries(spark, raw_root) if is_dir]
     return [dirs[i:i + size] for i in range(0, len(dirs), size)]
 
 
 # JOB-1 -----------------------------------------------------------------------------------------
 
-def collate_tree(spark: SparkSession, raw_root: str, out: str, schema=None, resume: bool = True,
+def collate_tree(spark: SparkSession, raw_root: str, out: str, resume: bool = True,
                  prefixes_per_job: int = 8, open_cost_bytes: int = 64 * 1024) -> list[str]:
-    """Raw tree → JSONL partitioned by parse type and prefix; returns the prefixes processed.
-
-    With ``resume`` a prefix is skipped when both standard outputs (papers and pdf mentions)
-    exist already. Pending prefixes are collated ``prefixes_per_job`` at a time: the driver only
-    ever lists that share of the ~100 M files, and each group commits on its own, so a failure
-    loses at most one group. Raw files are a few KB each; ``open_cost_bytes`` (the planner's
-    per-file cost, 4 MB by default) is lowered for this read so a task packs thousands of files.
+    """Raw tree → JSONL partitioned by parse type and top-level folder; returns the folders
+    processed.
+
+    Every top-level folder is taken, and its name is the bucket of its files. Objects are copied as
+    they are (see ``collate.copied_object``); a file that is not one JSON object is an error. With
+    ``resume`` a folder is skipped when both standard outputs (papers and pdf mentions) exist
+    already. Pending folders are collated ``prefixes_per_job`` at a time: the driver only ever
+    lists that share of the ~100 M files, and each group replaces only its own buckets, so a
+    failure loses at most one group. Raw files are a few KB each; ``open_cost_bytes`` is lowered
+    for this read so a task packs thousands of files. Each file is read once.
     """
-    prefixes = [p for p in _children(spark, raw_root) if len(p) == 2]
+    folders = [n for n, is_dir in _entries(spark, raw_root) if is_dir]
     if resume:
-        done_paper = {p.split("=", 1)[1] for p in _children(spark, f"{out}/parse_type=paper")}
-        done_pdf = {p.split("=", 1)[1] for p in _children(spark, f"{out}/parse_type=pdf")}
-        prefixes = [p for p in prefixes if p not in (done_paper & done_pdf)]
-    key = "spark.sql.files.openCostInBytes"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, str(open_cost_bytes))
-    try:
-        for start in range(0, len(prefixes), prefixes_per_job):
-            group = prefixes[start:start + prefixes_per_job]
-            reader = (spark.read.option("multiLine", True).option("recursiveFileLookup", True)
-                      .option("pathGlobFilter", "*.json"))
-            if schema is not None:
-                reader = reader.schema(schema)
-            records = (reader.json([os.path.join(raw_root, p) for p in group])
-                       .withColumn("_file_name", F.col("_metadata.file_name")))
-            writers.write_collection(collate.collate_records(records, "_file_name"), out,
-                                     mode="overwrite")
-    finally:
-        spark.conf.set(key, previous)
-    return prefixes
+        done = [{unquote(p.split("=", 1)[1]) for p in _children(spark, f"{out}/parse_type={t}")
+                 if "=" in p} for t in ("paper", "pdf")]
+        folders = [p for p in folders if p not in done[0] & done[1]]
+    with raw_tree.many_small_files(spark, open_cost_bytes):
+        for start in range(0, len(folders), prefixes_per_job):
+            records = reduce(DataFrame.unionByName, [
+                raw_tree.read_raw_text(spark, os.path.join(raw_root, p))
+                .withColumn("prefix", F.lit(p)) for p in folders[start:start + prefixes_per_job]])
+            tagged = collate.collate_records(records, "_file_name", "prefix")
+            writers.write_collection(
+                tagged.withColumn("line", collate.copied_object("text", "file"))
+                .drop("text", "file"), out)
+    return folders
 
 
 # JOB-2, JOB-3 ----------------------------------------------------------------------------------
 
-def extract_tables(spark: SparkSession, collection: str, out: str, source_type: str = "pdf",
-                   strict: bool = True, repartition: int | None = None,
-                   table_prefix: str | None = None, num_buckets: int = 1024) -> None:
-    """Collated JSONL → papers.parquet, mentions.<type>.parquet, purpose_assessments.<type>.parquet.
-
-    The projected paper rows, then the papers with their dense ids, are written once to the shared
-    checkpoint folder; the mention records are scanned once, exploded against those ids and written once as a flat intermediate;
-    the three tables are then derived from the two intermediates, which are deleted at the end.
-    With ``table_prefix`` the
-    tables are also registered in the catalog as ``<prefix>papers`` etc., bucketed and sorted by
-    ``paper_id`` (``num_buckets``), so later joins on ``paper_id`` need no shuffle.
+def _collection(spark: SparkSession, collection: str, schema, parse_type: str,
+                repartition: int | None) -> DataFrame:
+    """Records of one parse type from what ``collate_tree`` wrote (``parse_type=…/prefix=…``) or
+    from ``<bucket><suffix>.jsonl[.gz]`` files. No matching file is an error."""
+    if any(name.startswith("parse_type=") for name in _children(spark, collection)):
+        stored = {"papers": "paper"}.get(parse_type, parse_type)
+        if f"parse_type={stored}" not in _children(spark, collection):
+            raise FileNotFoundError(f"no {parse_type} records in {collection}")
+        df = jsonl.read_collated(spark, collection, schema, stored)
+        return df.repartition(repartition) if repartition else df
+    df = jsonl.read_collection(spark, collection, schema, parse_type, repartition=repartition)
+    if not df.inputFiles():
+        raise FileNotFoundError(f"no {parse_type} files in {collection}")
+    return df
+
+
+def extract_tables(spark: SparkSession, collection: str, out: str,
+                   source_type: str | Sequence[str] = "pdf", strict: bool = True,
+                   repartition: int | None = None, table_prefix: str | None = None,
+                   num_buckets: int = 1024) -> None:
+    """Collated JSONL → papers.parquet, and mentions.<type>.parquet and
+    purpose_assessments.<type>.parquet for each source type.
+
+    ``has_mentions`` says whether any of the given types has a mention of the paper. The projected
+    paper rows, then the papers with their dense ids, are written once to the shared checkpoint
+    folder; the mention records of a type are scanned once, exploded against those ids and written
+    once as a flat intermediate; the tables are derived from the intermediates, which are deleted
+    at the end. With ``strict=False`` rejected rows do not stop the job: they are written to
+    ``<out>/rejected.papers`` and ``<out>/rejected.mentions.<type>``.
+    With ``table_prefix`` the tables are also registered in the catalog as ``<prefix>papers`` etc.,
+    bucketed and sorted by ``paper_id`` (``num_buckets``), so later joins on ``paper_id`` need no
+    shuffle (of several source types the names carry the type).
     """
-    papers_in = jsonl.read_collection(spark, collection, PAPER_JSON, "papers",
-                                      repartition=repartition)
-    mentions_in = jsonl.read_collection(spark, collection, MENTION_JSON, source_type,
-                                        repartition=repartition)
-    # The range partitioning behind the ids reads its input twice (sampling, then shuffle): give
-    # it the projected rows as Parquet rather than the gzip JSON.
-    rows_path = write_scratch(tables.paper_rows(papers_in, strict), "paper-rows")
-    core_path = write_scratch(tables.paper_ids(spark.read.parquet(rows_path)), "papers-with-ids")
-    core = spark.read.parquet(core_path)
-    rows = tables.mention_rows(mentions_in, core.select("source_uuid", "paper_id"),
-                               source_type, strict)
-    # Both mention tables come from one flat intermediate, so the mention JSON scan, the id
-    # lookup join and the explode run once.
-    flat_path = write_scratch(tables.flat_mention_rows(rows), "mention-rows")
-    flat = spark.read.parquet(flat_path)
-    outputs = {
-        "papers": (tables.papers_from_mentions(core, flat), f"{out}/papers.parquet"),
-        "mentions": (tables.mentions_from_flat(flat), f"{out}/mentions.{source_type}.parquet"),
-        "purpose_assessments": (tables.assessments_from_flat(flat),
-                                f"{out}/purpose_assessments.{source_type}.parquet"),
-    }
-    for name, (df, path) in outputs.items():
+    types = [source_type] if isinstance(source_type, str) else list(source_type)
+    papers_in = _collection(spark, collection, PAPER_JSON, "papers", repartition)
+    mentions_in = {t: _collection(spark, collection, MENTION_JSON, t, repartition) for t in types}
+
+    def write(df: DataFrame, name: str, path: str) -> None:
         if table_prefix:
             writers.write_bucketed_table(df, f"{table_prefix}{name}", path,
                                          num_buckets=num_buckets)
         else:
             writers.write_table(df, path)
-    release_scratch(spark, rows_path, core_path, flat_path)
+
+    with scratch_scope(spark):
+        if not strict:
+            rejected = tables.paper_violations(papers_in)
+            writers.write_table(rejected, f"{out}/rejected.papers")
+            papers_in = papers_in.where((F.length("id") == 36)
+                                        & tables.is_valid_date_text("published_date"))
+        # The range partitioning behind the ids reads its input twice (sampling, then shuffle):
+        # give it the projected rows as Parquet rather than the gzip JSON.
+        rows = spark.read.parquet(write_scratch(tables.paper_rows(papers_in, strict),
+                                                "paper-rows"))
+        core = spark.read.parquet(write_scratch(tables.paper_ids(rows), "papers-with-ids"))
+        ids = core.select("source_uuid", "paper_id")
+        holders = None
+        for t in types:
+            if not strict:
+                keyed = mentions_in[t].withColumn("source_uuid", F.substring("file", 1, 36))
+                writers.write_table(tables.lookup_violations(keyed, ids, "source_uuid"),
+                                    f"{out}/rejected.mentions.{t}")
+            # Both mention tables come from one flat intermediate, so the mention JSON scan, the
+            # id lookup join and the explode run once.
+            flat = spark.read.parquet(write_scratch(tables.flat_mention_rows(
+                tables.mention_rows(mentions_in[t], ids, t, strict)), "mention-rows"))
+            named = f"_{t}" if len(types) > 1 else ""
+            write(tables.mentions_from_flat(flat), f"mentions{named}", f"{out}/mentions.{t}.parquet")
+            write(tables.assessments_from_flat(flat), f"purpose_assessments{named}",
+                  f"{out}/purpose_assessments.{t}.parquet")
+            found = flat.select("paper_id")
+            holders = found if holders is None else holders.unionByName(found)
+        write(tables.papers_from_mentions(core, holders), "papers", f"{out}/papers.parquet")
 
 
 # JOB-4 -----------------------------------------------------------------------------------------
 
-def json_stats(spark: SparkSession, path: str, out: str | None = None) -> DataFrame:
-    """Profile of every leaf path in JSONL files, as ``path;summary`` lines sorted by path."""
-    docs = jsonl.read_variant_lines(spark, path, "v")
-    typed = profile.typed_leaves(profile.json_leaves(docs))
-    prof, enums = profile.profile_parts(typed)
-    report = profile.profile_summary(profile.raise_on_conflicts(prof), enums)
-    if out:
+def json_stats(spark: SparkSession, path: str, out: str | None = None,
+               name_pattern: str | None = None, mode: str = "FAILFAST") -> DataFrame:
+    """Profile of every leaf path in JSONL files, as ``path;summary`` lines sorted by path.
+
+    Folders are read recursively; ``name_pattern`` is a regular expression on file names; a
+    malformed line is an error unless ``mode`` is "PERMISSIVE". With ``out`` the report is written
+    and the returned frame reads it back, so no scratch table stays; without it the frame reads
+    scratch tables that belong to the caller (``session.scratch_scope``).
+    """
+    def build() -> DataFrame:
+        docs = jsonl.read_variant_lines(spark, path, "v", name_pattern, mode)
+        typed = profile.typed_leaves(profile.json_leaves(docs))
+        prof, enums = profile.profile_parts(typed)
+        return profile.profile_summary(profile.raise_on_conflicts(prof), enums)
+
+    if not out:
+        return build()
+    with scratch_scope(spark):
+        report = build()
+        names = report.columns
         writers.write_report(report, out)
-    return report
+    first = F.substring_index("value", ";", 1)
+    return spark.read.text(out).select(first.alias(names[0]), F.substring(
+        F.col("value"), F.length(first) + 2, F.length("value")).alias(names[1])).orderBy(names[0])
 
 
 # JOB-5 -----------------------------------------------------------------------------------------
@@ -149,23 +192,33 @@ def mentions_count(mentions: DataFrame, owner: str = "paper_id",
     """Number of supported items, the top items with rank, and the top co-mentioned pairs.
 
     With ``out`` the three reports are also written as ``<out>/n_items``, ``<out>/top_items``
-    (``rank;name;count``) and ``<out>/top_pairs`` (``rank;name;name;count``).
+    (``rank;name;count``) and ``<out>/top_pairs`` (``rank;name;name;count``). The results are a
+    few rows each by their definition (a total and two top lists); they are computed here, and the
+    scratch tables behind them are deleted.
     """
+    spark = mentions.sparkSession
+    with scratch_scope(spark):
+        result = {name: spark.createDataFrame(df.collect(), df.schema) for name, df in _counts(
+            mentions, owner, item, stop_list, min_support, top_items, top_pairs).items()}
+    if out:
+        for name, df in result.items():
+            writers.write_report(df.orderBy("rank") if "rank" in df.columns else df,
+                                 f"{out}/{name}")
+    return result
+
+
+def _counts(mentions: DataFrame, owner: str, item: str, stop_list: Sequence[str],
+            min_support: int, top_items: int, top_pairs: int) -> dict[str, DataFrame]:
     support = counts.item_support(mentions, owner, item, stop_list, min_support)
     pairs = counts.co_occurrence_counts(mentions, owner, item, stop_list, min_support,
                                         min_support)
-    result = {
+    return {
         "n_items": counts.supported_item_total(support),
         "top_items": counts.top_ranked(support, [F.desc("n"), F.asc(item)], top_items)
         .select("rank", item, "n"),
         "top_pairs": counts.top_ranked(pairs, [F.desc("n"), F.asc("item_a"), F.asc("item_b")],
                                        top_pairs).select("rank", "item_a", "item_b", "n"),
     }
-    if out:
-        for name, df in result.items():
-            writers.write_report(df.orderBy("rank") if "rank" in df.columns else df,
-                                 f"{out}/{name}")
-    return result
 
 
 # JOB-6 -----------------------------------------------------------------------------------------
@@ -175,15 +228,18 @@ def subsample(spark: SparkSession, folder: str, out: str, seed: int,
               source_type: str = "pdf") -> DataFrame:
     """Write ``out/<table>/sample=<i>`` for the three tables; returns the sample sizes.
 
-    A paper's sample is a hash of (seed, paper_id), so mentions and assessments are routed by
-    recomputing it: three independent scans, no join and no id set held anywhere.
+    A paper's sample is a hash of (seed, paper_id). Mentions and assessments are routed by
+    recomputing it, and semi-joined with the sampled papers, so rows of a paper that is not
+    eligible (``has_mentions`` is false although it has rows) stay out. Samples of an earlier run
+    are removed.
     """
     papers, mentions, purposes = table_sources.read_tables(spark, folder, source_type)
     sampled = sampling.assign_samples(papers, "paper_id", seed, fractions, "has_mentions")
     writers.write_samples(sampled, f"{out}/papers")
+    eligible = spark.read.parquet(f"{out}/papers").select("paper_id")
     for name, df in ((f"mentions.{source_type}", mentions),
                      (f"purpose_assessments.{source_type}", purposes)):
-        writers.write_samples(sampling.route_children(df, "paper_id", seed, fractions),
+        writers.write_samples(sampling.route_children(df, "paper_id", seed, fractions, eligible),
                               f"{out}/{name}")
     return sampling.sample_sizes(spark.read.parquet(f"{out}/papers"))
 
@@ -223,13 +279,14 @@ def mentions_convert(spark: SparkSession, raw_root: str, out: str,
     appends its part of the table. With ``counts_out`` the ``name;count`` report is written too.
     """
     mode = "overwrite"
-    for group in _prefix_groups(spark, raw_root, prefixes_per_job):
-        records = raw_tree.read_raw_tree(spark, [os.path.join(raw_root, p) for p in group],
-                                         MENTION_JSON, glob="*" + parse_suffix)
-        records = records.where(F.col("_file_name").endswith(parse_suffix)
-                                & (F.length(F.col("_file_name")) == 36 + len(parse_suffix)))
-        writers.write_table(slim.slim_mentions(records), out, compression="snappy", mode=mode)
-        mode = "append"
+    with raw_tree.many_small_files(spark):
+        for group in _folder_groups(spark, raw_root, prefixes_per_job):
+            records = raw_tree.read_raw_tree(spark, [os.path.join(raw_root, p) for p in group],
+                                             MENTION_JSON, glob="*" + parse_suffix)
+            records = records.where(F.col("_file_name").endswith(parse_suffix)
+                                    & (F.length(F.col("_file_name")) == 36 + len(parse_suffix)))
+            writers.write_table(slim.slim_mentions(records), out, compression="snappy", mode=mode)
+            mode = "append"
     ranked = counts.ranked_counts(slim.name_occurrences(spark.read.parquet(out)),
                                   "normalized_form")
     if counts_out:
@@ -240,15 +297,25 @@ def mentions_convert(spark: SparkSession, raw_root: str, out: str,
 # JOB-10 ----------------------------------------------------------------------------------------
 
 def sort_jsonl(spark: SparkSession, path: str, out: str, last_only: bool = False) -> None:
-    """Sort JSONL records by the UUID in ``file``; optionally keep only the last record per UUID."""
-    docs = spark.read.option("singleVariantColumn", "v").json(path)
-    keyed = docs.select("v", F.variant_get("v", "$.file", "string").alias("file"),
-                        F.col("_metadata.file_path").alias("_src"),
-                        F.monotonically_increasing_id().alias("_pos"))
-    keyed = keyed.withColumn("_key", collate.uuid_sort_key("file"))
+    """Sort JSONL records by the UUID in ``file``; optionally keep only the last record per UUID.
+
+    Records of one UUID are ordered by file path, then by their place in the file (its block, and
+    the running number inside the block's task). A malformed line is an error.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(path).where("trim(value) != ''")
+    keyed = lines.select(F.parse_json("value").alias("v"),
+                         F.col("_metadata.file_path").alias("_src"),
+                         F.col("_metadata.file_block_start").alias("_block"),
+                         F.monotonically_increasing_id().alias("_pos"))
+    keyed = keyed.withColumn("_key", collate.uuid_sort_key(
+        F.variant_get("v", "$.file", "string")))
+    place = ["_src", "_block", "_pos"]
     if last_only:
-        keyed = collate.last_by_key(keyed, "_key", "_pos", alias="_key")
-    ordered = keyed.orderBy("_key", "_src", "_pos").select(F.to_json("v").alias("value"))
+        keyed = collate.last_by_key(keyed.withColumn("line", F.to_json("v")).drop("v"), "_key",
+                                    place, alias="_key")
+    else:
+        keyed = keyed.withColumn("line", F.to_json("v"))
+    ordered = keyed.orderBy("_key", *place).select(F.col("line").alias("value"))
     ordered.write.mode("overwrite").option("compression", "gzip").text(out)
 
 
@@ -266,7 +333,7 @@ def residual_report(spark: SparkSession, raw_root: str, out: str | None = None,
     if out is None:
         return collate.residual_files(raw_tree.list_files(spark, raw_root), "name")
     mode = "overwrite"
-    for group in _prefix_groups(spark, raw_root, prefixes_per_job, prefixes_only=False):
+    for group in _folder_groups(spark, raw_root, prefixes_per_job):
         listing = raw_tree.list_files(spark, [os.path.join(raw_root, p) for p in group])
         collate.residual_files(listing, "name").write.mode(mode).parquet(out)
         mode = "append"

@@ -171,7 +171,7 @@ _BUILT = f"""
            string_split(text, chr(10)) AS lines,
            CASE WHEN doc_id % 10 = 0 THEN 0 ELSE 2000 + doc_id % 21 END AS yr
     FROM documents),
-  m AS (SELECT doc_id, list_filter(lines, lambda l: length(l) > {A.MIN_MENTION_CHARS}) AS ms FROM d),
+  m AS (SELECT doc_id, lines AS ms FROM d),
   papers AS (
     SELECT row_number() OVER (ORDER BY d.uuid) AS paper_id, d.doc_id, d.uuid AS source_uuid,
            nullif(split_part(d.text, chr(10), 1), '') AS title,
@@ -220,13 +220,10 @@ ORACLE = {
                  CAST(row_number() OVER (ORDER BY n DESC, item_a, item_b) - 1 AS INTEGER) AS rank
           FROM ({_CO_ITEMS}))
         WHERE rank < {A.TOP_PAIRS}""",
-    "category_counts_zero_filled": f"""
-        SELECT n.n_nationkey, n.n_name, count(c.c_custkey) AS n
-        FROM nation n LEFT JOIN (SELECT c_custkey, c_nationkey FROM customer
-                                 WHERE c_mktsegment = {_q(A.SEGMENT)}
-                                   AND c_acctbal > {A.MIN_BALANCE}) c
-          ON c.c_nationkey = n.n_nationkey
-        GROUP BY n.n_nationkey, n.n_name""",
+    "category_counts_zero_filled": """
+        SELECT c.c_custkey, c.c_name, count(o.o_orderkey) AS n
+        FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey
+        GROUP BY c.c_custkey, c.c_name""",
     "occurrence_counts": """
         SELECT p.p_name, count(*) AS n FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
         GROUP BY p.p_name""",
@@ -355,13 +352,11 @@ ORACLE = {
     "slim_children": f"""
         SELECT upper(replace({_uuid_sql('doc_id')}, '-', '')) AS id_hex,
                CAST(len(lines) AS INTEGER) AS n_items,
-               array_to_string(list_transform(lines, lambda x: split_part(x, ' ', 1)), '|') AS names
+               array_to_string(lines, '|') AS names
         FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents)""",
     "slim_name_counts": """
         SELECT normalized_form, count(*) AS n FROM (
-          SELECT unnest(list_transform(string_split(text, chr(10)),
-                                       lambda x: split_part(x, ' ', 1))) AS normalized_form
-          FROM documents)
+          SELECT unnest(string_split(text, chr(10))) AS normalized_form FROM documents)
         GROUP BY normalized_form""",
     "built_papers": f"""
         {_BUILT}

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -47,13 +48,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster this setting points at shared storage and is only read here (the SparkContext's
     checkpoint folder is used when only that is set). A folder of our own is created only when
-    neither is set, which happens in local tests.
+    neither is set and the master is local, as in tests; on a cluster that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
         if configured:
             return configured
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="citeweave-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", configured)
@@ -70,11 +73,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch tables written inside the block are deleted at its end: a job writes its outputs
+    inside and leaves the scratch folder as it found it. Scopes nest."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        release_scratch(spark, *_SCOPES.pop())
+
+
 def write_scratch(df, name: str) -> str:
     """Write ``df`` as Parquet under the shared checkpoint folder; return the path."""
     import uuid
 
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.mode("overwrite").parquet(path)
     return path
 
@@ -85,7 +104,7 @@ def materialize(df, name: str):
     Used where several later steps read the same intermediate: it is computed once (an eager
     ``checkpoint()`` would compute it twice, once for the job and once for the write), and the
     lineage is cut, so a lost executor only recomputes from the written table. The frame stays
-    readable until its folder is released (``release_scratch``).
+    readable until its folder is released (``scratch_scope``, ``release_scratch``).
     """
     return df.sparkSession.read.parquet(write_scratch(df, name))
 

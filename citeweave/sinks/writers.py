@@ -7,23 +7,26 @@ from pyspark.sql import functions as F
 
 
 def write_collection(collated: DataFrame, out: str, mode: str = "overwrite",
-                     num_partitions: int | None = None) -> None:
-    """gzip JSONL under ``parse_type=<t>/prefix=<p>/``, rows in UUID order.
-
-    Rows are range-partitioned on (parse_type, prefix, uuid) and sorted inside each task, so every
-    output file holds a contiguous UUID range of one bucket, and a bucket holding a large share of
-    the rows is split over several tasks (several files, in name order) instead of one. With
-    dynamic partition overwrite a rerun replaces only the buckets it writes, so a resumed run
-    (see ``pending_prefixes``) leaves finished buckets untouched.
+                     ranges_per_bucket: int = 4) -> None:
+    """gzip JSONL under ``parse_type=<t>/prefix=<p>/``, rows in UUID order within each file.
+
+    UUIDs are uniform, so hex digits 3 to 6 say which of a bucket's ``ranges_per_bucket`` ranges a
+    row falls in: rows are dealt out by (parse type, bucket, range) in one pass, without the
+    sampling pass of a range partitioner, and a large bucket is several files. Only the buckets
+    that are written are replaced, by an option of this one write (the session is not changed), so
+    a resumed run leaves finished buckets untouched. ``collated`` has ``parse_type``, ``prefix``,
+    ``uuid`` and either ``line`` (the JSON line as it is) or the record's columns.
     """
-    spark = collated.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = ["parse_type", "prefix", "uuid"]
-    (collated.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-     .drop("uuid")
-     .write.mode(mode).partitionBy("parse_type", "prefix")
-     .option("compression", "gzip").json(out))
+    place = F.conv(F.substring(F.regexp_replace("uuid", "-", ""), 3, 4), 16, 10).cast("long")
+    keyed = collated.withColumn("_range", F.coalesce(F.floor(
+        place * ranges_per_bucket / 65536), F.lit(0)))
+    keys = ["parse_type", "prefix", "_range"]
+    ordered = keyed.repartition(*keys).sortWithinPartitions(*keys, "uuid").drop("uuid", "_range")
+    if "line" in collated.columns:
+        ordered = ordered.select("line", "parse_type", "prefix")
+    writer = (ordered.write.mode(mode).partitionBy("parse_type", "prefix")
+              .option("partitionOverwriteMode", "dynamic").option("compression", "gzip"))
+    (writer.text if "line" in collated.columns else writer.json)(out)
 
 
 def write_table(df: DataFrame, out: str, partition_by: list[str] | None = None,
@@ -53,8 +56,10 @@ def write_bucketed_table(df: DataFrame, name: str, path: str, key: str = "paper_
 
 def write_samples(sampled: DataFrame, out: str, sample_col: str = "sample",
                   mode: str = "overwrite") -> None:
-    """One folder per sample (``sample=0``, ``sample=1``, ...), in a single pass over the rows."""
-    sampled.write.mode(mode).partitionBy(sample_col).option("compression", "gzip").parquet(out)
+    """One folder per sample (``sample=0``, ``sample=1``, ...), in a single pass over the rows.
+    An overwrite removes the samples of earlier runs, whatever the session's overwrite mode."""
+    (sampled.write.mode(mode).partitionBy(sample_col).option("partitionOverwriteMode", "static")
+     .option("compression", "gzip").parquet(out))
 
 
 def write_report(df: DataFrame, out: str, sep: str = ";", mode: str = "overwrite") -> None:
@@ -66,19 +71,13 @@ def write_report(df: DataFrame, out: str, sep: str = ";", mode: str = "overwrite
 
 
 def read_report_lines(spark, out: str) -> list[str]:
-    """The lines of a small report in order (for tests and command-line printing)."""
-    import os
-
-    lines: list[str] = []
-    for name in sorted(f for f in os.listdir(out) if f.startswith("part-")):
-        with open(os.path.join(out, name)) as fh:
-            lines.extend(fh.read().splitlines())
-    return lines
-
-
-def write_sorted_jsonl(df: DataFrame, out: str, mode: str = "overwrite") -> None:
-    """JSONL, always gzip; part files follow the global sort order by name."""
-    df.write.mode(mode).option("compression", "gzip").json(out)
+    """The lines of a small report in order (for tests and command-line printing); read by Spark,
+    so ``out`` may be on any storage."""
+    lines = spark.read.text(out).select(
+        "value", F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"))
+    return [r["value"] for r in lines.orderBy("file", "block", "at").collect()]
 
 
 def write_id_map(papers: DataFrame, out: str) -> None:

@@ -8,27 +8,28 @@ from pyspark.sql import types as T
 
 from citeweave.schemas import IDENTIFIER_JSON
 
-# File-name patterns of a collated collection, one per parse type.
-COLLECTION_PATTERNS = {
-    "papers": r"^([0-9a-f]{2}|gg)\.jsonl(\.gz)?$",
-    "pdf": r"^[0-9a-f]{2}\.software\.jsonl(\.gz)?$",
-    "latex": r"^[0-9a-f]{2}\.latex\.tei\.software\.jsonl(\.gz)?$",
-    "jats": r"^[0-9a-f]{2}\.jats\.software\.jsonl(\.gz)?$",
-    "grobid": r"^[0-9a-f]{2}\.grobid\.tei\.software\.jsonl(\.gz)?$",
-    "pub2tei": r"^[0-9a-f]{2}\.pub2tei\.tei\.jsonl(\.gz)?$",
+# What follows the bucket in the file names of a collated collection, by parse type.
+COLLECTION_SUFFIXES = {
+    "papers": ".jsonl",
+    "pdf": ".software.jsonl",
+    "latex": ".latex.tei.software.jsonl",
+    "jats": ".jats.software.jsonl",
+    "grobid": ".grobid.tei.software.jsonl",
+    "pub2tei": ".pub2tei.tei.jsonl",
 }
+_HEX2 = "[0-9a-f][0-9a-f]"
 
 
-# File-name globs with the same meaning, applied while listing so other files are never opened.
-_HEX2 = "[0-9a-f][0-9a-f]"
-COLLECTION_GLOBS = {
-    "papers": "{" + _HEX2 + ",gg}.jsonl*",
-    "pdf": _HEX2 + ".software.jsonl*",
-    "latex": _HEX2 + ".latex.tei.software.jsonl*",
-    "jats": _HEX2 + ".jats.software.jsonl*",
-    "grobid": _HEX2 + ".grobid.tei.software.jsonl*",
-    "pub2tei": _HEX2 + ".pub2tei.tei.jsonl*",
-}
+def collection_pattern(parse_type: str) -> str:
+    """Regular expression of a parse type's file names; only papers have the bucket ``gg``."""
+    bucket = f"({_HEX2}|gg)" if parse_type == "papers" else _HEX2
+    return "^" + bucket + COLLECTION_SUFFIXES[parse_type].replace(".", r"\.") + r"(\.gz)?$"
+
+
+def collection_glob(parse_type: str) -> str:
+    """The same as a glob, applied while listing so that other files are never opened."""
+    bucket = "{" + _HEX2 + ",gg}" if parse_type == "papers" else _HEX2
+    return bucket + COLLECTION_SUFFIXES[parse_type] + "*"
 
 
 def read_collection(spark: SparkSession, path: str, schema: T.StructType,
@@ -42,15 +43,15 @@ def read_collection(spark: SparkSession, path: str, schema: T.StructType,
     which orders papers the way the files are listed. gzip files are not splittable, so pass
     ``repartition`` to spread rows over more tasks right after the scan.
     """
-    if parse_type is not None and parse_type not in COLLECTION_PATTERNS:
-        raise ValueError(f"parse type must be one of {sorted(COLLECTION_PATTERNS)}: {parse_type}")
+    if parse_type is not None and parse_type not in COLLECTION_SUFFIXES:
+        raise ValueError(f"parse type must be one of {sorted(COLLECTION_SUFFIXES)}: {parse_type}")
     reader = spark.read.schema(schema).option("mode", mode)
     if parse_type is not None:
-        reader = reader.option("pathGlobFilter", COLLECTION_GLOBS[parse_type])
+        reader = reader.option("pathGlobFilter", collection_glob(parse_type))
     df = reader.json(path)
     name = F.col("_metadata.file_name")
     if parse_type is not None:
-        df = df.where(name.rlike(COLLECTION_PATTERNS[parse_type]))
+        df = df.where(name.rlike(collection_pattern(parse_type)))
     df = df.withColumn("bucket", F.substring_index(name, ".", 1))
     if repartition:
         df = df.repartition(repartition)
@@ -72,9 +73,19 @@ def read_collated(spark: SparkSession, path: str, schema: T.StructType,
     return df.withColumn("bucket", F.col("prefix")).drop("parse_type", "prefix")
 
 
-def read_variant_lines(spark: SparkSession, path: str, column: str = "v") -> DataFrame:
-    """Schemaless scan: each JSON line as one VARIANT value (no inference pass, no widening)."""
-    return spark.read.option("singleVariantColumn", column).json(path)
+def read_variant_lines(spark: SparkSession, path: str, column: str = "v",
+                       name_pattern: str | None = None, mode: str = "FAILFAST") -> DataFrame:
+    """Schemaless scan: each JSON line as one VARIANT value (no inference pass, no widening).
+
+    Folders are read recursively; ``name_pattern`` is a regular expression that file names must
+    match. A malformed line is an error; with ``mode`` "PERMISSIVE" it becomes a null value.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    if name_pattern is not None:
+        lines = lines.where(F.col("_metadata.file_name").rlike(name_pattern))
+    lines = lines.where(F.trim("value") != "")
+    parse = F.parse_json if mode == "FAILFAST" else F.try_parse_json
+    return lines.select(parse("value").alias(column))
 
 
 def read_identifiers(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def read_raw_tree(spark: SparkSession, root: str | list[str], schema: T.StructType | None = None,
-                  glob: str = "*.json", mode: str = "PERMISSIVE") -> DataFrame:
+                  glob: str = "*.json", mode: str = "FAILFAST") -> DataFrame:
     """Every ``glob``-matching file under ``root`` (recursively) as one record.
 
     Each file holds one JSON object (``multiLine``). ``_file_name`` / ``_file_path`` come from the
     scan's hidden ``_metadata`` column. Pass a declared ``schema`` to skip inference (inference
-    reads every file once more).
+    reads every file once more). A file that is not valid JSON is an error; ``mode`` may say
+    otherwise.
     """
     reader = (spark.read.option("multiLine", True).option("recursiveFileLookup", True)
               .option("pathGlobFilter", glob).option("mode", mode))
@@ -24,6 +27,28 @@ def read_raw_tree(spark: SparkSession, root: str | list[str], schema: T.StructTy
             .withColumn("_file_path", F.col("_metadata.file_path")))
 
 
+def read_raw_text(spark: SparkSession, root: str | list[str], glob: str = "*.json") -> DataFrame:
+    """Every ``glob``-matching file under ``root`` (recursively) as its whole text: ``text``,
+    ``_file_name``. No parsing, no schema."""
+    # load, not text: that method's own default would override the option.
+    return (spark.read.format("text").option("wholetext", True)
+            .option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
+            .select(F.col("value").alias("text"), F.col("_metadata.file_name").alias("_file_name")))
+
+
+@contextmanager
+def many_small_files(spark: SparkSession, open_cost_bytes: int = 64 * 1024):
+    """Within the block, scans are planned with a low cost per file (4 MB by default), so a task
+    packs thousands of files of a few KB. The setting is put back afterwards."""
+    key = "spark.sql.files.openCostInBytes"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(open_cost_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, previous)
+
+
 def list_files(spark: SparkSession, root: str | list[str], glob: str = "*") -> DataFrame:
     """(path, name, length) of every file under ``root``; file contents are never read.
 

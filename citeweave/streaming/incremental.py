@@ -1,49 +1,52 @@
 """Incremental collation with Structured Streaming.
 
-The batch collator resumes by skipping prefixes whose output exists. As a stream, the file
-source's checkpoint is the ledger instead: each raw file is processed exactly once, new files
-dropped into the tree are picked up by the next run, and a failed run restarts from its last
-committed micro-batch. ``maxFilesPerTrigger`` bounds each micro-batch, so a tree of ~100 M files
-is collated in bounded steps rather than listed and read in one job.
+The batch collator resumes by skipping folders whose output exists. As a stream, the file source's
+checkpoint is the ledger instead: each raw file is processed once, new files dropped into the tree
+are picked up by the next run, and a failed run restarts from its last committed micro-batch.
+
+Each micro-batch is written by the batch writer to ``<out>/batch=<id>``; a batch that is run again
+after a failure overwrites its own folder. There is no metadata log in the output, so ``out`` reads
+like any folder, together with a batch collection if one was made before.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from citeweave.operators.collate import collate_records
+from citeweave.operators.collate import collate_records, copied_object
+from citeweave.sinks.writers import write_collection
 
 
 def collate_stream(spark: SparkSession, raw_root: str, out: str, checkpoint: str,
-                   schema: T.StructType | str, glob: str = "*.json",
-                   max_files_per_trigger: int = 100_000, available_now: bool = True,
-                   bucket_width: int = 2, archive_dir: str | None = None):
-    """Stream raw per-paper JSON files into (parse_type, prefix)-partitioned JSONL.
-
-    ``checkpoint`` must be on storage shared by the cluster. With ``available_now`` the query
-    processes every file not yet seen and stops (a restartable batch); otherwise it keeps running
-    and the caller owns the returned ``StreamingQuery``.
-
-    This is the incremental path for files that keep arriving; the source remembers the files it
-    has seen, so the initial backfill of a tree of ~100 M files is better done by
-    ``plans.jobs.collate_tree`` (prefix groups), with the stream started afterwards. With
-    ``archive_dir`` the source moves each processed file there once its batch is committed
-    (Spark's ``cleanSource=archive``), the streaming counterpart of removing processed raw files;
-    by default nothing is moved.
+                   glob: str = "*.json", max_files_per_trigger: int = 100_000,
+                   available_now: bool = True, newer_than: str | None = None):
+    """Stream raw per-paper JSON files into JSONL by batch, parse type and bucket.
+
+    ``checkpoint`` must be on storage shared by the cluster. ``max_files_per_trigger`` bounds each
+    micro-batch. With ``available_now`` the query processes every file not yet seen and stops;
+    otherwise it keeps running and the caller owns the returned ``StreamingQuery``.
+
+    For a large tree, collate what is there with ``plans.jobs.collate_tree`` into another folder
+    and pass the time it started as ``newer_than`` (a timestamp): files not modified after it are
+    left to that collection, so no file is in both. Read both folders for the whole. The bucket is
+    the first characters of the UUID, as folders of new files are not known beforehand.
     """
-    records = (spark.readStream.schema(schema).option("multiLine", True)
-               .option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-               .option("maxFilesPerTrigger", max_files_per_trigger)
-               .options(**({"cleanSource": "archive", "sourceArchiveDir": archive_dir}
-                           if archive_dir else {}))
-               .json(raw_root)
-               .withColumn("_file_name", F.col("_metadata.file_name")))
-    tagged = collate_records(records, "_file_name", bucket_width).drop("uuid")
-    writer = (tagged.writeStream.format("json").outputMode("append")
-              .option("checkpointLocation", checkpoint).option("path", out)
-              .option("compression", "gzip").partitionBy("parse_type", "prefix"))
+    files = (spark.readStream.format("text").option("wholetext", True)
+             .option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+             .option("maxFilesPerTrigger", max_files_per_trigger).load(raw_root))
+    if newer_than is not None:
+        files = files.where(F.col("_metadata.file_modification_time")
+                            > F.lit(newer_than).cast("timestamp"))
+    records = files.select(F.col("value").alias("text"),
+                           F.col("_metadata.file_name").alias("_file_name"))
+    tagged = collate_records(records, "_file_name")
+    lines = tagged.withColumn("line", copied_object("text", "file")).drop("text", "file")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_collection(batch, f"{out}/batch={batch_id}")
+
+    writer = lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:
         query = writer.trigger(availableNow=True).start()
         query.awaitTermination()

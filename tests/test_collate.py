@@ -62,13 +62,10 @@ def test_classify_and_collate(spark, raw, tmp_path):
     assert summary[("pdf", "ab")] == 2 and summary[("paper", "cd")] == 1
 
 
-def test_residual_and_resume(spark, raw):
+def test_residual(spark, raw):
     files = list_files(spark, raw)
     assert sorted(r.name for r in collate.residual_files(files).collect()) == [
         "notes.txt", "x.software.json"]
-    prefixes = spark.createDataFrame([("ab",), ("cd",)], "prefix string")
-    done = spark.createDataFrame([("ab",)], "prefix string")
-    assert [r.prefix for r in collate.pending_prefixes(prefixes, done).collect()] == ["cd"]
 
 
 def test_sort_and_last_by_key(spark):
@@ -85,11 +82,10 @@ def test_sort_and_last_by_key(spark):
 
 def test_streaming_collation_processes_each_file_once(spark, raw, tmp_path):
     out, ckpt = str(tmp_path / "stream_out"), str(tmp_path / "stream_ckpt")
-    schema = "id string, title string, file string, mentions array<struct<context:string>>"
-    collate_stream(spark, raw, out, ckpt, schema=schema, available_now=True)
+    collate_stream(spark, raw, out, ckpt)
     first = spark.read.json(out).count()
     _put(raw, f"cd/99/00/00/{C[:2]}99/{C[:2]}99{C[4:]}.json", {"id": "new"})
-    collate_stream(spark, raw, out, ckpt, schema=schema, available_now=True)
+    collate_stream(spark, raw, out, ckpt)
     assert first == 8 and spark.read.json(out).count() == 9
 
 
@@ -102,8 +98,7 @@ def test_collated_layout_feeds_table_build(spark, raw, tmp_path):
               "mentions array<struct<`software-name`:struct<normalizedForm:string>>>")
     records = read_raw_tree(spark, raw, schema=schema)
     out = str(tmp_path / "collated")
-    write_collection(collate.collate_records(records, "_file_name").drop("_file_path"), out,
-                     num_partitions=3)
+    write_collection(collate.collate_records(records, "_file_name").drop("_file_path"), out)
     papers = read_collated(spark, out, PAPER_JSON, "paper")
     mentions = read_collated(spark, out, MENTION_JSON, "pdf")
     p = tables.papers_table(papers, mentions, num_partitions=2)
@@ -111,3 +106,48 @@ def test_collated_layout_feeds_table_build(spark, raw, tmp_path):
         (A, 1), (B, 2), (C, 3)]
     plan = papers._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(parse_type" in plan and "(parse_type" in plan
+
+
+def test_stream_after_backfill_holds_every_record_once(spark, raw, tmp_path):
+    import time
+
+    from citeweave.plans import jobs
+
+    batch, stream = str(tmp_path / "batch"), str(tmp_path / "stream")
+    jobs.collate_tree(spark, raw, batch)
+    time.sleep(1.1)
+    start = spark.sql("select string(current_timestamp())").first()[0]
+    time.sleep(1.1)
+    _put(raw, f"cd/99/00/00/{C[:2]}99/{C[:2]}99{C[4:]}.json", {"id": "new"})
+    collate_stream(spark, raw, stream, str(tmp_path / "ckpt"), newer_than=start)
+    files = [r.file for path in (batch, stream) for r in spark.read.json(path).collect()]
+    assert len(files) == len(set(files)) == 9
+
+
+def test_collation_copies_objects_and_takes_every_folder(spark, tmp_path):
+    from citeweave.plans import jobs
+
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    odd = {"a": None, "n": 1, "o": {"x": [1, None, "y"]}, "file": "old"}
+    for k in range(5):
+        u = f"ab{k:06x}-0000-4000-8000-{k:012d}"
+        _put(raw, f"ab/{u}.json", {**odd, "n": str(k)})
+    strays = ["ab0000ff-0000-4000-8000-00000000000a", "cd0000ff-0000-4000-8000-00000000000b"]
+    for folder, u in zip(("gg", "misc"), strays):
+        _put(raw, f"{folder}/{u}.json", odd)
+    assert jobs.collate_tree(spark, raw, out, prefixes_per_job=1) == ["ab", "gg", "misc"]
+    rows = spark.read.text(out).collect()
+    assert sorted((r.parse_type, r.prefix) for r in rows) == [("paper", "ab")] * 5 + [
+        ("paper", "gg"), ("paper", "misc")]
+    got = {json.loads(r.value)["file"]: json.loads(r.value) for r in rows}
+    assert got[f"{strays[0]}.json"] == {**odd, "file": f"{strays[0]}.json"}
+    assert {got[f][k] for f in got for k in ("n",)} == {1, "0", "1", "2", "3", "4"}
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_collation_stops_at_broken_files(spark, tmp_path):
+    from citeweave.plans import jobs
+
+    _put(str(tmp_path / "raw"), f"ab/{A}.json", '{"id": ')
+    with pytest.raises(SPARK_ERRORS):
+        jobs.collate_tree(spark, str(tmp_path / "raw"), str(tmp_path / "out"))

@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from citeweave.plans import jobs
@@ -145,3 +146,95 @@ def test_extract_tables_bucketed(spark, tmp_path):
     mentions = spark.table("cw_built_mentions")
     assert papers.count() == 120 and mentions.count() == 180
     assert spark.read.parquet(f"{tabs}/purpose_assessments.pdf.parquet").count() == 1080
+
+
+def test_raw_tree_to_analyses(spark, tmp_path):
+    """The whole chain: raw tree, collection, tables of two source types, subsample, analyses."""
+    raw, coll, tabs = (str(tmp_path / n) for n in ("raw", "coll", "tables"))
+    for k, u in enumerate(UUIDS[:30]):
+        d = os.path.join(raw, u[:2])
+        os.makedirs(d, exist_ok=True)
+        files = {".json": {"id": u, "title": "t", "year": 2021}}
+        if k % 3 == 0:
+            files[".software.json"] = {"mentions": [_mention("SPSS", 0.9)]}
+        if k % 5 == 0:
+            files[".jats.software.json"] = {"mentions": [_mention("R", 0.9)]}
+        for suffix, obj in files.items():
+            with open(os.path.join(d, u + suffix), "w") as fh:
+                json.dump(obj, fh)
+    jobs.collate_tree(spark, raw, coll)
+    jobs.extract_tables(spark, coll, tabs, ["pdf", "jats"])
+    papers = spark.read.parquet(f"{tabs}/papers.parquet")
+    assert papers.count() == 30 and papers.where("has_mentions").count() == 14
+    assert spark.read.parquet(f"{tabs}/mentions.pdf.parquet").count() == 10
+    assert spark.read.parquet(f"{tabs}/mentions.jats.parquet").count() == 6
+    assert spark.read.parquet(f"{tabs}/purpose_assessments.jats.parquet").count() == 36
+    sizes = {r.sample: r.n for r in jobs.subsample(spark, tabs, str(tmp_path / "s"), 1, (0.5, 0.5))
+             .collect()}
+    assert sum(sizes.values()) == 14
+    top = jobs.readme_analyses(spark, tabs)["popular_used_since_2020"].collect()
+    assert [tuple(r) for r in top] == [("SPSS", 10)]
+
+
+def test_no_matching_input_is_an_error(spark, tmp_path):
+    write_jsonl(f"{tmp_path}/coll/notes.jsonl", [{"a": 1}])
+    with pytest.raises(FileNotFoundError):
+        jobs.extract_tables(spark, f"{tmp_path}/coll", f"{tmp_path}/out")
+
+
+def test_rejected_rows_are_written(spark, tmp_path):
+    coll, out = str(tmp_path / "coll"), str(tmp_path / "out")
+    write_jsonl(f"{coll}/0a.jsonl", [{"id": UUIDS[0]}, {"id": "short"}])
+    write_jsonl(f"{coll}/0a.software.jsonl", [
+        {"file": u + ".software.json", "mentions": [_mention("R", 0.5)]} for u in UUIDS[:2]])
+    jobs.extract_tables(spark, coll, out, strict=False)
+    assert spark.read.parquet(f"{out}/papers.parquet").count() == 1
+    assert [r.reason for r in spark.read.parquet(f"{out}/rejected.papers").collect()] == [
+        "id length"]
+    assert spark.read.parquet(f"{out}/rejected.mentions.pdf").count() == 1
+
+
+def test_subsample_again_and_ineligible_papers(spark, tmp_path):
+    folder, out = str(tmp_path / "tables"), str(tmp_path / "samples")
+    papers = spark.range(1000).selectExpr("id AS paper_id", "id % 2 = 0 AS has_mentions")
+    papers.write.parquet(f"{folder}/papers.parquet")
+    for name in ("mentions", "purpose_assessments"):
+        papers.select("paper_id").write.parquet(f"{folder}/{name}.pdf.parquet")
+    jobs.subsample(spark, folder, out, 1, (0.1, 0.2))
+    sizes = {r.sample: r.n for r in jobs.subsample(spark, folder, out, 1, (0.1,)).collect()}
+    assert set(sizes) == {0}
+    kept = spark.read.parquet(f"{out}/mentions.pdf")
+    assert kept.count() == sizes[0] and kept.where("paper_id % 2 = 1").count() == 0
+
+
+def test_last_record_is_by_path_then_place(spark, tmp_path):
+    src = str(tmp_path / "in")
+    write_jsonl(f"{src}/01.jsonl", [{"file": UUIDS[0], "n": 1}])
+    write_jsonl(f"{src}/02.jsonl", [{"file": UUIDS[0], "n": 2, "pad": "x" * 5000},
+                                    {"file": UUIDS[0], "n": 3}])
+    jobs.sort_jsonl(spark, src, str(tmp_path / "out"), last_only=True)
+    assert [json.loads(r.value)["n"] for r in spark.read.text(str(tmp_path / "out")).collect()] == [3]
+
+
+def test_json_stats_reads_folders_and_stops_at_junk(spark, tmp_path):
+    src = str(tmp_path / "in")
+    write_jsonl(f"{src}/a.jsonl", [{"x": 1}])
+    write_jsonl(f"{src}/sub/b.jsonl", [{"y": 2}])
+    write_jsonl(f"{src}/sub/c.txt", ["junk"])
+    report = jobs.json_stats(spark, src, f"{tmp_path}/out", name_pattern=r"\.jsonl$")
+    assert [r[0] for r in report.collect()] == [".x", ".y"]
+    with pytest.raises(Exception):
+        jobs.json_stats(spark, src, f"{tmp_path}/out2").collect()
+
+
+def test_jobs_leave_the_scratch_folder_as_it_was(spark, tmp_path):
+    from citeweave.session import ensure_checkpoint_dir
+
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    write_jsonl(f"{tmp_path}/d.jsonl", [{"x": 1}])
+    mentions = spark.range(500).selectExpr("id % 100 AS paper_id",
+                                           "string(id % 7) AS software_normalized")
+    before = set(os.listdir(folder))
+    jobs.mentions_count(mentions, min_support=2)
+    jobs.json_stats(spark, f"{tmp_path}/d.jsonl", f"{tmp_path}/stats")
+    assert set(os.listdir(folder)) == before
