@@ -68,3 +68,16 @@ def test_licence_distribution_zero_filled(spark):
                      for i, lic in enumerate(["CC BY", "cc-by", "cc0", "pd"])])
     dist = {r.license: r.n for r in I.licence_distribution(I.typed_identifiers(df)).collect()}
     assert len(dist) == 17 and dist[1] == 2 and dist[7] == 1 and dist[10] == 1 and dist[0] == 0
+
+
+def test_pmcid_range(spark):
+    from pyspark.sql import functions as F
+
+    from citeweave.functions import identifiers as ids
+
+    rows = spark.createDataFrame([("PMC4294967295",), ("PMC9999999999",), ("PMC1.9999999999",),
+                                  ("PMC1.2",), ("",)], "t string")
+    got = rows.select(ids.valid_pmcid("t").alias("ok"), F.col("t"),
+                      ids.parse_pmcid("t")["id"].alias("id")).collect()
+    assert [r.ok for r in got] == [True, False, False, True, True]
+    assert [r.id for r in got] == [4294967295, None, None, 1, None]

@@ -69,3 +69,30 @@ def test_null_values_preserved_in_samples(spark):
                                    "paper_id long, title string, has_mentions boolean")
     got = sampling.assign_samples(papers, "paper_id", 1, (0.5,)).collect()
     assert got and all(r.title is None for r in got)
+
+
+def test_dense_ids_with_payload_and_without_exchange_reuse(spark):
+    rows = spark.range(20000).select(F.md5(F.col("id").cast("string")).alias("u"),
+                                     F.repeat(F.col("id").cast("string"), 5).alias("payload"))
+    want = {r.u: r.rn for r in rows.select("u", F.row_number().over(Window.orderBy("u"))
+                                           .alias("rn")).collect()}
+    before = spark.conf.get("spark.sql.exchange.reuse")
+    try:
+        for reuse in ("true", "false"):
+            spark.conf.set("spark.sql.exchange.reuse", reuse)
+            for n in (1, 3, 7):
+                got = dense_ids(rows, ["u"], num_partitions=n).collect()
+                assert len(got) == 20000 and all(
+                    want[r.u] == r.paper_id and r.payload for r in got)
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", before)
+
+
+def test_lookup_keeps_the_last_of_repeated_keys(spark):
+    from citeweave.operators import tables
+
+    mapping = spark.createDataFrame([("u", 1), ("u", 2), ("v", 3)], "k string, id long")
+    probe = spark.createDataFrame([("u",), ("v",)], "k string")
+    got = tables.strict_lookup(probe, mapping, "k", "id").collect()
+    assert sorted(tuple(r) for r in got) == [("u", 2), ("v", 3)]
+    assert [tuple(r) for r in tables.repeated_keys(mapping, "k").collect()] == [("u", 2)]
