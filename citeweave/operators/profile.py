@@ -16,6 +16,9 @@ from citeweave.functions.numeric import is_float32, is_integral, narrowest_type
 from citeweave.schemas import MAX_ENUM_VALUES
 from citeweave.session import materialize
 
+# The plan has one generator per level; deeper documents raise, they are never cut.
+MAX_DEPTH = 64
+
 
 def parse_documents(df: DataFrame, json_col: str, strict: bool = True) -> DataFrame:
     """One VARIANT per row; malformed JSON raises in strict mode and is dropped otherwise."""
@@ -51,7 +54,10 @@ def max_depth(docs: DataFrame, variant_col: str = "v", text_col: str | None = No
     """
     text = F.col(text_col) if text_col else F.to_json(F.col(variant_col))
     row = docs.agg(F.max(container_depth(text)).alias("d")).first()
-    return int(row["d"] or 0) if row else 0
+    depth = int(row["d"] or 0) if row else 0
+    if depth > MAX_DEPTH:
+        raise ValueError(f"JSON nested {depth} deep; profiles go to {MAX_DEPTH} levels")
+    return depth
 
 
 def json_leaves(docs: DataFrame, variant_col: str = "v", depth: int | None = None) -> DataFrame:
@@ -111,8 +117,12 @@ def path_statistics(typed: DataFrame) -> DataFrame:
     :func:`path_histograms` then counts exactly.
     """
     value = enum_value_text(F.col("cls"), F.col("s"), F.col("x"))
+    # Flags per class instead of a collected set: the aggregate stays a hash aggregate.
+    known = ("boolean", "number", "string")
+    seen = [F.when(F.bool_or(F.col("cls") == c), F.lit(c)) for c in known]
+    other = F.max(F.when(~F.col("cls").isin(*known, "null"), F.col("cls")))
     return typed.groupBy("path").agg(
-        F.array_sort(F.collect_set(F.when(F.col("cls") != "null", F.col("cls")))).alias("classes"),
+        F.array_sort(F.array_compact(F.array(*seen, other))).alias("classes"),
         F.count(F.lit(1)).alias("n_leaves"),
         F.count_if(F.col("b")).alias("n_true"),
         F.count_if(~F.col("b")).alias("n_false"),
@@ -164,7 +174,9 @@ def profile_parts(typed: DataFrame, max_values: int = MAX_ENUM_VALUES,
                   max_only_signed_rule: bool = False) -> tuple[DataFrame, DataFrame]:
     """(profile, histograms) sharing one aggregation of the leaves."""
     stats = materialize_statistics(path_statistics(typed))
-    hist = path_histograms(typed, enum_candidates(stats, max_values), max_values)
+    # At most ``max_values`` rows per path: written once, read by the profile and by the enums.
+    hist = materialize(path_histograms(typed, enum_candidates(stats, max_values), max_values),
+                       "json-path-histograms")
     enum_sizes = hist.select("path", "n_values").distinct()
     kind = (F.when(F.size("classes") == 0, F.lit("empty"))
             .when(F.size("classes") > 1, F.lit("conflict"))
