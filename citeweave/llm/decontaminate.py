@@ -21,9 +21,9 @@ from citeweave.session import write_scratch
 
 SPAN_WORDS = 13
 GRAM_WORDS = 4
-# The benchmark side is broadcast up to this many windows (about 100 bytes each); beyond it the
-# documents' fingerprints are shuffled instead.
-BROADCAST_WINDOWS = 200_000
+# The benchmark side (texts of its distinct windows and their item ids) is broadcast up to this
+# size; beyond it the documents' fingerprints are shuffled instead.
+BROADCAST_BYTES = 32 << 20
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -79,7 +79,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text", item_id_col: str = "item_id",
                   item_text_col: str = "text", span_words: int = SPAN_WORDS,
                   gram_words: int = GRAM_WORDS, min_share: int = 20,
-                  broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+                  broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """How much of each document is covered by windows that occur in a benchmark item.
 
     One row per document row: ``id``, ``text_hash`` (of the text; with the id it names the row),
@@ -114,7 +114,8 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
         .select("length", "print", _content().alias("content"), "item_id")
         .groupBy("length", "print", "content")
         .agg(F.array_sort(F.collect_set("item_id")).alias("item_ids")), "benchmark-windows"))
-    small = bench_windows.count() <= broadcast_windows
+    size = bench_windows.agg(F.sum(F.octet_length("content") + F.size("item_ids") * 16 + 64)).first()
+    small = (size[0] or 0) <= broadcast_bytes
     prints = bench_windows.select("length", "print").distinct()
 
     if small:

@@ -187,19 +187,25 @@ def components(links: DataFrame) -> DataFrame:
     while before[0]:
         e = spark.read.parquet(path)
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = (both.where("v > u").join(least, "u")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        large_path = write_scratch(large, "component-large")
+        # Minima are written before they are joined: a join that shares the aggregate's shuffle
+        # could not split the links of a node that very many nodes point to.
+        least_path = write_scratch(both.groupBy("u").agg(F.min("v").alias("m")).select(
+            "u", F.least("u", "m").alias("m")), "component-least")
+        least = spark.read.parquet(least_path)
+        large_path = write_scratch(
+            both.where("v > u").join(least, "u")
+            .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "component-large")
         large = spark.read.parquet(large_path)
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        nearest_path = write_scratch(large.groupBy("u").agg(F.min("v").alias("m")),
+                                     "component-nearest")
+        least = spark.read.parquet(nearest_path)
         small = (large.join(least, "u").where("v != m").select(F.col("v").alias("u"),
                                                                F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v")))
                  .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                  .where("u != v").distinct())
         after_path = write_scratch(small, "component-links")
-        release_scratch(spark, path, large_path)
+        release_scratch(spark, path, large_path, least_path, nearest_path)
         path, after = after_path, state(after_path)
         if after == before:
             break
@@ -228,7 +234,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(near_links(classes.select("fp"), max_bits, block))
     rooted = (classes.join(roots, classes["fp"] == roots["node"], "left")
               .select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    smallest = spark.read.parquet(write_scratch(
+        rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "simhash-smallest"))
     named = spark.read.parquet(write_scratch(
         rooted.join(smallest, "root").select(F.col("fp").alias("class_fp"), "component_id"),
         "simhash-components"))

@@ -157,7 +157,8 @@ class ShardWriter:
     """Writes one shard; holds one unfinished frame and the document index."""
 
     def __init__(self, sink, frame_ids: int = FRAME_IDS, level: int = 3):
-        self.sink, self.frame_ids, self.entries, self.documents = sink, frame_ids, [], []
+        self.sink, self.frame_ids, self.entries = sink, frame_ids, []
+        self.index, self.n_documents = ([], [], []), 0  # doc ids, whether known, numbers of ids
         self.parts, self.held, self.n_ids = [], 0, 0
         self.zstd = zstandard.ZstdCompressor(level=level, write_checksum=True,
                                              write_content_size=True)
@@ -169,9 +170,12 @@ class ShardWriter:
 
     def add(self, doc_ids: list, ids: np.ndarray, lengths: np.ndarray) -> None:
         """Documents in order: their ids one after another and the number of ids of each."""
-        for doc_id, length in zip(doc_ids, lengths.tolist()):
-            self.documents.append((doc_id, self.n_ids, length))
-            self.n_ids += length
+        for column, values in zip(self.index, (
+                np.array([d or 0 for d in doc_ids], "<i8"),
+                np.array([d is not None for d in doc_ids], "u1"), lengths.astype("<u8"))):
+            column.append(values)
+        self.n_documents += len(doc_ids)
+        self.n_ids += int(lengths.sum())
         self.parts.append(ids.astype("<u4", copy=False))
         self.held += len(ids)
         if self.held >= self.frame_ids:
@@ -184,12 +188,11 @@ class ShardWriter:
     def close(self) -> None:
         if self.held:
             self._frame(np.concatenate(self.parts).tobytes())
-        known = [d[0] is not None for d in self.documents]
-        self._frame(struct.pack("<Q", len(known))
-                    + np.array([d[0] or 0 for d in self.documents], "<i8").tobytes()
-                    + np.array(known, "u1").tobytes()
-                    + np.array([d[1] for d in self.documents], "<u8").tobytes()
-                    + np.array([d[2] for d in self.documents], "<u8").tobytes())
+        doc_ids, known, lengths = (np.concatenate([np.zeros(0, kind), *column]).astype(kind)
+                                   for kind, column in zip(("<i8", "u1", "<u8"), self.index))
+        starts = np.cumsum(lengths, dtype="<u8") - lengths
+        self._frame(struct.pack("<Q", len(doc_ids)) + doc_ids.tobytes() + known.tobytes()
+                    + starts.tobytes() + lengths.tobytes())
         table = b"".join(struct.pack("<III", *e) for e in self.entries)
         table += struct.pack("<IBI", len(self.entries), 0x80, SEEK_MAGIC)
         self.sink.write(struct.pack("<II", SKIPPABLE_MAGIC, len(table)) + table)
@@ -296,7 +299,7 @@ def write_token_shards(docs: DataFrame, tokenizer_file: str, out_dir: str, end_i
             sink.close()
             fs.move(draft, name)
             yield pa.RecordBatch.from_pylist(
-                [{"shard": shard, "path": name, "n_documents": len(writer.documents),
+                [{"shard": shard, "path": name, "n_documents": writer.n_documents,
                   "n_ids": writer.n_ids}],
                 pa.schema([("shard", pa.int32()), ("path", pa.string()),
                            ("n_documents", pa.int64()), ("n_ids", pa.int64())]))

@@ -24,11 +24,11 @@ DOCS = [(1, f"before {PASSAGE} after"), (2, "nothing shared here"), (3, None), (
         (7, "x short notice y"), (8, "x " * 300 + PASSAGE), (8, "x " * 300 + PASSAGE)]
 
 
-@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_WINDOWS, 0])
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_BYTES, -1])
 def test_contamination_cases(spark, documents, limit):
     bench = items(spark, [(10, PASSAGE), (2, PASSAGE), (7, "short notice"), (8, None), (9, "...")])
     docs = documents(DOCS).withColumn("item_id", decontaminate.F.lit("clash"))
-    rows = decontaminate.contamination(docs, bench, broadcast_windows=limit).collect()
+    rows = decontaminate.contamination(docs, bench, broadcast_bytes=limit).collect()
     by_id = {r["id"]: r for r in rows}
     assert len(rows) == len(DOCS)
     assert (by_id[1]["n_hit"], by_id[1]["item_ids"]) == (20, ["10", "2"])
