@@ -41,7 +41,7 @@ from citeweave.session import scratch_path, write_scratch
 SKIPPABLE_MAGIC, SEEK_MAGIC = 0x184D2A5E, 0x8F92EAB1
 FRAME_IDS = 1 << 18
 # Text handled at once inside a task, and pieces remembered per Python worker.
-SLICE_BYTES, CACHE_PIECES = 4 << 20, 400_000
+SLICE_BYTES, CACHE_PIECES = 8 << 20, 600_000
 PUNCTUATION = ".,!?&%$*#|;:"
 # White space as the pre-tokenizer has it; cuts go in front of it, behind anything else.
 BLANKS = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000")
@@ -51,64 +51,65 @@ NEEDS_CUT = f"\\x00|[{BLANKS}][ \n]"
 
 # ---------------------------------------------------------------- tokenizing
 
+def _ragged(flat: np.ndarray, lengths: np.ndarray, index: np.ndarray):
+    """The lists ``index`` of a list column (``flat``, ``lengths``), one after another, and their
+    lengths."""
+    first, per = np.cumsum(lengths) - lengths, lengths[index]
+    ends = np.cumsum(per)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.repeat(first[index] - (ends - per), per) + np.arange(total)], per
+
+
 class PieceEncoder:
     """Encodes texts with a byte-level BPE tokenizer, each distinct piece once.
 
     The pre-tokenizer of the byte-level tokenizers never joins a non-space character with white
     space that follows it, so a text may be cut in front of every white-space run and the pieces
-    encoded alone. A letter run ends in front of punctuation in the same way. Pieces repeat, so
-    most of them are looked up. The cache is cleared when full; results do not depend on it.
+    encoded alone. A letter run ends in front of punctuation in the same way, so a piece is its
+    core and its tail of punctuation. Cores repeat, and most of them are looked up. Two
+    generations of learned cores are kept; the older is dropped when the younger is full, and what
+    is used again moves to the younger. Results do not depend on what is remembered.
     """
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.cache: dict[str, bytes] = {}
-        self.newline = self._ids("\n")
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.newline = np.frombuffer(self._ids("\n"), "<u4")
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids,
                         "<u4").tobytes()
 
     def _learn(self, pieces: list[str]) -> None:
-        """Encode new pieces; those without a line break in one call, joined by line breaks (a
-        line break between two pieces is one token and starts no other)."""
-        pieces = [p for p in pieces if p not in self.cache]
-        mark = np.frombuffer(self.newline, "<u4")
-        joined = [p for p in pieces if p and "\n" not in p and not p[-1].isspace()
-                  and (p[0] == " " and not p[1].isspace() or not p[0].isspace())
-                  ] if len(mark) == 1 else []
-        if joined:
+        """Encode new pieces. Those of letters (and one blank in front) go in one call, joined by
+        line breaks: a line break between two such pieces is one token and starts no other."""
+        known = self.young
+        plain = [p for p in pieces if p.isalpha() or p[:1] == " " and p[1:].isalpha()
+                 ] if len(self.newline) == 1 else []
+        if plain:
             ids = np.array(self.tokenizer.encode_batch_fast(
-                ["\n".join(joined)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(ids == mark[0])
-            if len(cuts) == len(joined) - 1:
+                ["\n".join(plain)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(ids == self.newline[0])
+            if len(cuts) == len(plain) - 1:
                 raw, ends = ids.tobytes(), [*(cuts * 4).tolist(), len(ids) * 4]
-                begin = 0
-                for piece, end in zip(joined, ends):
-                    self.cache[piece] = raw[begin:end]
-                    begin = end + 4
+                begins = [0, *(cuts * 4 + 4).tolist()]
+                known.update(zip(plain, [raw[a:b] for a, b in zip(begins, ends)]))
         for piece in pieces:
-            if piece not in self.cache:
-                self.cache[piece] = self._ids(piece)
+            if piece not in known:
+                known[piece] = self._ids(piece)
 
     def _lookup(self, pieces: list[str]) -> list[bytes]:
-        if len(self.cache) > CACHE_PIECES:
-            self.cache.clear()
-        cores, tails = {}, {}
-        for piece in pieces:
-            if piece not in self.cache:
-                core = piece.rstrip(PUNCTUATION)
-                if core and core != piece and core[-1].isalpha():
-                    tails[piece] = (core, piece[len(core):])
-                    cores[core] = cores[piece[len(core):]] = None
-                else:
-                    cores[piece] = None
-        self._learn(list(cores))
-        for piece, (core, tail) in tails.items():
-            self.cache[piece] = self.cache[core] + self.cache[tail]
-        return [self.cache[p] for p in pieces]
+        if len(self.young) > CACHE_PIECES // 2:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        missing = [p for p in pieces if p not in young]
+        if missing:
+            young.update([(p, old[p]) for p in missing if p in old])
+            self._learn([p for p in missing if p not in old])
+        return [young[p] for p in pieces]
 
     def _pieces(self, texts: pa.Array) -> pa.ListArray:
         if pc.any(pc.match_substring_regex(texts, NEEDS_CUT)).as_py():
@@ -116,20 +117,44 @@ class PieceEncoder:
         marked = pc.replace_substring(pc.replace_substring(texts, " ", "\x00 "), "\n", "\x00\n")
         return pc.split_pattern(marked, "\x00")
 
+    def _columns(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        values = self._lookup(pieces)
+        return (np.frombuffer(b"".join(values), "<u4"),
+                np.fromiter(map(len, values), np.int64, len(values)) // 4)
+
+    def _encode_distinct(self, pieces: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct pieces one after another, and how many each has."""
+        core = pc.utf8_rtrim(pieces, PUNCTUATION)
+        size = pc.binary_length(pieces).to_numpy()
+        tail = size - pc.binary_length(core).to_numpy()
+        # Only behind a letter does punctuation start a token; and tails are packed in 7 bytes.
+        cut = pc.match_substring_regex(core, r"\pL$").to_numpy(zero_copy_only=False) & (tail <= 7)
+        core, tail = pc.if_else(pa.array(cut), core, pieces), np.where(cut, tail, 0)
+        ends = np.frombuffer(pieces.buffers()[1], "<i4")[pieces.offset + 1:][:len(pieces)]
+        data = np.frombuffer(pieces.buffers()[2] or b"", np.uint8)
+        packed = np.zeros(len(pieces), np.int64)
+        for k in range(1, int(tail.max(initial=0)) + 1):
+            here = tail >= k
+            packed[here] = packed[here] << 8 | data[ends[here] - tail[here] + k - 1]
+        tails, tail_index = np.unique(packed, return_inverse=True)
+        cores = core.dictionary_encode()
+        core_ids, core_sizes = self._columns(cores.dictionary.to_pylist())
+        tail_ids, tail_sizes = self._columns(
+            [int(t).to_bytes(8, "big").lstrip(b"\0").decode() for t in tails])
+        both = np.empty(2 * len(pieces), np.int64)
+        both[::2], both[1::2] = cores.indices.to_numpy(), tail_index + len(core_sizes)
+        ids, per = _ragged(np.concatenate([core_ids, tail_ids]),
+                           np.concatenate([core_sizes, tail_sizes]), both)
+        return ids, per[::2] + per[1::2]
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and the number of ids of each text."""
         lists = self._pieces(texts)
         offsets = lists.offsets.to_numpy().astype(np.int64)
         coded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
-        values = self._lookup(coded.dictionary.to_pylist())
-        lengths = np.fromiter(map(len, values), np.int64, len(values)) // 4
-        flat = np.frombuffer(b"".join(values), "<u4")
-        first, index = np.cumsum(lengths) - lengths, coded.indices.to_numpy()
-        per_piece = lengths[index]
-        ends = np.cumsum(per_piece)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = flat[np.repeat(first[index] - (ends - per_piece), per_piece) + np.arange(total)]
-        bounds = np.concatenate([[0], ends])[offsets - offsets[0]]
+        flat, lengths = self._encode_distinct(coded.dictionary)
+        ids, per_piece = _ragged(flat, lengths, coded.indices.to_numpy())
+        bounds = np.concatenate([[0], np.cumsum(per_piece)])[offsets - offsets[0]]
         return ids, np.diff(bounds)
 
 
