@@ -169,3 +169,12 @@ def test_linked_spans_leave_base_spans_alone(spark, documents):
     assert len(row) == 2 and [secrets.KINDS[s["kind"]] for s in row[0]["base"]] == ["assign"]
     assert [secrets.KINDS[s["kind"]] for s in row[0]["linked"]] == ["identifier"]
     assert hashlib.sha256(b"").hexdigest() and secrets.find_secrets(documents([])).count() == 0
+
+
+@pytest.mark.parametrize("name", ["op1_decontaminate", "op2_mixing", "op6_licenses",
+                                  "op10_secrets"])
+def test_native_operators_run_no_python(spark, corpus, name):
+    from citeweave.llm.queries import QUERIES
+
+    plan = QUERIES[name](spark, corpus)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|MapInArrow|CartesianProduct|NestedLoop", plan)
