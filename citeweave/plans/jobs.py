@@ -21,7 +21,7 @@ from citeweave.schemas import (DEFAULT_MIN_SUPPORT, DEFAULT_SAMPLE_FRACTIONS, GE
 from citeweave.sinks import writers
 from citeweave.sources import jsonl, raw_tree
 from citeweave.sources import tables as table_sources
-from citeweave.session import scratch_scope, write_scratch
+from citeweave.session import materialize, scratch_scope, write_scratch
 
 
 def _entries(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
@@ -71,9 +71,11 @@ def collate_tree(spark: SparkSession, raw_root: str, out: str, resume: bool = Tr
                 raw_tree.read_raw_text(spark, os.path.join(raw_root, p))
                 .withColumn("prefix", F.lit(p)) for p in folders[start:start + prefixes_per_job]])
             tagged = collate.collate_records(records, "_file_name", "prefix")
-            writers.write_collection(
-                tagged.withColumn("line", collate.copied_object("text", "file"))
-                .drop("text", "file"), out)
+            lines = tagged.withColumn("line", collate.copied_object("text", "file")).drop(
+                "text", "file")
+            # Written once, so that the range partitioner's two passes do not open raw files twice.
+            with scratch_scope(spark):
+                writers.write_collection(materialize(lines, "collated-lines"), out)
     return folders
 
 

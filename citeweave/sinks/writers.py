@@ -7,21 +7,20 @@ from pyspark.sql import functions as F
 
 
 def write_collection(collated: DataFrame, out: str, mode: str = "overwrite",
-                     ranges_per_bucket: int = 4) -> None:
-    """gzip JSONL under ``parse_type=<t>/prefix=<p>/``, rows in UUID order within each file.
-
-    UUIDs are uniform, so hex digits 3 to 6 say which of a bucket's ``ranges_per_bucket`` ranges a
-    row falls in: rows are dealt out by (parse type, bucket, range) in one pass, without the
-    sampling pass of a range partitioner, and a large bucket is several files. Only the buckets
-    that are written are replaced, by an option of this one write (the session is not changed), so
-    a resumed run leaves finished buckets untouched. ``collated`` has ``parse_type``, ``prefix``,
-    ``uuid`` and either ``line`` (the JSON line as it is) or the record's columns.
+                     num_partitions: int | None = None) -> None:
+    """gzip JSONL under ``parse_type=<t>/prefix=<p>/``, rows in UUID order.
+
+    Rows are range-partitioned on (parse_type, prefix, uuid) and sorted inside each task, so every
+    output file holds a contiguous UUID range of one bucket, and a bucket holding a large share of
+    the rows is split over several tasks (several files, in name order) instead of one. The range
+    partitioner reads its input twice; give it a written table where the input is costly. Only the
+    buckets that are written are replaced, by an option of this one write (the session is not
+    changed), so a resumed run leaves finished buckets untouched. ``collated`` has ``parse_type``,
+    ``prefix``, ``uuid`` and either ``line`` (the JSON line as it is) or the record's columns.
     """
-    place = F.conv(F.substring(F.regexp_replace("uuid", "-", ""), 3, 4), 16, 10).cast("long")
-    keyed = collated.withColumn("_range", F.coalesce(F.floor(
-        place * ranges_per_bucket / 65536), F.lit(0)))
-    keys = ["parse_type", "prefix", "_range"]
-    ordered = keyed.repartition(*keys).sortWithinPartitions(*keys, "uuid").drop("uuid", "_range")
+    n = num_partitions or int(collated.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["parse_type", "prefix", "uuid"]
+    ordered = collated.repartitionByRange(n, *keys).sortWithinPartitions(*keys).drop("uuid")
     if "line" in collated.columns:
         ordered = ordered.select("line", "parse_type", "prefix")
     writer = (ordered.write.mode(mode).partitionBy("parse_type", "prefix")
