@@ -1,10 +1,10 @@
 """SimHash near-duplicates: fingerprints, a grid range join of popcount vectors, components.
 
-Fingerprints are embedded as vectors of bits set per 2-bit segment. The Manhattan distance of two
-vectors is a lower bound of the fingerprints' Hamming distance, so links are found among pairs
-whose vectors are near. The 32 coordinates form two parts, A of 17 and B of 15. If all
-differences sum to at most 4, part A differs by at most 2 or part B by at most 1. Both conditions are range
-joins on the integer grid of the part: vectors within 2 of each other have a grid cell within 1 of
+Fingerprints are embedded as vectors of bits set per segment (segments of two bits and of one). The
+Manhattan distance of two vectors is a lower bound of the fingerprints' Hamming distance, so links
+are found among pairs whose vectors are near. The coordinates form two parts, A over 34 bits and B
+over 30. If all differences sum to at most 4, part A differs by at most 2 or part B by at most 1.
+Both conditions are range joins on the integer grid of the part: vectors within 2 of each other have a grid cell within 1 of
 both, and vectors within 1 of each other share a cell of odd coordinate sum that is the odd one
 itself. So every fingerprint is listed in a few dozen cells, pairs are only looked for inside
 cells, and the Hamming distance of each is verified.
@@ -32,8 +32,11 @@ SEED = 42
 BLOCK = 4096
 # Shingles whose bits are counted at once.
 COUNT_AT_ONCE = 1 << 16
+# The parts: bits, and how many two-bit segments lie at the low end (the others have one bit). More
+# two-bit segments mean fewer coordinates, but more unrelated fingerprints in each cell.
+_A_BITS, _A_WIDE = 34, 8
+_B_BITS, _B_WIDE = 30, 7
 _PAIRS = 0x5555555555555555
-_A_BITS = 34
 
 
 def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
@@ -76,32 +79,46 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 # ---------------------------------------------------------------- grid range join
 
-def _mask(bits: int) -> Column:
-    return F.lit((1 << bits) - 1).cast("long")
+def _long(value: int) -> Column:
+    return F.lit(value).cast("long")
 
 
-def _neighbours(cell: Column, segments: int) -> Column:
-    """The cells at Manhattan distance 1: each 2-bit coordinate (0, 1 or 2) one up or one down."""
+def _counts(part: Column, bits: int, wide: int) -> Column:
+    """Bits set per segment, side by side in as many bits as the part has: for two-bit segments
+    x - ((x >> 1) & 0101...01), and one-bit segments as they are."""
+    low = (1 << 2 * wide) - 1
+    pairs = part.bitwiseAND(_long(low))
+    return (pairs - F.shiftrightunsigned(pairs, 1).bitwiseAND(_long(_PAIRS & low))
+            + part.bitwiseAND(_long(((1 << bits) - 1) ^ low)))
+
+
+def _neighbours(cell: Column, bits: int, wide: int) -> Column:
+    """The cells at Manhattan distance 1: a two-bit segment's count (0 to 2) one up or one down, or
+    a one-bit segment's the other way."""
     def moved(segment: Column) -> Column:
-        # F.shiftleft takes a constant distance; powers of four do the same.
+        # F.shiftleft takes a constant distance; powers of four (and two) do the same.
         unit = F.pow(F.lit(4.0), segment).cast("long")
         value = F.pmod(F.floor(cell / unit).cast("long"), F.lit(4))
         return F.filter(F.array(F.when(value < 2, cell + unit), F.when(value > 0, cell - unit)),
                         lambda c: c.isNotNull())
 
-    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(segments - 1)), moved))
+    return F.concat(
+        F.flatten(F.transform(F.sequence(F.lit(0), F.lit(wide - 1)), moved)),
+        F.transform(F.sequence(F.lit(2 * wide), F.lit(bits - 1)),
+                    lambda b: cell.bitwiseXOR(F.pow(F.lit(2.0), b).cast("long"))))
 
 
 def grid_cells(fps: DataFrame) -> DataFrame:
     """``fp`` with every grid cell (``cell``, a long that names the part and the coordinates)."""
-    # Bits set per 2-bit segment, side by side: x - ((x >> 1) & 0101...01).
-    counts = lambda part: part - F.shiftrightunsigned(part, 1).bitwiseAND(F.lit(_PAIRS))
-    parts = fps.select("fp", counts(F.col("fp").bitwiseAND(_mask(_A_BITS))).alias("a"),
-                       counts(F.shiftrightunsigned("fp", _A_BITS)).alias("b"))
-    # The parity of the coordinate sum of part B: that of the low bits of its fields (2 is even).
-    odd = F.pmod(F.bit_count(F.col("b").bitwiseAND(F.lit(_PAIRS))), F.lit(2)) == 1
-    b_cells = F.when(odd, F.array("b")).otherwise(_neighbours(F.col("b"), 15))
-    a_cells = F.concat(F.array("a"), _neighbours(F.col("a"), 17))
+    parts = fps.select(
+        "fp", _counts(F.col("fp").bitwiseAND(_long((1 << _A_BITS) - 1)), _A_BITS, _A_WIDE)
+        .alias("a"), _counts(F.shiftrightunsigned("fp", _A_BITS), _B_BITS, _B_WIDE).alias("b"))
+    # The parity of the coordinate sum of part B: that of the low bits of its counts (2 is even).
+    low = (1 << 2 * _B_WIDE) - 1
+    ones = _PAIRS & low | ((1 << _B_BITS) - 1) ^ low
+    odd = F.pmod(F.bit_count(F.col("b").bitwiseAND(_long(ones))), F.lit(2)) == 1
+    b_cells = F.when(odd, F.array("b")).otherwise(_neighbours(F.col("b"), _B_BITS, _B_WIDE))
+    a_cells = F.concat(F.array("a"), _neighbours(F.col("a"), _A_BITS, _A_WIDE))
     name = lambda part: lambda c: c * 2 + part
     return parts.select("fp", F.explode(F.concat(
         F.transform(a_cells, name(0)), F.transform(b_cells, name(1)))).alias("cell"))
