@@ -224,11 +224,22 @@ def disguised(text: str) -> list[tuple[int, int, int]]:
 
 
 def personal_data(text: str | None) -> tuple[list, list]:
-    """Base spans, and added spans that overlap no base span of their kind."""
+    """Base spans, and added spans that no base span of their kind covers wholly: a disguise in one
+    part of an identifier often leaves a shorter base match in the rest."""
     base = detect(text or "")
-    added = [(a, kind, b) for a, kind, b in disguised(text or "")
-             if not any(k == kind and x < b and a < y for x, k, y in base)] if text else []
-    return base, sorted(set(added))
+    # Base spans of one kind do not overlap: only the last one that starts in front can cover.
+    ends: tuple[list, ...] = tuple([] for _ in KINDS)
+    starts: tuple[list, ...] = tuple([] for _ in KINDS)
+    for x, kind, y in base:
+        starts[kind].append(x)
+        ends[kind].append(y)
+
+    def covered(a: int, kind: int, b: int) -> bool:
+        k = bisect_right(starts[kind], a) - 1
+        return k >= 0 and b <= ends[kind][k]
+
+    added = {span for span in disguised(text) if not covered(*span)} if text else ()
+    return base, sorted(added)
 
 
 # ---------------------------------------------------------------- Spark

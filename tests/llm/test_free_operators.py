@@ -332,6 +332,23 @@ def test_disguises_map_back_to_their_source(text, kind, source):
     assert base == [] and [(k, text[a:b]) for a, k, b in added] == [(kind, source)]
 
 
+@pytest.mark.parametrize("text, partial, whole", [
+    ("jоe@example.com", "e@example.com", "jоe@example.com"),
+    ("user@mail.exаmple.com", "user@mail.ex", "user@mail.exаmple.com"),
+    ("joe@mail.example (dot) com", "joe@mail.example", "joe@mail.example (dot) com"),
+])
+def test_whole_spans_stand_beside_partial_base_spans(text, partial, whole):
+    base, added = pii.personal_data(f"to {text} now")
+    assert [f"to {text} now"[a:b] for a, _, b in base] == [partial]
+    assert [f"to {text} now"[a:b] for a, _, b in added] == [whole]
+    assert pii.masked(f"to {text} now", base + added) == "to <email> now"
+
+
+def test_added_spans_inside_base_spans_are_dropped():
+    text = "joe@example.com and ann (at) mail.example and 1.2.3.4"
+    assert [text[a:b] for a, _, b in pii.personal_data(text)[1]] == ["ann (at) mail.example"]
+
+
 @pytest.mark.parametrize("text", ["look at example.com now", "one two three", "he is at home dot",
                                   "uno dos tres cuatro", "plain", "", None])
 def test_clean_texts_stay_clean(text):
