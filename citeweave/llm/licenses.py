@@ -1,8 +1,9 @@
 """License scans by MinHash bands over overlapping text windows, in DataFrame functions only.
 
-Templates (license notices) and texts are cut into five-word shingles. Templates of similar size
-form a class with its own window: two neighbouring blocks of S shingles, S being the class's
-largest template, so every occurrence lies whole in some window. A window and a template meet when
+Templates (license sentences, notices and whole texts, see ``license_templates``) and texts are cut
+into five-word shingles. Templates of similar size form a class with its own window: two
+neighbouring blocks of S shingles, S being the largest template of which a member has at least six
+tenths, so every occurrence lies whole in some window. A window and a template meet when
 any of b MinHash values agree (bands of one row). b follows from the smallest Jaccard similarity
 that a window holding a match can have, so that such a pair is retrieved with probability at least
 1 - MISS. Every retrieved pair is verified by exact containment of the template's shingles.
@@ -15,13 +16,16 @@ are computed for the windows around them: the retrieved pairs are the same.
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeweave.llm.common import let
 from citeweave.llm.decontaminate import words
+from citeweave.llm.license_templates import TEMPLATES
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
@@ -29,22 +33,6 @@ MISS = 1e-4
 # The templates are a parameter, not data: their number is bounded.
 MAX_TEMPLATES = 2000
 
-# Opening words of common license notices.
-TEMPLATES = (
-    ("MIT", "Released under the MIT License."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("MIT notice", "Permission is hereby granted, free of charge, to any person obtaining a copy "
-                   "of this software"),
-    ("BSD notice", "Redistribution and use in source and binary forms, with or without "
-                   "modification, are permitted"),
-    ("MPL-2.0 notice", "This Source Code Form is subject to the terms of the Mozilla Public "
-                       "License"),
-    ("GPL notice", "This program is free software: you can redistribute it and/or modify it under "
-                   "the terms"),
-)
-
 
 def bands_needed(smallest: int, block: int, containment: float = CONTAINMENT,
                  miss: float = MISS) -> int:
@@ -71,8 +59,8 @@ def _salts(spark: SparkSession, n: int) -> list[int]:
 
 
 def _minima(hashes: Column, salts: Sequence[int]) -> Column:
-    return F.array(*[F.array_min(F.transform(hashes, lambda x: x.bitwiseXOR(F.lit(salt))))
-                     for salt in salts])
+    return F.transform(_literal(salts), lambda salt: F.array_min(
+        F.transform(hashes, lambda x: x.bitwiseXOR(salt))))
 
 
 def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES,
@@ -94,49 +82,57 @@ def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES,
     known = [(r["license"], sorted(set(r["hashes"]))) for r in listed.select(
         "k", "license", _shingle_hashes(words(F.col("text"))).alias("hashes")).orderBy("k")
         .collect() if r["hashes"]]
-    # Classes of templates of similar size, the largest first.
-    classes: list[list[tuple[str, list[int]]]] = []
-    for item in sorted(known, key=lambda t: -len(t[1])):
-        if classes and len(item[1]) >= 0.6 * len(classes[-1][0][1]):
-            classes[-1].append(item)
-        else:
-            classes.append([item])
-    bands = [bands_needed(len(c[-1][1]), len(c[0][1]), containment) for c in classes]
-    salts = _salts(spark, max(bands, default=0))
-
-    def retrieved(hashes: Column, members, n_bands: int) -> Column:
+    # Classes of templates of similar size, by their block.
+    sizes = {len(hashes) for _, hashes in known}
+    classes: dict[int, list[tuple[str, list[int]]]] = defaultdict(list)
+    for item in known:
+        classes[max(n for n in sizes if 6 * n <= 10 * len(item[1]))].append(item)
+    bands = {block: bands_needed(min(len(t) for _, t in members), block, containment)
+             for block, members in classes.items()}
+    salts = _salts(spark, max(bands.values(), default=0))
+    # The shingle at which each template takes its minimum, by class and band.
+    least = {block: sorted({int(t[np.argmin(t ^ np.int64(salt))])
+                            for t in (np.array(hashes, np.int64) for _, hashes in members)
+                            for salt in salts[:bands[block]]})
+             for block, members in classes.items()}
+
+    def retrieved(hashes: Column, screened: Column, block: int) -> Column:
         """Start positions of windows that share a band with a template of the class."""
-        block = len(members[0][1])
-        use = salts[:n_bands]
-        # The shingle at which each template takes its minimum, by band.
-        least = [min(t, key=lambda h, salt=salt: _signed(h ^ salt)) for _, t in members
-                 for salt in use]
-        hits = F.filter(F.sequence(F.lit(0), F.size(hashes) - 1),
-                        lambda i: F.get(hashes, i).isin(sorted(set(least))))
+        members, use = classes[block], salts[:bands[block]]
+        hits = F.filter(screened, lambda i: F.array_contains(_literal(least[block]),
+                                                                F.get(hashes, i)))
         if block == 1:
             return hits
-        blocks = F.transform(hits, lambda i: F.floor(i / block).cast("int"))
+        blocks = F.array_distinct(F.transform(hits, lambda i: F.floor(i / block).cast("int")))
         pairs = F.array_distinct(F.flatten(F.transform(blocks, lambda k: F.array(
             F.greatest(k - 1, F.lit(0)), k))))
-        values = sorted({min(_signed(h ^ salt) for h in t) for _, t in members for salt in use})
-        return F.transform(F.filter(pairs, lambda k: F.exists(
-            _minima(F.slice(hashes, k * block + 1, 2 * block), use), lambda v: v.isin(values))),
-            lambda k: k * block)
+        values = sorted({int((np.array(t, np.int64) ^ np.int64(salt)).min()) for _, t in members
+                         for salt in use})
+        return F.transform(F.filter(pairs, lambda k: let(
+            F.slice(hashes, k * block + 1, 2 * block), lambda window: F.arrays_overlap(
+                _minima(window, use), _literal(values)))), lambda k: k * block)
 
-    def verified(hashes: Column, members, n_bands: int) -> Column:
-        block = len(members[0][1])
+    def verified(hashes: Column, screened: Column, block: int) -> Column:
         width = 1 if block == 1 else 2 * block
-        return F.flatten(F.transform(retrieved(hashes, members, n_bands), lambda at: let(
+        return F.flatten(F.transform(retrieved(hashes, screened, block), lambda at: let(
             F.slice(hashes, at + 1, width), lambda window: F.array(*[
                 F.struct(F.lit(name).alias("license"), at.alias("at"),
-                         (F.size(F.array_intersect(F.array(*[F.lit(h) for h in t]), window))
+                         (F.size(F.array_intersect(_literal(t), window))
                           / F.lit(float(len(t)))).alias("containment"))
-                for name, t in members]))))
+                for name, t in classes[block]]))))
+
+    # One test for all classes finds the few positions at which any template takes a minimum.
+    every = sorted(set().union(*least.values()))
+
+    def all_classes(hashes: Column) -> Column:
+        return let(F.filter(F.sequence(F.lit(0), F.size(hashes) - 1),
+                            lambda i: F.get(hashes, i).isin(every)),
+                   lambda screened: F.concat(F.array().cast(kind), *[
+                       verified(hashes, screened, block).cast(kind) for block in classes]))
 
     kind = "array<struct<license:string,at:int,containment:double>>"
     found = let(_shingle_hashes(words(F.col(text_col))), lambda hashes: F.when(
-        F.size(hashes) > 0, F.concat(F.array().cast(kind), *[
-            verified(hashes, c, n).cast(kind) for c, n in zip(classes, bands)])))
+        F.size(hashes) > 0, all_classes(hashes)))
     return (docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"),
                         F.explode(F.filter(found, lambda m: m["containment"] >= containment))
                         .alias("match"))
@@ -145,6 +141,6 @@ def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES,
                  F.min("match.at").cast("long").alias("first_word")))
 
 
-def _signed(value: int) -> int:
-    value &= (1 << 64) - 1
-    return value - (1 << 64) if value >= 1 << 63 else value
+def _literal(hashes: Sequence[int]) -> Column:
+    """A constant array; the optimizer folds it, and it takes one call however long it is."""
+    return F.split(F.lit(",".join(map(str, hashes))), ",").cast("array<bigint>")

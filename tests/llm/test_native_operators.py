@@ -107,6 +107,35 @@ def test_license_windows(spark, documents):
     assert licenses.scan(documents([])).count() == 0
 
 
+def test_usual_license_sentences_are_found(documents):
+    gnu = "it under the terms of the GNU General Public License as published by the Free Software"
+    cases = [
+        ("This tool is licensed under the MIT License", "MIT"),
+        ("see the Apache License 2.0", "Apache-2.0"),
+        ("images are under CC BY-SA 4.0", "CC-BY-SA-4.0"),
+        ("available under CC BY 4.0", "CC-BY-4.0"),
+        ("under the GNU Lesser General Public License v3", "LGPL-3.0"),
+        ("the GNU Affero General Public License, version 3", "AGPL-3.0"),
+        ("released under the ISC license", "ISC"),
+        (f"{gnu} Foundation; either version 2 of the License, or any later version", "GPL-2.0"),
+        (f"{gnu} Foundation, either version 3 of the License, or any later version", "GPL-3.0"),
+    ]
+    rows = licenses.scan(documents([(k, text) for k, (text, _) in enumerate(cases)])).collect()
+    found = {(r["id"], r["license"].split()[0]) for r in rows}
+    assert found == {(k, license) for k, (_, license) in enumerate(cases)}
+
+
+def test_whole_license_texts_are_found_past_their_opening(spark, documents):
+    filler = "lorem ipsum dolor sit amet " * 40
+    texts = {name: text for name, text in licenses.TEMPLATES if name.endswith(" text")}
+    # The last nine tenths of each text, so that no opening words help.
+    docs = documents([(k, filler + " ".join(t.split()[len(t.split()) // 10:]) + " " + filler)
+                      for k, t in enumerate(texts.values())])
+    found = {(r["id"], r["license"]) for r in licenses.scan(docs).collect()}
+    assert {(k, name) for k, name in enumerate(texts)} <= found
+    assert len(licenses.TEMPLATES) == len({name for name, _ in licenses.TEMPLATES})
+
+
 def test_every_alignment_of_a_template_is_retrieved(spark, documents):
     text = licenses.TEMPLATES[3][1]
     docs = documents([(k, "w " * k + text + " v" * (40 - k)) for k in range(41)])
