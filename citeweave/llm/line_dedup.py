@@ -1,16 +1,21 @@
 """Line deduplication by pairwise alignment.
 
 Documents overlap when they share a rare line. A line of ``min_words`` words or more counts as
-rare by itself; a shorter one is joined with the lines behind it until the run has that many, so
-every common block that may be deleted holds such a run whole, however frequent its lines are. Of
-all holders of a run each later document is paired with the earliest one only: the number of pairs
-grows with the lines, not with the square of a group, and no frequency cap is needed.
+rare by itself; a shorter one is joined with the lines behind it, and with those in front of it,
+until the run has that many, so every common block that may be deleted is covered by such runs,
+however frequent its lines are. A run is counted by its content and occurrence (the k-th copy in a
+document is another run than the first). Of all holders of a run each later document is paired with
+the earliest one only: the number of pairs grows with the lines, not with the square of a group,
+and no frequency cap is needed.
 
 A pair is aligned by patience diff: lines are matched by content and occurrence (the k-th
 occurrence in one document with the k-th in the other, so that matches are unique), the longest
 increasing subsequence of the matches is the alignment, and its blocks - runs of neighbouring
-lines in both documents - of at least ``min_words`` words are deleted from the later document. The
-earliest document that holds a block always keeps it.
+lines in both documents - of at least ``min_words`` words are deleted from the later document. What
+the alignment of a pair leaves is aligned by the shared runs themselves, each a chain of its own:
+every run that an earlier document holds is deleted, whatever order the blocks stand in and however
+often single lines of them are repeated. A document keeps the k-th copy of a run that no earlier
+document holds k times; the earliest document that holds a block always keeps it.
 """
 
 from __future__ import annotations
@@ -28,11 +33,11 @@ from citeweave.session import write_scratch
 MIN_WORDS = 20
 
 
-def line_keys(text: str | None, min_words: int = MIN_WORDS) -> tuple[list, list, list, list]:
+def line_keys(text: str | None, min_words: int = MIN_WORDS) -> tuple[list, ...]:
     """For the lines of a text that are not blank: line numbers (from 0), keys (hash of the line
-    with white space collapsed, and of its occurrence), words, and rare runs (hash of the run that
-    starts at the line; 0 where the text ends before it has enough words)."""
-    from xxhash import xxh64, xxh64_intdigest
+    with white space collapsed, and of its occurrence) and words; then the runs (hash of the lines,
+    and of the run's occurrence) with their first and last index into the lines."""
+    from xxhash import xxh64_intdigest
 
     numbers, lines, words = [], [], []
     for k, line in enumerate((text or "").split("\n")):
@@ -41,26 +46,42 @@ def line_keys(text: str | None, min_words: int = MIN_WORDS) -> tuple[list, list,
             numbers.append(k)
             lines.append(b" ".join(tokens))
             words.append(len(tokens))
-    seen: dict[bytes, int] = {}
+    seen: dict[bytes | int, int] = {}
     keys, runs = [], []
     for line in lines:
         seen[line] = nth = seen.get(line, 0) + 1
         keys.append(xxh64_intdigest(line, nth))
-    # Runs by a moving end: the words from the line's start to the end reach min_words.
+    spans = shortest_spans(words, min_words)
+    for first, last in spans:
+        run = xxh64_intdigest(b"\n".join(lines[first:last + 1]))
+        seen[run] = nth = seen.get(run, 0) + 1
+        runs.append(run if nth == 1 else xxh64_intdigest(run.to_bytes(8, "little"), nth))
+    return numbers, keys, words, runs, [a for a, _ in spans], [b for _, b in spans]
+
+
+def shortest_spans(words: list[int], min_words: int) -> list[tuple[int, int]]:
+    """Spans of lines (first, last) with ``min_words`` words that are shortest from their first
+    line on or up to their last one. Every block of so many words is covered by those inside it,
+    and whether a span is listed depends on its own lines only."""
+    spans = set()
     end, total = 0, 0
-    for start in range(len(lines)):
-        while total < min_words and end < len(lines):
+    for start in range(len(words)):
+        while total < min_words and end < len(words):
             total += words[end]
             end += 1
         if total < min_words:
-            runs.append(0)
-        else:
-            digest = xxh64(seed=0)
-            for line in lines[start:end]:
-                digest.update(line + b"\n")
-            runs.append(digest.intdigest())
+            break
+        spans.add((start, end - 1))
         total -= words[start]
-    return numbers, keys, words, runs
+    start, total = 0, 0
+    for end in range(len(words)):
+        total += words[end]
+        while total - words[start] >= min_words:
+            total -= words[start]
+            start += 1
+        if total >= min_words:
+            spans.add((start, end))
+    return sorted(spans)
 
 
 def aligned_blocks(later: list[int], earlier: list[int]) -> list[tuple[int, int]]:
@@ -118,24 +139,29 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 [np.array(f[k], "<u8").view("<i8").tolist() for f in found], pa.list_(pa.int64()))
             counts = lambda k: pa.array([f[k] for f in found], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), counts(0), signed(1), counts(2), signed(3)],
-                ["id", "text_hash", "numbers", "keys", "words", "runs"])
+                [batch.column(0), batch.column(1), counts(0), signed(1), counts(2), signed(3),
+                 counts(4), counts(5)],
+                ["id", "text_hash", "numbers", "keys", "words", "runs", "firsts", "lasts"])
 
     lines = spark.read.parquet(write_scratch(
         docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"),
                     F.col(text_col).alias("text"))
         .mapInArrow(cut, f"id {id_type}, text_hash long, numbers array<int>, keys array<long>, "
-                         "words array<int>, runs array<long>"), "dedup-lines"))
-    runs = (lines.select(_doc("id", "text_hash").alias("doc"),
-                         F.explode(F.array_distinct("runs")).alias("run"))
-            .where("run != 0"))
+                         "words array<int>, runs array<long>, firsts array<int>, lasts array<int>"),
+        "dedup-lines"))
+    runs = lines.select(
+        _doc("id", "text_hash").alias("doc"),
+        F.explode(F.arrays_zip("runs", "firsts", "lasts")).alias("run")).select(
+        "doc", F.col("run.runs").alias("run"), F.col("run.firsts").alias("first"),
+        F.col("run.lasts").alias("last"))
     # A run's earliest holder; runs with one holder end here.
     earliest = spark.read.parquet(write_scratch(
         runs.groupBy("run").agg(F.min("doc").alias("earlier"), F.max("doc").alias("latest"))
         .where("earlier != latest").select("run", "earlier"), "dedup-runs"))
-    pairs = spark.read.parquet(write_scratch(
+    copies = spark.read.parquet(write_scratch(
         runs.join(earliest.hint("merge"), "run").where("doc != earlier")
-        .select("doc", "earlier").distinct(), "dedup-pairs"))
+        .select("doc", "earlier", "first", "last"), "dedup-copies"))
+    pairs = copies.select("doc", "earlier").distinct()
 
     rows = lines.select(
         _doc("id", "text_hash").alias("doc"),
@@ -163,8 +189,29 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                  pa.array(numbers, pa.int32()), pa.array(counts, pa.int32())],
                 ["doc", "line", "words"])
 
-    doc_type = f"struct<unknown:boolean,id:{id_type},hash:long>"
-    return (per_pair.mapInArrow(align, f"doc {doc_type}, line int, words int").distinct()
+    spans = copies.groupBy("doc").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    per_doc = lines.select(_doc("id", "text_hash").alias("doc"), "numbers", "words").join(
+        spans.hint("merge"), "doc").select("doc", "spans.first", "spans.last", "numbers", "words")
+
+    def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs_, numbers, counts = [], [], []
+            for k in range(batch.num_rows):
+                first, last, number, words = (batch.column(c)[k].as_py() for c in range(1, 5))
+                done = 0
+                for a, b in sorted(zip(first, last)):
+                    for at in range(max(a, done), b + 1):
+                        docs_.append(k)
+                        numbers.append(number[at])
+                        counts.append(words[at])
+                    done = max(done, b + 1)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(docs_, pa.int32())),
+                 pa.array(numbers, pa.int32()), pa.array(counts, pa.int32())],
+                ["doc", "line", "words"])
+
+    deleted = f"doc struct<unknown:boolean,id:{id_type},hash:long>, line int, words int"
+    return (per_pair.mapInArrow(align, deleted).union(per_doc.mapInArrow(cover, deleted)).distinct()
             .groupBy("doc").agg(F.array_sort(F.collect_list("line")).alias("lines"),
                                 F.sum("words").alias("words"))
             .select("doc.id", F.col("doc.hash").alias("text_hash"), "lines", "words"))

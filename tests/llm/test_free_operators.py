@@ -210,6 +210,32 @@ def test_repeated_blocks_go_from_later_documents(documents):
     assert line_dedup.repeated_lines(documents([])).count() == 0
 
 
+def passage(name, n):
+    return " ".join(f"{name}{k}" for k in range(n))
+
+
+def test_shared_run_goes_though_its_first_line_stands_elsewhere_too(documents):
+    hot, rest = passage("h", 9), passage("r", 12)
+    docs = documents([(1, f"{hot}\nown one\n{hot}\n{rest}"), (2, f"own two\n{hot}\n{rest}"),
+                      (3, f"{hot}\nown three\n{hot}\nand\n{hot}\n{rest}\nend")])
+    got = {r["doc_id"]: r["text"] for r in line_dedup.without_repeated_lines(docs).collect()}
+    assert got[1] == f"{hot}\nown one\n{hot}\n{rest}" and got[2] == "own two"
+    assert rest not in got[3] and got[3].endswith("and\nend")
+
+
+def test_shortest_spans_cover_every_block():
+    rng = random.Random(5)
+    for _ in range(300):
+        words = [rng.randrange(1, 30) for _ in range(rng.randrange(12))]
+        spans = line_dedup.shortest_spans(words, 20)
+        for first in range(len(words)):
+            for last in range(first, len(words)):
+                inside = {k for a, b in spans if first <= a and b <= last
+                          for k in range(a, b + 1)}
+                enough = sum(words[first:last + 1]) >= 20
+                assert inside == (set(range(first, last + 1)) if enough else set())
+
+
 def test_line_dedup_of_a_large_group_pairs_with_the_first_only(documents):
     block = " ".join(f"w{k}" for k in range(30))
     rows = line_dedup.repeated_lines(documents([(k, f"own {k}\n{block}") for k in range(200)]))
