@@ -223,6 +223,16 @@ def test_shared_run_goes_though_its_first_line_stands_elsewhere_too(documents):
     assert rest not in got[3] and got[3].endswith("and\nend")
 
 
+def test_passages_in_another_order_go_too(documents):
+    a, b = (f"{passage(n + 'x', 15)}\n{passage(n + 'y', 15)}" for n in "ab")
+    short1, short2, long = passage("s", 4), passage("t", 4), passage("l", 60)
+    docs = documents([(1, f"{a}\nown one\n{b}"), (2, f"{b}\nown two\n{a}"),
+                      (3, f"{long}\n{short1}\n{short2}"), (4, f"{short1}\n{short2}\nown\n{long}")])
+    got = {r["doc_id"]: r["text"] for r in line_dedup.without_repeated_lines(docs).collect()}
+    assert got[1] == f"{a}\nown one\n{b}" and got[2] == "own two"
+    assert got[3] == f"{long}\n{short1}\n{short2}" and got[4] == f"{short1}\n{short2}\nown"
+
+
 def test_shortest_spans_cover_every_block():
     rng = random.Random(5)
     for _ in range(300):
