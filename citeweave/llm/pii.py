@@ -116,6 +116,17 @@ _SIGNS = re.compile(
     rf"|(?<=[a-z0-9])(?P<bare_at> at )(?=[a-z0-9-]+(?: dot | ?[\[({{<]\s?{_DOT}\s?[\])}}>] ?)[a-z0-9])"
     rf"|(?<=[a-z0-9])(?P<bare_dot> +dot +)(?=[a-z0-9])")
 
+# The bare words of the other languages count only in a whole spelled address. "at ... point" stays
+# text ("at this point in time"): a bare "point" needs an at that no English text has.
+_BARE_DOT = r" +(?:dot|punkt|point|punto) +"
+_BRACKET_DOT = rf"\s?[\[({{<]\s?{_DOT}\s?[\])}}>]\s?"
+_BARE_ADDRESS = re.compile(
+    rf"(?i)(?<=[a-z0-9])(?:(?P<at> (?:at|ät|arroba|arr?obase) )"
+    rf"|\s?[\[({{<]\s?{_AT}\s?[\])}}>]\s?|@)"
+    rf"(?P<domain>[a-z0-9-]+(?:{_BARE_DOT}|{_BRACKET_DOT})[a-z0-9-]+"
+    rf"(?:(?:{_BARE_DOT}|{_BRACKET_DOT}|\.)[a-z0-9-]+)*)")
+_BARE_DOTS = re.compile(rf"(?i){_BARE_DOT}")
+
 
 @functools.lru_cache(maxsize=1)
 def _look_alikes() -> dict[str, str]:
@@ -198,10 +209,19 @@ def _digit_edits(text: str) -> list[tuple[int, int, str]]:
 
 
 def _sign_edits(text: str) -> list[tuple[int, int, str]]:
-    if not any(c in text for c in "[({<") and " dot " not in text.lower():
+    lower = text.lower()
+    bare = any(f" {word} " in lower for word in ("dot", "punkt", "point", "punto"))
+    if not bare and not any(c in text for c in "[({<"):
         return []
-    return [(m.start(), m.end(), "@" if m.lastgroup.endswith("at") else ".")
-            for m in _SIGNS.finditer(text)]
+    edits = {(m.start(), m.end(), "@" if m.lastgroup.endswith("at") else ".")
+             for m in _SIGNS.finditer(text)}
+    for m in _BARE_ADDRESS.finditer(text) if bare else ():
+        if m["at"] and m["at"].lower() == " at " and " point " in m["domain"].lower():
+            continue
+        if m["at"]:
+            edits.add((*m.span("at"), "@"))
+        edits.update((d.start(), d.end(), ".") for d in _BARE_DOTS.finditer(text, *m.span("domain")))
+    return sorted(edits)
 
 
 def disguised(text: str) -> list[tuple[int, int, int]]:

@@ -380,6 +380,16 @@ def test_whole_spans_stand_beside_partial_base_spans(text, partial, whole):
     assert pii.masked(f"to {text} now", base + added) == "to <email> now"
 
 
+@pytest.mark.parametrize("source", [
+    "joe at example dot com", "joe at example punkt de", "joe ät mail punkt example punkt de",
+    "joe arroba example punto com", "joe arobase example point fr", "joe (at) example point fr"])
+def test_bare_disguises_in_four_languages(source):
+    text = f"mail {source}, ok"
+    assert [text[a:b] for a, _, b in pii.personal_data(text)[1]] == [source]
+    for clean in ("arrive at this point in time", "le point de vue", "en punto y aparte"):
+        assert pii.personal_data(clean) == ([], [])
+
+
 def test_added_spans_inside_base_spans_are_dropped():
     text = "joe@example.com and ann (at) mail.example and 1.2.3.4"
     assert [text[a:b] for a, _, b in pii.personal_data(text)[1]] == ["ann (at) mail.example"]
