@@ -1,4 +1,3 @@
-import json
 import os
 import sys
 
@@ -13,12 +12,3 @@ def spark():
 
     s = local_session("4", 8, app_name="citeweave-tests")
     yield s
-
-
-def write_jsonl(path, rows):
-    """Write rows (dicts or raw strings) as JSON lines."""
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    with open(path, "w") as fh:
-        for r in rows:
-            fh.write((r if isinstance(r, str) else json.dumps(r)) + "\n")
-    return path

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from citeweave.plans import jobs
-from conftest import write_jsonl
+from jsonl_files import write_jsonl
 
 UUIDS = [f"{p:02x}{i:06d}-0000-4000-8000-{i:012d}" for p in (0x0a, 0x1b, 0xc3) for i in range(40)]
 

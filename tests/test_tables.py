@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from citeweave.operators import tables
 from citeweave.schemas import MENTION_JSON, PAPER_JSON
 from citeweave.sources.jsonl import read_collection
-from conftest import write_jsonl
+from jsonl_files import write_jsonl
 
 U1 = "0a000000-0000-4000-8000-000000000001"
 U2 = "0a000000-0000-4000-8000-000000000002"
