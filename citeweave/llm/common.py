@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def shared_folder(folder: str):
+    """(file system, path in it) of a shared folder given as a path or any URI that Arrow opens."""
+    if "://" in folder or folder.startswith("file:"):
+        return pafs.FileSystem.from_uri(folder)
+    return pafs.LocalFileSystem(), folder
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once: a lambda variable, unlike a column alias, is
     never inlined by the optimizer into the inner loops that use it."""

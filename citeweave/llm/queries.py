@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm import (decontaminate, exact_dedup, language, licenses, line_dedup, mixing,
-                           pii, secrets, simhash, token_shards)
+from citeweave.llm import (centroids, decontaminate, exact_dedup, language, licenses, line_dedup,
+                           mixing, pii, secrets, simhash, token_shards, warc, whitening)
 from citeweave.llm.common import collapse_space, table
 
 
@@ -118,6 +118,70 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.span_text(F.array_sort(F.concat("base", "linked"))).alias("spans"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.archive_folder(spark)
+    archives = warc.write_archives(table(spark, sf_dir, "pages"), out)
+    return warc.read_archives(archives, out)
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, final = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    # One row per cluster.
+    sums = {r["cluster"]: r["s"] for r in rows.groupBy("cluster").agg(
+        F.sum("distance").alias("s")).collect()}
+    known = spark.createDataFrame(
+        [(c, s, sum(sums.values()), centroids.centroid_sha256(final[c])) for c, s in sums.items()],
+        "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")
+    return rows.join(F.broadcast(known), "cluster").select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def _centroid_sql() -> str:
+    """The rounds written out, one step after the other."""
+    k, dim, scale = centroids.CLUSTERS, centroids.DIMENSIONS, centroids.SCALE
+    steps = [f"""
+        v AS MATERIALIZED (
+            SELECT row_number() OVER () AS row_id, vec_id, list_transform(embedding,
+                       lambda c: floor({scale} * c::DOUBLE)::BIGINT) AS x
+            FROM embeddings WHERE len(embedding) = {dim}
+            AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = {dim}),
+        c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY h NULLS LAST, x) - 1 AS cluster, x AS c
+            FROM (SELECT sha256('{centroids.SEED}:' || vec_id) AS h, x FROM v)
+            ORDER BY h NULLS LAST, x LIMIT {k})"""]
+    for turn in range(centroids.ROUNDS + 1):
+        steps.append(f"""
+        a{turn} AS MATERIALIZED (
+            SELECT * FROM (
+                SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY distance, cluster) AS k
+                FROM (SELECT row_id, vec_id, x, cluster, list_sum(list_transform(list_zip(x, c),
+                          lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS distance
+                      FROM v, c{turn}))
+            WHERE k = 1)""")
+        if turn < centroids.ROUNDS:
+            steps.append(f"""
+        c{turn + 1} AS MATERIALIZED (
+            SELECT o.cluster, coalesce(m.c, o.c) AS c FROM c{turn} o LEFT JOIN (
+                SELECT cluster, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY place) AS c
+                FROM (SELECT cluster, place, sum(y) AS s, count(*) AS n
+                      FROM (SELECT cluster, unnest(x) AS y, unnest(range({dim})) AS place
+                            FROM a{turn}) GROUP BY 1, 2) GROUP BY 1) m USING (cluster))""")
+    last = centroids.ROUNDS
+    return f"""WITH {",".join(steps)}
+        SELECT vec_id, cluster::INTEGER AS cluster, distance,
+               (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+               (sum(distance) OVER ())::BIGINT AS inertia,
+               sha256(array_to_string(c, ',')) AS centroid_sha256
+        FROM a{last} JOIN c{last} USING (cluster)"""
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "component", "n",
+                        F.expr("try_cast(deviation AS bigint)").alias("deviation"), "whitened",
+                        "explained", "identity_error")
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_mixing": op2_mixing,
@@ -129,6 +193,9 @@ QUERIES = {
     "op8_token_shards": op8_token_shards,
     "op9_pii": op9_pii,
     "op10_secrets": op10_secrets,
+    "op11_warc": op11_warc,
+    "op12_centroids": op12_centroids,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE = {
@@ -193,4 +260,17 @@ ORACLE = {
                sha256(norm) AS text_sha256
         FROM t""",
     "op6_licenses": _license_sql(),
+    # Base 32 takes five bits a letter: each five hex digits of the SHA-1 give four letters.
+    "op11_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex,
+                          max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+        SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+               array_to_string(list_transform(range(32), lambda i:
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + ((
+                       ('0x' || hex[5 * (i // 4) + 1:5 * (i // 4) + 5])::INTEGER
+                       >> (15 - 5 * (i % 4))::INTEGER) & 31)]), '') AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM p""",
+    "op12_centroids": _centroid_sql(),
 }
