@@ -2,13 +2,19 @@
 
 Paths: an object key appends ``.key``, an array element appends ``[]``; the root path is ''.
 An empty object or array yields nothing; JSON null is a leaf. Leaves are found level by level
-with ``LATERAL variant_explode_outer``; the number of levels comes from one aggregation of the
-deepest bracket nesting over the data (a single number), so the plan is built once with a fixed
-depth.
+with ``LATERAL variant_explode_outer``. The plan reaches a fixed number of levels; where a document
+goes deeper, its remaining containers (the frontier) are written to scratch and the walk goes on
+from there, so any depth is profiled and usual documents need one pass.
+
+Everything the profile reports comes from one aggregation per path. Histograms are part of it: a
+frequent-items sketch is exact as long as it has seen no more values than it tracks, which is
+several times the largest enum; the distinct count and the total of its counts show whether it was.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,8 +22,12 @@ from citeweave.functions.numeric import is_float32, is_integral, narrowest_type
 from citeweave.schemas import MAX_ENUM_VALUES
 from citeweave.session import materialize
 
-# The plan has one generator per level; deeper documents raise, they are never cut.
-MAX_DEPTH = 64
+# Levels of one plan, and of each further plan over a frontier.
+LEVELS, FURTHER_LEVELS = 6, 16
+# Strings longer than this enter the histogram by their digest, so a sketch stays small.
+LONG_VALUE = 256
+# Marks a digest; short strings that begin with it are digested too.
+DIGEST_MARK = "\u0001sha256:"
 
 
 def parse_documents(df: DataFrame, json_col: str, strict: bool = True) -> DataFrame:
@@ -46,52 +56,78 @@ def container_depth(json_text: Column) -> Column:
         lambda acc: acc["m"])
 
 
-def max_depth(docs: DataFrame, variant_col: str = "v", text_col: str | None = None) -> int:
-    """Deepest container nesting over all documents: one aggregation, a single number back.
+def _descend(nodes: DataFrame, levels: int) -> DataFrame:
+    """(path, v) after replacing every container by its children ``levels`` times.
 
-    With ``text_col`` the original JSON text is measured (no parse, no re-serialization);
-    otherwise the VARIANT is rendered with ``to_json``.
-    """
-    text = F.col(text_col) if text_col else F.to_json(F.col(variant_col))
-    row = docs.agg(F.max(container_depth(text)).alias("d")).first()
-    depth = int(row["d"] or 0) if row else 0
-    if depth > MAX_DEPTH:
-        raise ValueError(f"JSON nested {depth} deep; profiles go to {MAX_DEPTH} levels")
-    return depth
-
-
-def json_leaves(docs: DataFrame, variant_col: str = "v", depth: int | None = None) -> DataFrame:
-    """(path, value) for every leaf of every document; ``value`` is a VARIANT.
-
-    Each level replaces every container by its children and passes leaves through unchanged
-    (``variant_explode_outer`` yields one all-NULL row for a scalar, which keeps it); an empty
-    object or array yields nothing. After ``depth`` levels only leaves remain, so the plan is one
-    linear chain of generators: every value is copied once per level it sits below, with no
-    union of per-level branches recomputing the chain. ``depth`` may be passed when it is known
-    (for example from :func:`max_depth` over the source text).
+    A leaf passes through unchanged (``variant_explode_outer`` yields one all-NULL row for a
+    scalar, which keeps it); an empty object or array yields nothing.
     """
-    spark = docs.sparkSession
-    level = docs.select(F.lit("").alias("path"), F.col(variant_col).alias("v"))
-    for _ in range(max_depth(docs, variant_col) if depth is None else depth):
-        level = spark.sql(
+    for _ in range(levels):
+        nodes = nodes.sparkSession.sql(
             "SELECT CASE WHEN e.pos IS NULL THEN t.path "
             "            WHEN e.key IS NULL THEN concat(t.path, '[]') "
             "            ELSE concat(t.path, '.', e.key) END AS path, "
             "       CASE WHEN e.pos IS NULL THEN t.v ELSE e.value END AS v "
             "FROM {t} AS t, LATERAL variant_explode_outer(t.v) AS e "
             "WHERE e.pos IS NOT NULL OR NOT (to_json(t.v) IN ('{{}}', '[]'))",
-            t=level)
-    return level
+            t=nodes)
+    return nodes
+
+
+def _is_container(v: Column) -> Column:
+    return F.substring(F.to_json(v), 1, 1).isin("{", "[")
+
+
+def first_levels(docs: DataFrame, variant_col: str = "v", levels: int = LEVELS) -> DataFrame:
+    """(path, v) of the first ``levels`` levels: leaves, and containers that are left there. No
+    job runs."""
+    return _descend(docs.select(F.lit("").alias("path"), F.col(variant_col).alias("v")), levels)
+
+
+def deeper_leaves(docs: DataFrame, variant_col: str = "v", levels: int = LEVELS,
+                  further: int = FURTHER_LEVELS) -> DataFrame | None:
+    """(path, v) of the leaves below the first ``levels`` levels; None if there are none.
+
+    The frontier is written as (path, JSON text) and read again as the next plan's input, until no
+    container is left. Each plan's leaves are read from the same written table.
+    """
+    top = first_levels(docs, variant_col, levels).where(_is_container(F.col("v")))
+    frontier, found = materialize(top.select("path", F.to_json("v").alias("text")),
+                                  "json-frontier"), []
+    while not frontier.isEmpty():
+        nodes = _descend(frontier.select("path", F.parse_json("text").alias("v")), further)
+        written = materialize(nodes.select("path", F.to_json("v").alias("text"),
+                                           _is_container(F.col("v")).alias("open")),
+                              "json-frontier")
+        found.append(written.where("not open").select("path", F.parse_json("text").alias("v")))
+        frontier = written.where("open")
+    return reduce(DataFrame.unionAll, found) if found else None
+
+
+def json_leaves(docs: DataFrame, variant_col: str = "v", levels: int = LEVELS) -> DataFrame:
+    """(path, value) for every leaf of every document at any depth; ``value`` is a VARIANT.
+
+    Looks for containers below the first ``levels`` levels (one pass over the documents) and walks
+    them to the end; see :func:`document_parts` for a profile that needs that pass only when it
+    meets such containers.
+    """
+    leaves = first_levels(docs, variant_col, levels)
+    deeper = deeper_leaves(docs, variant_col, levels)
+    if deeper is None:
+        return leaves
+    return leaves.where(~_is_container(F.col("v"))).unionAll(deeper)
 
 
 def typed_leaves(leaves: DataFrame) -> DataFrame:
-    """Add the atomic class (null, boolean, number, string) and typed values of each leaf."""
+    """Add the atomic class (null, boolean, number, string) and typed values of each leaf; what is
+    not a leaf yet has the class ``container``."""
     kind = F.schema_of_variant(F.col("v"))
     cls = (F.when(kind == "VOID", F.lit("null"))
            .when(kind == "BOOLEAN", F.lit("boolean"))
            .when(kind == "STRING", F.lit("string"))
            .when(kind.isin("BIGINT", "DOUBLE", "FLOAT", "INT", "SMALLINT", "TINYINT")
                  | kind.startswith("DECIMAL"), F.lit("number"))
+           .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit("container"))
            .otherwise(kind))
     return leaves.select(
         "path", cls.alias("cls"),
@@ -109,91 +145,137 @@ def enum_value_text(cls: Column, s: Column, x: Column) -> Column:
             .when(cls == "number", x.cast("string")))
 
 
-def path_statistics(typed: DataFrame) -> DataFrame:
-    """One row per path: classes seen, boolean counts, numeric range and flags, distinct values.
+def _histogram_key(typed: DataFrame) -> DataFrame:
+    value = enum_value_text(F.col("cls"), F.col("s"), F.col("x"))
+    plain = (F.length(value) <= LONG_VALUE) & ~value.startswith(DIGEST_MARK)
+    return typed.withColumn("_key", F.when(plain, value).otherwise(
+        F.concat(F.lit(DIGEST_MARK), F.sha2(value, 256))))
+
 
-    All statistics come from one aggregation with partial aggregation per task. The distinct
-    value count is approximate (HyperLogLog); it only pre-selects enum candidates, which
-    :func:`path_histograms` then counts exactly.
+def path_statistics(typed: DataFrame, max_values: int = MAX_ENUM_VALUES) -> DataFrame:
+    """One row per path: classes seen, boolean counts, numeric range and flags, and ``values``, the
+    histogram (array of (item, count)) of a path with at most ``max_values`` values, else NULL.
+
+    One aggregation with partial aggregation per task. The sketch behind ``values`` tracks three
+    times ``max_values`` items at least and counts exactly up to there. It is taken as exact if its
+    counts add up to the number of values and the approximate distinct count is at most twice
+    ``max_values``: beyond the tracked number that estimate would have to be wrong by a third, where
+    its error is a few per cent.
     """
-    value = enum_value_text(F.col("cls"), F.col("s"), F.col("x"))
-    # Flags per class instead of a collected set: the aggregate stays a hash aggregate.
+    # Flags per class instead of a collected set.
     known = ("boolean", "number", "string")
     seen = [F.when(F.bool_or(F.col("cls") == c), F.lit(c)) for c in known]
-    other = F.max(F.when(~F.col("cls").isin(*known, "null"), F.col("cls")))
-    return typed.groupBy("path").agg(
+    other = F.max(F.when(~F.col("cls").isin(*known, "null", "container"), F.col("cls")))
+    tracked = max(64, 3 * max_values)
+    leaf = F.col("cls") != "container"
+    stats = _histogram_key(typed).groupBy("path").agg(
         F.array_sort(F.array_compact(F.array(*seen, other))).alias("classes"),
-        F.count(F.lit(1)).alias("n_leaves"),
+        F.count_if(leaf).alias("n_leaves"),
+        F.count_if(~leaf).alias("n_containers"),
         F.count_if(F.col("b")).alias("n_true"),
         F.count_if(~F.col("b")).alias("n_false"),
         F.bool_and(F.when(F.col("x").isNotNull(), is_integral("x"))).alias("integral"),
         F.bool_and(F.when(F.col("x").isNotNull(), is_float32("x"))).alias("float32"),
         F.min("x").alias("min"),
         F.max("x").alias("max"),
-        F.approx_count_distinct(value, 0.01).alias("_approx_values"),
-    )
-
-
-def materialize_statistics(stats: DataFrame) -> DataFrame:
-    """Write the per-path statistics (one row per path) to the shared checkpoint folder, so the
-    leaves are aggregated once even though two later steps read the result."""
-    return materialize(stats, "json-path-statistics")
-
-
-def enum_candidates(stats: DataFrame, max_values: int = MAX_ENUM_VALUES) -> DataFrame:
-    """Paths whose approximate distinct count is below a wide margin (5x the limit, at least
-    100). Kept as a DataFrame: with object keys that are data (ids as keys) the number of paths
-    grows with the data, so it is joined, never collected."""
-    margin = max(100, 5 * max_values)
-    return stats.where(F.col("_approx_values") <= margin).select("path")
-
-
-def path_histograms(typed: DataFrame, candidates: DataFrame,
-                    max_values: int = MAX_ENUM_VALUES) -> DataFrame:
-    """(path, value, n, n_values) for candidate paths with at most ``max_values`` values.
-
-    Only candidate paths are counted (a semi-join with the candidate list), so long free-text
-    values are never shuffled here. Values are counted per (path, value) with map-side partial
-    counts, then gathered per path: a candidate has about ``5 * max_values`` values at most, so
-    each gathered list is small whatever the number of rows. The exact count then decides.
-    """
-    value = enum_value_text(F.col("cls"), F.col("s"), F.col("x"))
-    counted = (typed.where(F.col("cls").isin("string", "number"))
-               .join(candidates, "path", "left_semi")
-               .select("path", value.alias("value"))
-               .groupBy("path", "value").agg(F.count(F.lit(1)).alias("n")))
-    per_path = (counted.groupBy("path")
-                .agg(F.count(F.lit(1)).alias("n_values"),
-                     F.collect_list(F.struct("value", "n")).alias("_vals"))
-                .where(F.col("n_values") <= max_values))
-    return per_path.select("path", "n_values", F.inline("_vals")).select(
-        "path", "value", "n", "n_values")
-
-
-def profile_parts(typed: DataFrame, max_values: int = MAX_ENUM_VALUES,
-                  max_only_signed_rule: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(profile, histograms) sharing one aggregation of the leaves."""
-    stats = materialize_statistics(path_statistics(typed))
-    # At most ``max_values`` rows per path: written once, read by the profile and by the enums.
-    hist = materialize(path_histograms(typed, enum_candidates(stats, max_values), max_values),
-                       "json-path-histograms")
-    enum_sizes = hist.select("path", "n_values").distinct()
+        F.count("_key").alias("_n_keys"),
+        F.approx_count_distinct("_key").alias("_approx"),
+        F.expr(f"approx_top_k(_key, {max_values + 1}, {tracked}) "
+               "FILTER (WHERE _key IS NOT NULL)").alias("_top"))
+    total = F.aggregate("_top", F.lit(0).cast("long"), lambda a, e: a + e["count"])
+    exact = ((F.col("_n_keys") > 0) & (F.size("_top") <= max_values)
+             & (F.col("_approx") <= 2 * max_values) & (total == F.col("_n_keys")))
+    return stats.withColumn("values", F.when(exact, F.col("_top"))).drop(
+        "_n_keys", "_approx", "_top")
+
+
+def _open_ends(stats: DataFrame) -> tuple[bool, bool]:
+    """Whether written statistics met containers below the first levels, and digested values."""
+    row = stats.agg(
+        F.coalesce(F.bool_or(F.col("n_containers") > 0), F.lit(False)).alias("deeper"),
+        F.coalesce(F.bool_or(F.exists("values", lambda e: e["item"].startswith(DIGEST_MARK))),
+                   F.lit(False)).alias("digested")).first()
+    return row["deeper"], row["digested"]
+
+
+def _histograms(stats: DataFrame, typed: DataFrame, digested: bool) -> DataFrame:
+    """(path, value, n) of the enums; digested values get their text back from the leaves, which
+    are read again only if there are such values."""
+    rows = stats.where("size(classes) = 1 AND values IS NOT NULL").select(
+        "path", F.inline("values").alias("value", "n"))
+    if not digested:
+        return rows
+    texts = (_histogram_key(typed).where(F.col("_key").startswith(DIGEST_MARK))
+             .join(rows.select("path", F.col("value").alias("_key")), ["path", "_key"],
+                   "left_semi").groupBy("path", F.col("_key").alias("value"))
+             .agg(F.any_value("s").alias("_text")))
+    return rows.join(texts, ["path", "value"], "left").select(
+        "path", F.coalesce("_text", "value").alias("value"), "n")
+
+
+def statistics_parts(stats: DataFrame, typed: DataFrame, digested: bool,
+                     max_only_signed_rule: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(profile, histograms) from written per-path statistics; ``typed`` are their leaves, and
+    ``digested`` says whether a histogram holds digests."""
     kind = (F.when(F.size("classes") == 0, F.lit("empty"))
             .when(F.size("classes") > 1, F.lit("conflict"))
             .otherwise(F.element_at("classes", 1)))
     number_type = narrowest_type(F.col("integral"), F.col("float32"), F.col("min"), F.col("max"),
                                  max_only=max_only_signed_rule)
-    prof = (stats.join(enum_sizes, "path", "left")
-            .select("path", kind.alias("kind"), "n_leaves",
-                    F.when(kind == "boolean", F.col("n_true")).alias("n_true"),
-                    F.when(kind == "boolean", F.col("n_false")).alias("n_false"),
-                    F.when(kind == "number", number_type).alias("number_type"),
-                    F.when(kind == "number", F.col("min")).alias("min"),
-                    F.when(kind == "number", F.col("max")).alias("max"),
-                    F.when(kind.isin("number", "string"), F.col("n_values")).alias("n_values")))
-    enums = hist.join(prof.where(F.col("kind").isin("string", "number")).select("path"),
-                      "path", "left_semi").select("path", "value", "n")
-    return prof, enums
+    leaves = stats.where("n_leaves > 0")
+    prof = leaves.select(
+        "path", kind.alias("kind"), "n_leaves",
+        F.when(kind == "boolean", F.col("n_true")).alias("n_true"),
+        F.when(kind == "boolean", F.col("n_false")).alias("n_false"),
+        F.when(kind == "number", number_type).alias("number_type"),
+        F.when(kind == "number", F.col("min")).alias("min"),
+        F.when(kind == "number", F.col("max")).alias("max"),
+        F.when(kind.isin("number", "string") & F.col("values").isNotNull(),
+               F.size("values").cast("long")).alias("n_values"))
+    return prof, _histograms(leaves, typed, digested)
+
+
+def profile_parts(typed: DataFrame, max_values: int = MAX_ENUM_VALUES,
+                  max_only_signed_rule: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(profile, histograms) sharing one aggregation of the leaves."""
+    stats = written_statistics(typed, max_values)
+    return statistics_parts(stats, typed, _open_ends(stats)[1], max_only_signed_rule)
+
+
+def written_statistics(typed: DataFrame, max_values: int = MAX_ENUM_VALUES) -> DataFrame:
+    """The per-path statistics (one row per path) in the shared checkpoint folder, so the leaves are
+    aggregated once even though several later steps read the result."""
+    return materialize(path_statistics(typed, max_values), "json-path-statistics")
+
+
+def document_statistics(docs: DataFrame, variant_col: str = "v",
+                        max_values: int = MAX_ENUM_VALUES) -> tuple[DataFrame, DataFrame, bool]:
+    """(written per-path statistics, typed leaves, whether a histogram holds digests) of documents
+    of any depth: one pass where no document goes below the first levels, which the statistics
+    themselves show."""
+    typed = typed_leaves(first_levels(docs, variant_col))
+    stats = written_statistics(typed, max_values)
+    deeper, digested = _open_ends(stats)
+    if not deeper:
+        return stats, typed, digested
+    typed = typed.where("cls != 'container'").unionAll(
+        typed_leaves(deeper_leaves(docs, variant_col)))
+    stats = written_statistics(typed, max_values)
+    return stats, typed, _open_ends(stats)[1]
+
+
+def document_parts(docs: DataFrame, variant_col: str = "v", max_values: int = MAX_ENUM_VALUES,
+                   max_only_signed_rule: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(profile, histograms) of documents of any depth."""
+    return statistics_parts(*document_statistics(docs, variant_col, max_values),
+                            max_only_signed_rule)
+
+
+def statistics_conflicts(stats: DataFrame) -> DataFrame:
+    """:func:`type_conflicts` from the per-path statistics, without another pass."""
+    return stats.where("size(classes) > 1").select(
+        "path", F.size("classes").cast("long").alias("n_types"),
+        F.array_join("classes", ",").alias("types"))
 
 
 def json_profile(typed: DataFrame, max_values: int = MAX_ENUM_VALUES,

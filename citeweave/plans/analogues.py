@@ -253,19 +253,16 @@ def _json_documents(spark, d):
     return events.unionByName(docs.join(labels, "doc_id", "left").select(text.alias("j")))
 
 
-def _typed_leaves(spark, d):
-    text = _json_documents(spark, d)
-    depth = profile.max_depth(text, text_col="j")
-    docs = profile.parse_documents(text, "j")
-    return profile.typed_leaves(profile.json_leaves(docs, depth=depth))
+def _json_parts(spark, d):
+    return profile.document_parts(profile.parse_documents(_json_documents(spark, d), "j"))
 
 
 def json_profile(spark, d):
-    return profile.json_profile(_typed_leaves(spark, d))
+    return _json_parts(spark, d)[0]
 
 
 def json_enums(spark, d):
-    return profile.json_enums(_typed_leaves(spark, d))
+    return _json_parts(spark, d)[1]
 
 
 def json_empty_paths(spark, d):
@@ -273,12 +270,12 @@ def json_empty_paths(spark, d):
 
 
 def json_report(spark, d):
-    prof, enums = profile.profile_parts(_typed_leaves(spark, d))
-    return profile.profile_summary(prof, enums)
+    return profile.profile_summary(*_json_parts(spark, d))
 
 
 def json_type_conflicts(spark, d):
-    return profile.type_conflicts(_typed_leaves(spark, d))
+    return profile.statistics_conflicts(profile.document_statistics(
+        profile.parse_documents(_json_documents(spark, d), "j"))[0])
 
 
 # ---------------------------------------------------------------------------------------------

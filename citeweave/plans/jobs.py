@@ -169,8 +169,7 @@ def json_stats(spark: SparkSession, path: str, out: str | None = None,
     """
     def build() -> DataFrame:
         docs = jsonl.read_variant_lines(spark, path, "v", name_pattern, mode)
-        typed = profile.typed_leaves(profile.json_leaves(docs))
-        prof, enums = profile.profile_parts(typed)
+        prof, enums = profile.document_parts(docs)
         return profile.profile_summary(profile.raise_on_conflicts(prof), enums)
 
     if not out:

@@ -1,5 +1,7 @@
 """JSON profile (FIXTURES.md F5)."""
 
+import json
+
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -80,3 +82,70 @@ def test_summary_lines_with_enum_entries(spark):
     assert lines[".n"] == "uint8;2;10;2:2;10:1;"          # numeric order, not text order
     assert lines[".s"] == "enum;2;a:2;b:1;"
     assert lines[".f"] == "float32;0.500000;1.500000;0.500000:1;1.500000:1;"
+
+
+def _nested(levels, leaf):
+    return "".join('{"a":' if k % 2 else "[" for k in range(levels)) + leaf + "".join(
+        "}" if k % 2 else "]" for k in reversed(range(levels)))
+
+
+def test_any_depth(spark):
+    """200 levels, beside shallow documents, empty containers and the bounds of the plans."""
+    lines = [_nested(200, "7"), _nested(200, '"x"'), '{"s":1}', "[]", "5"]
+    lines += [_nested(k, '{"e":{},"v":[true,null]}') for k in
+              (profile.LEVELS - 2, profile.LEVELS - 1, profile.LEVELS, profile.LEVELS + 1,
+               profile.LEVELS + profile.FURTHER_LEVELS)]
+    want = {}
+
+    def walk(path, node):
+        if isinstance(node, dict):
+            for k, v in node.items():
+                walk(f"{path}.{k}", v)
+        elif isinstance(node, list):
+            for v in node:
+                walk(f"{path}[]", v)
+        else:
+            want[path] = want.get(path, 0) + 1
+
+    for line in lines:
+        walk("", json.loads(line))
+    docs = profile.parse_documents(spark.createDataFrame([(x,) for x in lines], "j string"), "j")
+    prof, _ = profile.document_parts(docs)
+    assert {r.path: r.n_leaves for r in prof.collect()} == want
+    assert {r.path: r["count"] for r in profile.json_leaves(docs).groupBy("path").count()
+            .collect()} == want
+    stats = profile.document_statistics(docs)[0]
+    deep = [r for r in profile.statistics_conflicts(stats).collect()]
+    assert [(r.n_types, r.types) for r in deep] == [(2, "number,string")]
+
+
+def test_shallow_documents_have_no_frontier(spark):
+    docs = profile.parse_documents(spark.createDataFrame([('{"a":[1,{"b":"x"}]}',)], "j string"),
+                                   "j")
+    assert profile.deeper_leaves(docs) is None
+    stats, _, digested = profile.document_statistics(docs)
+    assert stats.where("n_containers > 0").isEmpty() and not digested
+
+
+def test_histograms_are_exact_or_absent(spark):
+    """Value counts around the limit, far beyond what the sketch tracks, and long strings."""
+    import random
+
+    rng = random.Random(4)
+    rows = []
+    for k in range(6000):
+        rows.append(json.dumps({
+            "twenty": rng.randrange(20), "more": rng.randrange(21), "many": rng.randrange(70),
+            "free": f"v{k}", "late": k if k > 5900 else "same",
+            "long": ("long text " * 60) + str(k % 3), "marked": "\u0001sha256:" + str(k % 2)}))
+    df = spark.createDataFrame([(x,) for x in rows], "j string").repartition(7)
+    prof, enums = profile.document_parts(profile.parse_documents(df, "j"))
+    sizes = {r.path: r.n_values for r in prof.collect()}
+    assert sizes == {".twenty": 20, ".more": None, ".many": None, ".free": None, ".late": None,
+                     ".long": 3, ".marked": 2}
+    want = {}
+    for x in rows:
+        for k, v in json.loads(x).items():
+            if k in ("twenty", "long", "marked"):
+                want[f".{k}", str(v)] = want.get((f".{k}", str(v)), 0) + 1
+    assert {(r.path, r.value): r.n for r in enums.collect()} == want
