@@ -32,14 +32,9 @@ def classify_name(name: Column | str) -> Column:
     return expr
 
 
-def collate_records(records: DataFrame, file_name: Column | str = "_file_name",
-                    prefix: Column | str | None = None, bucket_width: int = 2) -> DataFrame:
-    """Tag raw records for collation: ``file`` (base name, overwriting any such key), UUID,
-    bucket and parse type. Unclassified files are left out (see :func:`residual_files`).
-
-    The bucket (``prefix``) is the top-level folder a file came from; a caller that has no folders
-    may leave it out, which takes the first characters of the UUID.
-    """
+def tagged_records(records: DataFrame, file_name: Column | str = "_file_name",
+                   prefix: Column | str | None = None, bucket_width: int = 2) -> DataFrame:
+    """:func:`collate_records` with unclassified files left in (their parse type is NULL)."""
     name = col(file_name)
     tagged = (records.withColumn("file", name)
               .withColumn("parse_type", classify_name(name))
@@ -48,7 +43,19 @@ def collate_records(records: DataFrame, file_name: Column | str = "_file_name",
                                else col(prefix))
     if isinstance(file_name, str) and file_name != "file":
         tagged = tagged.drop(file_name)
-    return tagged.where(F.col("parse_type").isNotNull())
+    return tagged
+
+
+def collate_records(records: DataFrame, file_name: Column | str = "_file_name",
+                    prefix: Column | str | None = None, bucket_width: int = 2) -> DataFrame:
+    """Tag raw records for collation: ``file`` (base name, overwriting any such key), UUID,
+    bucket and parse type. Unclassified files are left out (see :func:`residual_files`).
+
+    The bucket (``prefix``) is the top-level folder a file came from; a caller that has no folders
+    may leave it out, which takes the first characters of the UUID.
+    """
+    return tagged_records(records, file_name, prefix, bucket_width).where(
+        F.col("parse_type").isNotNull())
 
 
 def copied_object(text: Column | str, file_name: Column | str) -> Column:

@@ -127,6 +127,26 @@ def paper_ids(papers: DataFrame, num_partitions: int | None = None) -> DataFrame
     return dense_ids(papers, order, id_col="paper_id", num_partitions=num_partitions)
 
 
+def one_row_per_uuid(rows: DataFrame, strict: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(rows with one per ``source_uuid``, the other rows) where ids belong to UUIDs.
+
+    In strict mode a repeated UUID raises; else the row that is last by all its other columns
+    stays. Exact copies of that row are dropped without a report: they say nothing else.
+    """
+    others = [c for c in rows.columns if c != "source_uuid"]
+    last = rows.groupBy("source_uuid").agg(F.max(F.struct(*others)).alias("_last"),
+                                           F.count(F.lit(1)).alias("_n"))
+    if strict:
+        check = require(F.col("_n") == 1, F.concat(F.lit("repeated paper id: "),
+                                                   F.col("source_uuid")))
+        last = last.withColumn("source_uuid", F.coalesce(check.cast("string"),
+                                                         F.col("source_uuid")))
+    kept = last.select("source_uuid", *[F.col("_last")[c].alias(c) for c in others])
+    again = rows.join(last.where("_n > 1").select("source_uuid", "_last"), "source_uuid")
+    return kept.select(rows.columns), again.where(
+        ~F.struct(*others).eqNullSafe(F.col("_last"))).select(rows.columns)
+
+
 def papers_table(paper_records: DataFrame, mention_records: DataFrame | None = None,
                  strict: bool = True, num_partitions: int | None = None) -> DataFrame:
     """The papers table with ``has_mentions`` from mention records with a non-empty list."""

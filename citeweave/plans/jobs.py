@@ -14,8 +14,9 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.operators import (analyses, collate, counts, identifiers, profile, sampling, slim,
-                                 tables)
+from citeweave import storage
+from citeweave.operators import (analyses, collate, counts, identifiers, profile, registry,
+                                 sampling, slim, tables)
 from citeweave.schemas import (DEFAULT_MIN_SUPPORT, DEFAULT_SAMPLE_FRACTIONS, GENERIC_SOFTWARE_NAMES,
                                MENTION_JSON, PAPER_JSON)
 from citeweave.sinks import writers
@@ -24,58 +25,86 @@ from citeweave.sources import tables as table_sources
 from citeweave.session import materialize, scratch_scope, write_scratch
 
 
-def _entries(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
-    """(name, is_directory) of the entries directly under ``path`` (a listing, metadata only)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return []
-    return sorted((st.getPath().getName(), st.isDirectory()) for st in fs.listStatus(hpath))
-
-
-def _children(spark: SparkSession, path: str) -> list[str]:
-    return [name for name, _ in _entries(spark, path)]
-
-
 def _folder_groups(spark: SparkSession, raw_root: str, size: int) -> list[list[str]]:
     """Top-level folders of the raw tree, whatever their names, in groups of ``size``: one job per
     group keeps the driver's file listing to that share of the tree."""
-    dirs = [n for n, is_dir in _entries(spark, raw_root) if is_dir]
+    dirs = [n for n, is_dir in storage.entries(spark, raw_root) if is_dir]
     return [dirs[i:i + size] for i in range(0, len(dirs), size)]
 
 
 # JOB-1 -----------------------------------------------------------------------------------------
 
+LEDGER = "_ledger"
+
+
+def collation_ledger(spark: SparkSession, out: str) -> DataFrame:
+    """What is finished in a collection: one row per folder and parse type (``folder``,
+    ``parse_type``, ``n_records``, ``n_files``: all ``.json`` files of the folder, whatever their
+    type). A folder without any classified file has one row with a null parse type."""
+    schema = "folder string, parse_type string, n_records long, n_files long"
+    if LEDGER not in storage.children(spark, out):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{out}/{LEDGER}")
+
+
+def _ledger_rows(tagged: DataFrame, folders: Sequence[str]) -> DataFrame:
+    """Ledger rows of the folders just collated, from their written lines."""
+    spark = tagged.sparkSession
+    files = tagged.groupBy("prefix").agg(F.count(F.lit(1)).alias("n_files"))
+    records = tagged.where("parse_type IS NOT NULL").groupBy("prefix", "parse_type").agg(
+        F.count(F.lit(1)).alias("n_records"))
+    listed = spark.createDataFrame([(f,) for f in folders], "prefix string")
+    return listed.join(files, "prefix", "left").join(records, "prefix", "left").select(
+        F.col("prefix").alias("folder"), "parse_type",
+        F.coalesce("n_records", F.lit(0)).cast("long").alias("n_records"),
+        F.coalesce("n_files", F.lit(0)).cast("long").alias("n_files"))
+
+
+def _buckets(spark: SparkSession, out: str, folders: Sequence[str]) -> list[str]:
+    """Paths of the buckets that a collection holds of these folders."""
+    return [f"{out}/{t}/{p}" for t in storage.children(spark, out) if t.startswith("parse_type=")
+            for p in storage.children(spark, f"{out}/{t}")
+            if unquote(p.removeprefix("prefix=")) in folders]
+
+
 def collate_tree(spark: SparkSession, raw_root: str, out: str, resume: bool = True,
                  prefixes_per_job: int = 8, open_cost_bytes: int = 64 * 1024) -> list[str]:
     """Raw tree → JSONL partitioned by parse type and top-level folder; returns the folders
     processed.
 
     Every top-level folder is taken, and its name is the bucket of its files. Objects are copied as
-    they are (see ``collate.copied_object``); a file that is not one JSON object is an error. With
-    ``resume`` a folder is skipped when both standard outputs (papers and pdf mentions) exist
-    already. Pending folders are collated ``prefixes_per_job`` at a time: the driver only ever
-    lists that share of the ~100 M files, and each group replaces only its own buckets, so a
-    failure loses at most one group. Raw files are a few KB each; ``open_cost_bytes`` is lowered
-    for this read so a task packs thousands of files. Each file is read once.
+    they are (see ``collate.copied_object``); a file that is not one JSON object is an error.
+    Pending folders are collated ``prefixes_per_job`` at a time: the driver only ever lists that
+    share of the ~100 M files. A group is entered in the ledger (:func:`collation_ledger`) once all
+    its buckets are committed; with ``resume`` only folders that are not in the ledger are pending.
+    So a run that broke between two buckets is redone for its whole group, and a folder that lacks
+    some parse type, or holds nothing to collate, is done all the same. Buckets of a pending folder
+    that an earlier run left behind are removed first. Raw files are a few KB each;
+    ``open_cost_bytes`` is lowered for this read so a task packs thousands of files. Each file is
+    read once.
     """
-    folders = [n for n, is_dir in _entries(spark, raw_root) if is_dir]
+    folders = [n for n, is_dir in storage.entries(spark, raw_root) if is_dir]
     if resume:
-        done = [{unquote(p.split("=", 1)[1]) for p in _children(spark, f"{out}/parse_type={t}")
-                 if "=" in p} for t in ("paper", "pdf")]
-        folders = [p for p in folders if p not in done[0] & done[1]]
+        done = {r["folder"] for r in collation_ledger(spark, out).select("folder").distinct()
+                .collect()}
+        folders = [f for f in folders if f not in done]
+    else:
+        storage.delete(spark, f"{out}/{LEDGER}")
     with raw_tree.many_small_files(spark, open_cost_bytes):
         for start in range(0, len(folders), prefixes_per_job):
-            records = reduce(DataFrame.unionByName, [
-                raw_tree.read_raw_text(spark, os.path.join(raw_root, p))
-                .withColumn("prefix", F.lit(p)) for p in folders[start:start + prefixes_per_job]])
-            tagged = collate.collate_records(records, "_file_name", "prefix")
-            lines = tagged.withColumn("line", collate.copied_object("text", "file")).drop(
+            group = folders[start:start + prefixes_per_job]
+            records = raw_tree.read_raw_text(
+                spark, [os.path.join(raw_root, f) for f in group], folder_of=raw_root)
+            tagged = collate.tagged_records(records, "_file_name", "_folder").drop("_folder")
+            lines = tagged.withColumn("line", F.when(
+                F.col("parse_type").isNotNull(), collate.copied_object("text", "file"))).drop(
                 "text", "file")
+            storage.delete(spark, *_buckets(spark, out, group))
             # Written once, so that the range partitioner's two passes do not open raw files twice.
             with scratch_scope(spark):
-                writers.write_collection(materialize(lines, "collated-lines"), out)
+                written = materialize(lines, "collated-lines")
+                writers.write_collection(written.where("parse_type IS NOT NULL"), out)
+                _ledger_rows(written, group).write.mode("append").parquet(f"{out}/{LEDGER}")
     return folders
 
 
@@ -85,9 +114,9 @@ def _collection(spark: SparkSession, collection: str, schema, parse_type: str,
                 repartition: int | None) -> DataFrame:
     """Records of one parse type from what ``collate_tree`` wrote (``parse_type=…/prefix=…``) or
     from ``<bucket><suffix>.jsonl[.gz]`` files. No matching file is an error."""
-    if any(name.startswith("parse_type=") for name in _children(spark, collection)):
+    if any(name.startswith("parse_type=") for name in storage.children(spark, collection)):
         stored = {"papers": "paper"}.get(parse_type, parse_type)
-        if f"parse_type={stored}" not in _children(spark, collection):
+        if f"parse_type={stored}" not in storage.children(spark, collection):
             raise FileNotFoundError(f"no {parse_type} records in {collection}")
         df = jsonl.read_collated(spark, collection, schema, stored)
         return df.repartition(repartition) if repartition else df
@@ -100,7 +129,7 @@ def _collection(spark: SparkSession, collection: str, schema, parse_type: str,
 def extract_tables(spark: SparkSession, collection: str, out: str,
                    source_type: str | Sequence[str] = "pdf", strict: bool = True,
                    repartition: int | None = None, table_prefix: str | None = None,
-                   num_buckets: int = 1024) -> None:
+                   num_buckets: int = 1024, id_registry: str | None = None) -> None:
     """Collated JSONL → papers.parquet, and mentions.<type>.parquet and
     purpose_assessments.<type>.parquet for each source type.
 
@@ -113,6 +142,9 @@ def extract_tables(spark: SparkSession, collection: str, out: str,
     With ``table_prefix`` the tables are also registered in the catalog as ``<prefix>papers`` etc.,
     bucketed and sorted by ``paper_id`` (``num_buckets``), so later joins on ``paper_id`` need no
     shuffle (of several source types the names carry the type).
+    With ``id_registry`` (a folder) papers keep the ids of earlier runs and new papers are numbered
+    behind them (``operators.registry``); a UUID that several paper records share is then an error,
+    or, with ``strict=False``, one record stays and the others are among the rejected rows.
     """
     types = [source_type] if isinstance(source_type, str) else list(source_type)
     papers_in = _collection(spark, collection, PAPER_JSON, "papers", repartition)
@@ -135,7 +167,16 @@ def extract_tables(spark: SparkSession, collection: str, out: str,
         # give it the projected rows as Parquet rather than the gzip JSON.
         rows = spark.read.parquet(write_scratch(tables.paper_rows(papers_in, strict),
                                                 "paper-rows"))
-        core = spark.read.parquet(write_scratch(tables.paper_ids(rows), "papers-with-ids"))
+        if id_registry:
+            rows, repeated = tables.one_row_per_uuid(rows, strict)
+            if not strict:
+                writers.write_table(repeated, f"{out}/rejected.repeated_papers")
+            rows = materialize(rows, "papers-by-uuid")
+            held = registry.append_keys(rows, id_registry, order=["bucket", "source_uuid"])
+            with_ids = rows.join(held.drop("generation"), "source_uuid")
+        else:
+            with_ids = tables.paper_ids(rows)
+        core = spark.read.parquet(write_scratch(with_ids, "papers-with-ids"))
         ids = core.select("source_uuid", "paper_id")
         holders = None
         for t in types:
@@ -338,7 +379,7 @@ def residual_report(spark: SparkSession, raw_root: str, out: str | None = None,
         listing = raw_tree.list_files(spark, [os.path.join(raw_root, p) for p in group])
         collate.residual_files(listing, "name").write.mode(mode).parquet(out)
         mode = "append"
-    loose = [(os.path.join(raw_root, n), n) for n, is_dir in _entries(spark, raw_root)
+    loose = [(os.path.join(raw_root, n), n) for n, is_dir in storage.entries(spark, raw_root)
              if not is_dir]
     if loose:
         files = (spark.createDataFrame(loose, "path string, name string")

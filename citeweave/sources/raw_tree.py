@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from citeweave import storage
+
 
 def read_raw_tree(spark: SparkSession, root: str | list[str], schema: T.StructType | None = None,
                   glob: str = "*.json", mode: str = "FAILFAST") -> DataFrame:
@@ -27,13 +29,27 @@ def read_raw_tree(spark: SparkSession, root: str | list[str], schema: T.StructTy
             .withColumn("_file_path", F.col("_metadata.file_path")))
 
 
-def read_raw_text(spark: SparkSession, root: str | list[str], glob: str = "*.json") -> DataFrame:
+def top_folder(spark: SparkSession, root: str) -> Column:
+    """The folder directly under ``root`` that a scanned file lies in, from the scan's path (a URI,
+    with special characters in per cent form). One scan then serves any number of folders."""
+    depth = len([c for c in storage.uri_path(spark, root).split("/") if c])
+    parts = F.filter(F.split(F.regexp_replace(F.col("_metadata.file_path"),
+                                              "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), "/"),
+                     lambda c: c != "")
+    return F.url_decode(F.replace(F.element_at(parts, depth + 1), F.lit("+"), F.lit("%2B")))
+
+
+def read_raw_text(spark: SparkSession, root: str | list[str], glob: str = "*.json",
+                  folder_of: str | None = None) -> DataFrame:
     """Every ``glob``-matching file under ``root`` (recursively) as its whole text: ``text``,
-    ``_file_name``. No parsing, no schema."""
+    ``_file_name`` and, with ``folder_of``, ``_folder`` (see :func:`top_folder`). No parsing, no
+    schema."""
     # load, not text: that method's own default would override the option.
-    return (spark.read.format("text").option("wholetext", True)
-            .option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
-            .select(F.col("value").alias("text"), F.col("_metadata.file_name").alias("_file_name")))
+    scan = (spark.read.format("text").option("wholetext", True)
+            .option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root))
+    folder = [top_folder(spark, folder_of).alias("_folder")] if folder_of else []
+    return scan.select(F.col("value").alias("text"),
+                       F.col("_metadata.file_name").alias("_file_name"), *folder)
 
 
 @contextmanager
