@@ -24,6 +24,14 @@ def shared_folder(folder: str):
     return pafs.LocalFileSystem(), folder
 
 
+def free_name(name: str, *taken: list[str]) -> str:
+    """``name``, with underscores behind it until no column in ``taken`` has it."""
+    used = {c.lower() for columns in taken for c in columns}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once: a lambda variable, unlike a column alias, is
     never inlined by the optimizer into the inner loops that use it."""

@@ -108,13 +108,18 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     # An item takes part in the class of its own length or of the full span, never in a shorter.
     own = F.least(F.size("words"), F.lit(span_words))
     classes = _classes(F.col("words"), lengths, gram_words)
-    bench_windows = spark.read.parquet(write_scratch(
+    # One row per window and item: a prompt that many items share makes many rows, no long list.
+    window = ["length", "print", "content"]
+    bench_items = spark.read.parquet(write_scratch(
         _windows(item_rows.withColumn("own", own), classes, "item_id", "own")
-        .where("length = own")
-        .select("length", "print", _content().alias("content"), "item_id")
-        .groupBy("length", "print", "content")
-        .agg(F.array_sort(F.collect_set("item_id")).alias("item_ids")), "benchmark-windows"))
-    size = bench_windows.agg(F.sum(F.octet_length("content") + F.size("item_ids") * 16 + 64)).first()
+        .where("length = own").select("length", "print", _content().alias("content"), "item_id")
+        .distinct(), "benchmark-items"))
+    bench_windows = spark.read.parquet(write_scratch(
+        bench_items.select(*window).distinct()
+        .withColumn("window_id", F.monotonically_increasing_id()), "benchmark-windows"))
+    items_of = bench_items.where("item_id IS NOT NULL").join(bench_windows, window).select(
+        "window_id", "item_id")
+    size = bench_windows.agg(F.sum(F.octet_length("content") + 64)).first()
     small = (size[0] or 0) <= broadcast_bytes
     prints = bench_windows.select("length", "print").distinct()
 
@@ -138,12 +143,18 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
                 .select("id", "text_hash", "length", "at", "print", _content().alias("content")))
         matched = near.join(bench_windows, ["length", "print", "content"])
 
-    per_doc = (matched.groupBy(F.col("id").alias("hit_id"), F.col("text_hash").alias("hit_hash"))
-               .agg(F.array_sort(F.collect_set(F.struct(
-                        F.col("at").alias("start"),
-                        (F.col("at") + F.col("length")).alias("end")))).alias("windows"),
-                    F.array_sort(F.array_distinct(F.flatten(F.collect_set("item_ids"))))
-                    .alias("item_ids")))
+    hits = spark.read.parquet(write_scratch(
+        matched.select("id", "text_hash", "at", "length", "window_id"), "benchmark-hits"))
+    spans = hits.groupBy("id", "text_hash").agg(F.array_sort(F.collect_set(F.struct(
+        F.col("at").alias("start"), (F.col("at") + F.col("length")).alias("end"))))
+        .alias("windows"))
+    listed = (hits.select("id", "text_hash", "window_id").distinct().join(items_of, "window_id")
+              .select(F.col("id").alias("i_id"), F.col("text_hash").alias("i_hash"), "item_id")
+              .distinct().groupBy("i_id", "i_hash")
+              .agg(F.array_sort(F.collect_list("item_id")).alias("item_ids")))
+    per_doc = spans.join(listed, F.col("id").eqNullSafe(F.col("i_id"))
+                         & F.col("text_hash").eqNullSafe(F.col("i_hash")), "left").select(
+        F.col("id").alias("hit_id"), F.col("text_hash").alias("hit_hash"), "windows", "item_ids")
     out = counted.join(per_doc, F.col("id").eqNullSafe(F.col("hit_id"))
                        & F.col("text_hash").eqNullSafe(F.col("hit_hash")), "left")
     # The length of the union of the windows, which are sorted by their start.

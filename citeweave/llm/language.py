@@ -21,7 +21,7 @@ UNKNOWN = "und"
 ORDERS = (2, 3, 4)
 BUCKETS = 1 << 16
 DIMENSION = 16
-# The bound of the training sample: rows, and bytes of a row's text.
+# The bound of the training sample: rows, and bytes of a row's text (longer texts give a slice).
 SAMPLE_ROWS, SAMPLE_BYTES = 3000, 32768
 EPOCHS, BATCH, RATE = 6, 32, 0.4
 CALIBRATION_SHARE = 0.2
@@ -206,16 +206,22 @@ def held_out(doc_id: Column) -> Column:
 def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     lang_col: str = "lang", rows: int = SAMPLE_ROWS,
                     max_bytes: int = SAMPLE_BYTES) -> DataFrame:
-    """At most ``rows`` labelled rows with a text of at most ``max_bytes``, not held out, chosen by
-    the smallest hashes of their ids (a uniform sample that does not depend on the partitioning).
-    Ids and lengths are ranked first, so only chosen texts leave the scan."""
+    """At most ``rows`` labelled rows that are not held out, chosen by the smallest hashes of their
+    ids (a uniform sample that does not depend on the partitioning). Of a text of more than
+    ``max_bytes`` a slice of a quarter as many characters, at a place that the hash gives, is
+    learned from. Ids are ranked first, so only chosen texts leave the scan."""
     usable = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
                         & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
     rank = F.xxhash64(F.col(id_col), F.lit("language sample"))
     ranked = usable.select(rank.alias("rank"))
     cut = ranked.orderBy("rank").limit(rows).agg(F.max("rank")).first()[0]
-    return (usable.where(rank <= F.lit(cut)).where(F.octet_length(text_col) <= max_bytes)
-            .select(rank.alias("rank"), F.col(text_col).alias("text"),
+    # A character has four bytes at most.
+    part = max_bytes // 4
+    room = F.greatest(F.length(text_col) - part, F.lit(0)) + 1
+    cut_text = F.when(F.octet_length(text_col) <= max_bytes, F.col(text_col)).otherwise(
+        F.substr(F.col(text_col), F.pmod(rank, room).cast("int") + 1, F.lit(part)))
+    return (usable.where(rank <= F.lit(cut))
+            .select(rank.alias("rank"), cut_text.alias("text"),
                     F.col(lang_col).alias("lang")).orderBy("rank", "text", "lang").limit(rows))
 
 

@@ -8,14 +8,13 @@ document is another run than the first). Of all holders of a run each later docu
 the earliest one only: the number of pairs grows with the lines, not with the square of a group,
 and no frequency cap is needed.
 
-A pair is aligned by patience diff: lines are matched by content and occurrence (the k-th
-occurrence in one document with the k-th in the other, so that matches are unique), the longest
-increasing subsequence of the matches is the alignment, and its blocks - runs of neighbouring
-lines in both documents - of at least ``min_words`` words are deleted from the later document. What
-the alignment of a pair leaves is aligned by the shared runs themselves, each a chain of its own:
-every run that an earlier document holds is deleted, whatever order the blocks stand in and however
-often single lines of them are repeated. A document keeps the k-th copy of a run that no earlier
-document holds k times; the earliest document that holds a block always keeps it.
+A pair is aligned by patience diff, seeded with the runs they share: a run is matched by content and
+occurrence (the k-th copy in one document with the k-th in the other), so matches are unique. An
+alignment is a chain of matches that rises in both documents, and what one alignment leaves - blocks
+that stand in another order - is aligned again until no shared run is left: patience piles give all
+these chains in one pass. The blocks of each alignment are deleted from the later document. A
+document keeps the k-th copy of a run that no earlier document holds k times; the earliest document
+that holds a block always keeps it.
 """
 
 from __future__ import annotations
@@ -28,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citeweave.llm.common import free_name
 from citeweave.session import write_scratch
 
 MIN_WORDS = 20
@@ -112,6 +112,37 @@ def aligned_blocks(later: list[int], earlier: list[int]) -> list[tuple[int, int]
     return blocks
 
 
+def alignments(earlier: list[int]) -> list[list[int]]:
+    """Matches, given by their position in the earlier document in the order of the later one, as
+    the fewest chains that rise in both: each match goes behind the chain whose end is the nearest
+    below it."""
+    ends: list[int] = []
+    order: list[int] = []  # numbers of the chains by their ends
+    chains: list[list[int]] = []
+    for k, position in enumerate(earlier):
+        place = bisect_left(ends, position) - 1
+        if place < 0:
+            ends.insert(0, position)
+            order.insert(0, len(chains))
+            chains.append([k])
+        else:
+            ends[place] = position
+            chains[order[place]].append(k)
+    return chains
+
+
+def aligned_lines(seeds: list[tuple[int, int, int]]) -> list[int]:
+    """Lines of the later document that the alignments of a pair delete; a seed is a shared run:
+    its first and last line there, and its first line in the earlier document."""
+    seeds = sorted(set(seeds))
+    lines: set[int] = set()
+    for chain in alignments([e for _, _, e in seeds]):
+        mine = [seeds[k] for k in chain]
+        for first, last in aligned_blocks([f for f, _, _ in mine], [e for _, _, e in mine]):
+            lines.update(range(mine[first][0], mine[last][1] + 1))
+    return sorted(lines)
+
+
 def _doc(id_: Column | str, text_hash: Column | str) -> Column:
     """Order of documents: by id, null ids last, then by text."""
     id_ = F.col(id_) if isinstance(id_, str) else id_
@@ -156,62 +187,34 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.col("run.lasts").alias("last"))
     # A run's earliest holder; runs with one holder end here.
     earliest = spark.read.parquet(write_scratch(
-        runs.groupBy("run").agg(F.min("doc").alias("earlier"), F.max("doc").alias("latest"))
-        .where("earlier != latest").select("run", "earlier"), "dedup-runs"))
-    copies = spark.read.parquet(write_scratch(
-        runs.join(earliest.hint("merge"), "run").where("doc != earlier")
-        .select("doc", "earlier", "first", "last"), "dedup-copies"))
-    pairs = copies.select("doc", "earlier").distinct()
-
-    rows = lines.select(
-        _doc("id", "text_hash").alias("doc"),
-        F.posexplode(F.arrays_zip("numbers", "keys", "words")).alias("at", "line")).select(
-        "doc", "at", "line.*").distinct()
-    matches = (pairs.join(rows.hint("merge"), "doc")
-               .join(rows.select(F.col("doc").alias("earlier"), F.col("at").alias("earlier_at"),
-                                 "keys").hint("merge"), ["earlier", "keys"]))
-    per_pair = matches.groupBy("doc", "earlier").agg(F.array_sort(F.collect_list(
-        F.struct("at", "earlier_at", "numbers", "words"))).alias("found")).select(
-        "doc", "found.at", "found.earlier_at", "found.numbers", "found.words")
+        runs.groupBy("run").agg(F.min(F.struct("doc", "first")).alias("holder"),
+                                F.max("doc").alias("latest"))
+        .where("holder.doc != latest").select(
+            "run", F.col("holder.doc").alias("earlier"), F.col("holder.first").alias("start")),
+        "dedup-runs"))
+    seeds = (runs.join(earliest.hint("merge"), "run").where("doc != earlier")
+             .groupBy("doc", "earlier")
+             .agg(F.collect_set(F.struct("first", "last", "start")).alias("seeds")))
+    # Rows that repeat a document give its lines again; the lines are listed once per document.
+    own = lines.select(_doc("id", "text_hash").alias("doc"), "numbers", "words")
+    pairs = own.join(seeds.hint("merge"), "doc").select("doc", "seeds", "numbers", "words")
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs_, numbers, counts = [], [], []
             for k in range(batch.num_rows):
-                at, earlier, number, words = (batch.column(c)[k].as_py() for c in range(1, 5))
-                for first, last in aligned_blocks(at, earlier):
-                    if sum(words[first:last + 1]) >= min_words:
-                        docs_ += [k] * (last + 1 - first)
-                        numbers += number[first:last + 1]
-                        counts += words[first:last + 1]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(docs_, pa.int32())),
-                 pa.array(numbers, pa.int32()), pa.array(counts, pa.int32())],
-                ["doc", "line", "words"])
-
-    spans = copies.groupBy("doc").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
-    per_doc = lines.select(_doc("id", "text_hash").alias("doc"), "numbers", "words").join(
-        spans.hint("merge"), "doc").select("doc", "spans.first", "spans.last", "numbers", "words")
-
-    def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            docs_, numbers, counts = [], [], []
-            for k in range(batch.num_rows):
-                first, last, number, words = (batch.column(c)[k].as_py() for c in range(1, 5))
-                done = 0
-                for a, b in sorted(zip(first, last)):
-                    for at in range(max(a, done), b + 1):
-                        docs_.append(k)
-                        numbers.append(number[at])
-                        counts.append(words[at])
-                    done = max(done, b + 1)
+                found, number, words = (batch.column(c)[k].as_py() for c in range(1, 4))
+                for at in aligned_lines([(s["first"], s["last"], s["start"]) for s in found]):
+                    docs_.append(k)
+                    numbers.append(number[at])
+                    counts.append(words[at])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(docs_, pa.int32())),
                  pa.array(numbers, pa.int32()), pa.array(counts, pa.int32())],
                 ["doc", "line", "words"])
 
     deleted = f"doc struct<unknown:boolean,id:{id_type},hash:long>, line int, words int"
-    return (per_pair.mapInArrow(align, deleted).union(per_doc.mapInArrow(cover, deleted)).distinct()
+    return (pairs.mapInArrow(align, deleted).distinct()
             .groupBy("doc").agg(F.array_sort(F.collect_list("line")).alias("lines"),
                                 F.sum("words").alias("words"))
             .select("doc.id", F.col("doc.hash").alias("text_hash"), "lines", "words"))
@@ -220,17 +223,18 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                            min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` (all columns) with the repeated lines deleted from the text, and ``lines_deleted``
-    and ``words_deleted`` added. A document that loses all its lines has an empty text."""
-    gone = repeated_lines(docs, id_col, text_col, min_words).select(
-        F.col("id").alias("gone_id"), F.col("text_hash").alias("gone_hash"),
-        F.col("lines").alias("gone_lines"), F.col("words").alias("gone_words"))
+    and ``words_deleted`` added (columns of ``docs`` that have these names are replaced). A document
+    that loses all its lines has an empty text."""
+    id_name, hash_name, lines_name, words_name = names = [
+        free_name(n, docs.columns) for n in ("gone_id", "gone_hash", "gone_lines", "gone_words")]
+    gone = repeated_lines(docs, id_col, text_col, min_words).toDF(*names)
     left = F.filter(F.split(F.col(text_col), "\n", -1),
-                    lambda line, k: ~F.array_contains("gone_lines", k))
+                    lambda line, k: ~F.array_contains(lines_name, k))
     # Deleted lines may be many; texts are joined by sort-merge at every size.
-    return (docs.join(gone.hint("merge"), docs[id_col].eqNullSafe(F.col("gone_id"))
-                      & F.xxhash64(docs[text_col]).eqNullSafe(F.col("gone_hash")), "left")
-            .withColumn(text_col, F.when(F.col("gone_lines").isNull(), F.col(text_col))
+    return (docs.join(gone.hint("merge"), docs[id_col].eqNullSafe(F.col(id_name))
+                      & F.xxhash64(docs[text_col]).eqNullSafe(F.col(hash_name)), "left")
+            .withColumn(text_col, F.when(F.col(lines_name).isNull(), F.col(text_col))
                         .otherwise(F.array_join(left, "\n")))
-            .withColumn("lines_deleted", F.coalesce(F.size("gone_lines"), F.lit(0)).cast("long"))
-            .withColumn("words_deleted", F.coalesce("gone_words", F.lit(0)).cast("long"))
-            .drop("gone_id", "gone_hash", "gone_lines", "gone_words"))
+            .withColumn("lines_deleted", F.coalesce(F.size(lines_name), F.lit(0)).cast("long"))
+            .withColumn("words_deleted", F.coalesce(words_name, F.lit(0)).cast("long"))
+            .drop(*names))

@@ -13,13 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citeweave.llm.common import NON_SPACE
+from citeweave.llm.common import NON_SPACE, free_name
 from citeweave.operators.keys import dense_ids
 from citeweave.session import write_scratch
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 SEED = 20
+PLAN_COLUMNS = ("mix_size", "mix_source_size", "mix_target", "mix_copies")
 
 
 def word_count(text: Column) -> Column:
@@ -67,33 +68,47 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              source_col: str = "source", weights: Sequence[int] = WEIGHTS,
              max_repeats: int = MAX_REPEATS, seed: int = SEED) -> DataFrame:
     """``docs`` (all columns) with ``mix_size``, ``mix_source_size``, ``mix_target`` and
-    ``mix_copies``, the number of times the mix takes the row.
+    ``mix_copies``, the number of times the mix takes the row. Columns of ``docs`` that have one of
+    these names are replaced.
 
     A row's draw depends on the seed and its id only (rows that repeat an id decide alike); a null
     id draws by its text. A null source is a source of its own; null and empty texts have size 0
     and are taken by the same rule. If all texts are empty nothing is taken.
     """
-    sized = docs.withColumn("mix_size", word_count(F.col(text_col)))
+    plain = docs.drop(*[c for c in docs.columns if c.lower() in PLAN_COLUMNS])
+    return _planned(plain, PLAN_COLUMNS, id_col, text_col, source_col, weights, max_repeats, seed)
+
+
+def _planned(docs: DataFrame, names: Sequence[str], id_col: str, text_col: str, source_col: str,
+             weights: Sequence[int] = WEIGHTS, max_repeats: int = MAX_REPEATS,
+             seed: int = SEED) -> DataFrame:
+    """``docs`` with the plan's columns under ``names``, none of which ``docs`` has."""
+    size, source_size, target, copies = names
+    source, rate = (free_name(n, docs.columns, names) for n in ("mix_source", "mix_rate"))
+    sized = docs.withColumn(size, word_count(F.col(text_col)))
     targets = source_targets(sized.groupBy(F.col(source_col).alias("source"))
-                             .agg(F.sum("mix_size").alias("source_size")), weights, max_repeats)
-    targets = targets.select(F.col("source").alias("mix_source"),
-                             F.col("source_size").alias("mix_source_size"),
-                             F.col("target").alias("mix_target"), F.col("rate").alias("mix_rate"))
+                             .agg(F.sum(size).alias("source_size")), weights, max_repeats)
+    targets = targets.select(F.col("source").alias(source),
+                             F.col("source_size").alias(source_size),
+                             F.col("target").alias(target), F.col("rate").alias(rate))
     key = F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text_col), F.lit(""))))
     # 52 bits of a digest as a number in [0, 1).
     draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key)), 1, 13), 16, 10).cast(
         "double") / F.lit(float(1 << 52))
     # One row per source: the planner broadcasts the targets while they are small.
-    return (sized.join(targets, F.col(source_col).eqNullSafe(F.col("mix_source")), "left")
-            .withColumn("mix_copies", (F.floor("mix_rate") + F.when(
-                draw < F.col("mix_rate") - F.floor("mix_rate"), 1).otherwise(0)).cast("int"))
-            .drop("mix_source", "mix_rate"))
+    return (sized.join(targets, F.col(source_col).eqNullSafe(F.col(source)), "left")
+            .withColumn(copies, (F.floor(rate) + F.when(
+                draw < F.col(rate) - F.floor(rate), 1).otherwise(0)).cast("int"))
+            .drop(source, rate))
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           source_col: str = "source", **options) -> DataFrame:
-    """The mix itself: each row of ``docs`` (all columns) as often as the plan takes it."""
-    plan = mix_plan(docs, id_col, text_col, source_col, **options)
-    return (plan.where("mix_copies > 0")
-            .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
+    """The mix itself: each row of ``docs`` (all columns, whatever their names, unchanged) as often
+    as the plan takes it."""
+    names = [free_name(n, docs.columns) for n in PLAN_COLUMNS]
+    plan = _planned(docs, names, id_col, text_col, source_col, **options)
+    copies = F.sequence(F.lit(1), F.col(names[-1]))
+    return (plan.where(F.col(names[-1]) > 0)
+            .withColumn(free_name("mix_copy", plan.columns), F.explode(copies))
             .select(*[plan[c] for c in docs.columns]))

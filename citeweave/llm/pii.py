@@ -97,9 +97,11 @@ DIGIT_WORDS = (
 _DIGIT_OF = {word: str(k) for words in DIGIT_WORDS for k, word in enumerate(words)}
 _DIGIT_WORD = "(?:" + "|".join(sorted(_DIGIT_OF, key=len, reverse=True)) + ")"
 # A run of at least three single digits of which one at least is spelled.
+# Single digits are taken as whole runs, also those that no spelled word follows ("rest" is then
+# missing): no digit is the start of another attempt.
 _SPELLED = re.compile(rf"(?i)\b(?:plus[ -]+)?{_DIGIT_WORD}(?:[ -]+(?:{_DIGIT_WORD}|[0-9])\b){{2,}}"
-                      rf"|(?<![\w])[0-9](?:[ -]+[0-9])*[ -]+{_DIGIT_WORD}"
-                      rf"(?:[ -]+(?:{_DIGIT_WORD}|[0-9])\b)+"
+                      rf"|(?P<digits>(?<![\w])[0-9](?:[ -]+[0-9])*+)"
+                      rf"(?P<rest>[ -]+{_DIGIT_WORD}(?:[ -]+(?:{_DIGIT_WORD}|[0-9])\b)+)?"
                       rf"|\b{_DIGIT_WORD}(?:[ -]+{_DIGIT_WORD}\b)*(?= +dot +|\.)"
                       rf"|(?<=\bdot ){_DIGIT_WORD}\b(?:[ -]+{_DIGIT_WORD}\b)*")
 # Of a disguised identifier at least two neighbouring words are of these, whatever stands around
@@ -108,17 +110,19 @@ _SPOKEN = frozenset([*_DIGIT_OF, *"0123456789", "dot", "plus"])
 _SPELLED_TOKEN = re.compile(rf"(?i)\bplus\b[ -]*|{_DIGIT_WORD}\b|[ -]+|[0-9]")
 _AT = r"(?:at|ät|arroba|@)"
 _DOT = r"(?:dot|punkt|point|punto|\.)"
+# Words that end no address: "at noon dot the end" is text.
+_NO_LABEL = r"(?!(?:the|and|that|this|these|those|for|with|but|then|when|our|your|their|his|her)\b)"
 # Bracketed forms stand for the sign anywhere; a bare " at " only where bare or bracketed dots
 # make the domain, so that "look at example.com" stays text.
 _SIGNS = re.compile(
     rf"(?i)(?P<at>\s?[\[({{<]\s?{_AT}\s?[\])}}>]\s?)"
     rf"|(?P<dot>\s?[\[({{<]\s?{_DOT}\s?[\])}}>]\s?)"
-    rf"|(?<=[a-z0-9])(?P<bare_at> at )(?=[a-z0-9-]+(?: dot | ?[\[({{<]\s?{_DOT}\s?[\])}}>] ?)[a-z0-9])"
-    rf"|(?<=[a-z0-9])(?P<bare_dot> +dot +)(?=[a-z0-9])")
+    rf"|(?<=[a-z0-9])(?P<bare_at> at )(?=[a-z0-9-]+(?: dot {_NO_LABEL}| ?[\[({{<]\s?{_DOT}\s?[\])}}>] ?)[a-z0-9])"
+    rf"|(?<=[a-z0-9])(?P<bare_dot> +dot +){_NO_LABEL}(?=[a-z0-9])")
 
 # The bare words of the other languages count only in a whole spelled address. "at ... point" stays
 # text ("at this point in time"): a bare "point" needs an at that no English text has.
-_BARE_DOT = r" +(?:dot|punkt|point|punto) +"
+_BARE_DOT = rf" +(?:dot|punkt|point|punto) +{_NO_LABEL}"
 _BRACKET_DOT = rf"\s?[\[({{<]\s?{_DOT}\s?[\])}}>]\s?"
 _BARE_ADDRESS = re.compile(
     rf"(?i)(?<=[a-z0-9])(?:(?P<at> (?:at|ät|arroba|arr?obase) )"
@@ -196,6 +200,8 @@ def _digit_edits(text: str) -> list[tuple[int, int, str]]:
         return []
     edits = []
     for m in _SPELLED.finditer(text):
+        if m["digits"] and not m["rest"]:
+            continue
         tokens = list(_SPELLED_TOKEN.finditer(text, m.start(), m.end()))
         for t in tokens:
             word = t[0].lower()

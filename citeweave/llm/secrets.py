@@ -37,29 +37,47 @@ WEAK = (
 )
 KINDS = [k[0] for k in STRONG] + [k[0] for k in WEAK]
 _SPANS = "array<struct<start:bigint,end:bigint>>"
+# Matches folded together: a list grows by copying, so it is kept short and lists are joined once.
+BLOCK = 256
 
 
 def _spans(text: Column, pattern: str, group: int = 0, at_least: int = 0) -> Column:
     """Code-point spans of the leftmost, non-overlapping matches; those whose ``group`` is shorter
     than ``at_least`` are dropped without a retry. Matches and the pieces between them come from
-    the same pattern, so their lengths add up to positions."""
+    the same pattern, so their lengths add up to positions: inside blocks of matches first, then
+    over the blocks, so the work grows with the text however many matches it has."""
     regex = F.lit(pattern)
     zipped = F.arrays_zip(
         F.split(text, pattern, -1).alias("gap"),
         F.regexp_extract_all(text, regex, F.lit(0)).alias("match"),
         F.regexp_extract_all(text, regex, F.lit(group)).alias("value"))
-    step = F.aggregate(
-        zipped, F.struct(F.lit(0).cast("bigint").alias("at"),
-                         F.array().cast(_SPANS).alias("found")),
-        lambda done, m: let(
-            F.struct((done["at"] + F.length(m["gap"])).alias("start"),
-                     (done["at"] + F.length(m["gap"]) + F.length(m["match"])).alias("end")),
-            lambda s: F.struct(
-                F.coalesce(s["end"], s["start"]).alias("at"),
-                F.when(F.length(m["value"]) >= at_least, F.concat(done["found"], F.array(s)))
-                .otherwise(done["found"]).alias("found"))))
+    zero = F.lit(0).cast("bigint").alias("at")
+
+    def in_block(matches: Column) -> Column:
+        return F.aggregate(
+            matches, F.struct(zero, F.array().cast(_SPANS).alias("found")),
+            lambda done, m: let(
+                F.struct((done["at"] + F.length(m["gap"])).alias("start"),
+                         (done["at"] + F.length(m["gap"]) + F.length(m["match"])).alias("end")),
+                lambda s: F.struct(
+                    F.coalesce(s["end"], s["start"]).alias("at"),
+                    F.when(F.length(m["value"]) >= at_least, F.concat(done["found"], F.array(s)))
+                    .otherwise(done["found"]).alias("found"))))
+
+    def moved(spans: Column, by: Column) -> Column:
+        return F.transform(spans, lambda s: F.struct((s["start"] + by).alias("start"),
+                                                     (s["end"] + by).alias("end")))
+
+    blocks = let(zipped, lambda z: F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(z) - 1) / BLOCK).cast("int")),
+        lambda k: in_block(F.slice(z, k * BLOCK + 1, BLOCK))))
+    joined = F.aggregate(
+        blocks, F.struct(zero, F.array().cast(f"array<{_SPANS}>").alias("parts")),
+        lambda done, b: F.struct(
+            (done["at"] + b["at"]).alias("at"),
+            F.concat(done["parts"], F.array(moved(b["found"], done["at"]))).alias("parts")))
     return F.when(F.rlike(text, F.lit(pattern if group else _bounded(pattern, at_least))),
-                  step["found"]).otherwise(F.array().cast(_SPANS))
+                  F.flatten(joined["parts"])).otherwise(F.array().cast(_SPANS))
 
 
 def _bounded(pattern: str, at_least: int) -> str:
@@ -115,11 +133,14 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                      F.floor(F.col("part.start") / scope).alias("bucket"))
              .withColumn("end_bucket", F.floor(F.col("end") / scope)))
     # What lies in each bucket: parts are listed in every bucket they touch.
+    # Strong spans of a kind do not overlap and have a least length, so few touch one bucket.
     cover = (parts.withColumn("bucket", F.explode(F.sequence("bucket", "end_bucket")))
              .groupBy("id", "text_hash", "role", "bucket")
-             .agg(F.min("start").alias("first"), F.max("end").alias("last")))
+             .agg(F.min("start").alias("first"), F.max("end").alias("last"),
+                  F.collect_set(F.when(F.col("kind") < len(STRONG), F.struct("start", "end")))
+                  .alias("strong_spans")))
     near = cover.select(F.col("id").alias("c_id"), F.col("text_hash").alias("c_hash"),
-                        F.col("role").alias("c_role"), "first", "last",
+                        F.col("role").alias("c_role"), "first", "last", "strong_spans",
                         F.explode(F.sequence(F.col("bucket") - 1, F.col("bucket") + 1))
                         .alias("c_bucket"))
     asked = (parts.where(F.col("kind") >= len(STRONG))
@@ -127,24 +148,25 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     supported = (asked.join(near, F.col("id").eqNullSafe(F.col("c_id"))
                             & (F.col("text_hash") == F.col("c_hash"))
                             & (F.col("bucket") == F.col("c_bucket"))
-                            & (F.col("role") != F.col("c_role"))
                             & (F.col("first") <= F.col("end") + scope)
                             & (F.col("last") >= F.col("start") - scope), "left")
                  .groupBy("id", "text_hash", "kind", "role", "start", "end")
-                 .agg(F.collect_set("c_role").alias("others")))
+                 .agg(F.collect_set(F.when(F.col("role") != F.col("c_role"), F.col("c_role")))
+                      .alias("others"),
+                      F.coalesce(F.bool_or(F.exists("strong_spans", lambda s: (
+                          s["start"] < F.col("end")) & (F.col("start") < s["end"]))), F.lit(False))
+                      .alias("covered")))
     has = lambda role: F.array_contains("others", role)
-    linked = (supported.where(
+    linked = (supported.where(~F.col("covered")).where(
         F.when(F.col("role") == "identifier", has("secret"))
         .when(F.col("role") == "secret", has("identifier") | has("endpoint"))
         .otherwise(has("identifier") & has("secret")))
         .groupBy(F.col("id").alias("l_id"), F.col("text_hash").alias("l_hash"))
         .agg(F.collect_list(F.struct("start", "kind", "end")).alias("candidates")))
-    clear = F.filter("candidates", lambda c: ~F.exists(
-        "strong", lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])))
     return (found.join(linked, F.col("id").eqNullSafe(F.col("l_id"))
                        & (F.col("text_hash") == F.col("l_hash")), "left")
             .select("id", _by_start(F.col("strong")).alias("base"),
-                    F.coalesce(F.array_sort(clear),
+                    F.coalesce(F.array_sort("candidates"),
                                F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>"))
                     .alias("linked")))
 

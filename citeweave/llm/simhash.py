@@ -150,7 +150,9 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) ->
     if max_bits > 4:
         raise ValueError("the grid finds links of at most 4 bits")
     spark = fps.sparkSession
-    cells = grid_cells(fps)
+    # Each fingerprint has some 45 cells: few read tasks must not write them all.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cells = grid_cells(fps.repartition(parts, "fp"))
     shared = write_scratch(cells.groupBy("cell").agg(
         F.count("*").alias("n"), F.min("fp").alias("u"), F.max("fp").alias("v")).where("n > 1"),
         "simhash-cells")
