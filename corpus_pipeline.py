@@ -8,11 +8,13 @@ All stages but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from citeweave.llm import decontaminate, language, mixing, simhash, token_shards
 from citeweave.llm.common import table
-from citeweave.session import materialize
+from citeweave.session import release_scratch, scratch_path, scratch_scope
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,8 +61,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the ``documents`` table; the rows of the last one."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the ``documents`` table; the rows of the last one.
+
+    A stage's own scratch tables go when its table is written, and that table goes when the next
+    stage is done: of the scratch folder only the shards and their list, which the result reads,
+    are left.
+    """
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        path = scratch_path(spark, f"pipeline-{name}-{uuid.uuid4().hex}")
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        release_scratch(spark, *before)
+        docs, before = spark.read.parquet(path), [path]
+    shards = STAGES[-1][1](spark, docs, sf_dir)
+    release_scratch(spark, *before)
+    return shards
