@@ -107,6 +107,15 @@ def sort_by_uuid(records: DataFrame, file_col: str = "file",
     return records.orderBy(uuid_sort_key(file_col), *tiebreak)
 
 
+def last_at(records: DataFrame, key: str, position: str) -> DataFrame:
+    """The record of each key that has its greatest ``position``, a number no two records of a key
+    share. Two phases: the greatest position per key is a hash aggregate of two narrow columns, then
+    records are joined on key and position, so a very common key is spread by its positions and no
+    whole record is ever aggregated. ``records`` is read twice: give it a written table."""
+    last = records.groupBy(key).agg(F.max(position).alias(position))
+    return records.join(last, [key, position])
+
+
 def last_by_key(records: DataFrame, key: Column | str, position: Column | str | Sequence[str],
                 alias: str = "key") -> DataFrame:
     """The last record of each key by ``position`` (later reads win).

@@ -11,6 +11,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from citeweave.operators.keys import dense_ids
 from citeweave.schemas import DEFAULT_MIN_SUPPORT, GENERIC_SOFTWARE_NAMES
 from citeweave.session import materialize
 
@@ -108,7 +109,8 @@ def co_occurrence_counts(df: DataFrame, owner: str = "paper_id",
                          min_item_support: int = DEFAULT_MIN_SUPPORT,
                          min_pair_support: int = DEFAULT_MIN_SUPPORT,
                          block_size: int = 2048, left: str = "item_a", right: str = "item_b",
-                         alias: str = "n", materialize_pairs: bool = True) -> DataFrame:
+                         alias: str = "n", materialize_pairs: bool = True,
+                         encode: bool | None = None) -> DataFrame:
     """Number of owners holding both items, for every unordered item pair (left < right).
 
     1. A-priori pruning: only items with ``min_item_support`` owners can take part. The pruned
@@ -126,12 +128,26 @@ def co_occurrence_counts(df: DataFrame, owner: str = "paper_id",
        * otherwise (or with no pair threshold): every owner's pairs are formed in hash blocks
          (see :func:`_pairs_in_blocks`), so a heavy owner is spread over many tasks.
     3. Pair counts are pre-aggregated in each task before the shuffle on the pair.
+
+    Items that are texts (or with ``encode``) go through all of this as integers: a dictionary
+    numbers the supported items by falling support, and only the result is decoded. It needs an
+    item threshold, without which the dictionary would hold every item there is.
     """
     pairs = owner_item_set(df, owner, item, stop_list)
+    codes = None
     if min_item_support and min_item_support > 1:
         supported = (pairs.groupBy(item).agg(F.count(F.lit(1)).alias("_s"))
-                     .where(F.col("_s") >= min_item_support).select(item))
-        pairs = pairs.join(supported, item, "left_semi")
+                     .where(F.col("_s") >= min_item_support))
+        if encode is None:
+            encode = df.schema[item].dataType.simpleString() == "string"
+        if encode:
+            supported = materialize(supported, "supported-items")
+            codes = dense_ids(supported, [F.desc("_s"), F.asc(item)], "_code").select(
+                F.col(item).alias("_name"), F.col("_code").cast("int").alias("_code"))
+            pairs = pairs.join(codes.withColumnRenamed("_name", item), item).select(owner, "_code")
+            item = "_code"
+        else:
+            pairs = pairs.join(supported.select(item), item, "left_semi")
     if materialize_pairs:
         pairs = materialize(pairs, "co-occurrence-pairs")
 
@@ -156,7 +172,14 @@ def co_occurrence_counts(df: DataFrame, owner: str = "paper_id",
                           (F.col("_n") + F.coalesce(F.col("_h"), F.lit(0))).alias(alias)))
     else:
         counts = _pairs_in_blocks(pairs, owner, item, block_size, left, right, alias)
-    return counts.where(F.col(alias) >= threshold) if threshold else counts
+    if threshold:
+        counts = counts.where(F.col(alias) >= threshold)
+    if codes is None:
+        return counts
+    a, b = (codes.select(F.col("_code").alias(c), F.col("_name").alias(n))
+            for c, n in ((left, "_a"), (right, "_b")))
+    return counts.join(a, left).join(b, right).select(
+        F.least("_a", "_b").alias(left), F.greatest("_a", "_b").alias(right), alias)
 
 
 def ranked_counts(counts_df: DataFrame, name: str, alias: str = "n") -> DataFrame:

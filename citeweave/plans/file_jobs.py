@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from citeweave.operators import registry
+from citeweave.operators import counts, registry
 from citeweave.operators.keys import dense_ids
 from citeweave.plans import analogues as A
 from citeweave.plans import jobs
@@ -141,13 +141,67 @@ def registered_ids(spark, d):
     return held
 
 
+def rejected_files(spark, d):
+    """A tree with files that are not one JSON object: what a lenient collation leaves out."""
+    pages = A.table(spark, d, "pages").select("page_id", "url", "html")
+    text = (F.when(F.col("page_id") % 5 == 0, F.lit('{"page_id":'))
+            .when(F.col("page_id") % 5 == 1, F.lit("[1, 2]"))
+            .otherwise(F.to_json(F.struct("page_id", "html"))))
+    root, out = _folder(spark, "raw-tree"), _folder(spark, "collection")
+    write_files(pages.join(A._page_file_names(spark, d), "page_id").select(
+        F.concat_ws("/", F.substring(A._uuid_of(F.col("url")), 1, 1), "page_id", "name")
+        .alias("path"), text.alias("text")), root)
+    jobs.collate_tree(spark, root, out, strict=False)
+    return jobs.rejected_files(spark, out).select("folder", "parse_type", "file", "reason")
+
+
+def rejected_lines(spark, d):
+    """Lines that a lenient sort leaves out."""
+    src, out, bad = (_folder(spark, n) for n in ("lines", "sorted", "rejected"))
+    docs = A.table(spark, d, "documents").select("doc_id", A._uuid_of(F.col("doc_id")).alias("u"))
+    docs.select(F.concat(
+        F.lit('{"doc_id":'), F.col("doc_id").cast("string"), F.lit(',"file":'),
+        F.when(F.col("doc_id") % 4 == 0, F.lit('"none"}')).when(F.col("doc_id") % 4 == 1, F.lit(""))
+        .otherwise(F.concat(F.lit('"'), "u", F.lit('.json"}')))).alias("value")).write.text(src)
+    jobs.sort_jsonl(spark, src, out, rejected=bad)
+    kept = spark.read.text(out).select(F.get_json_object("value", "$.doc_id").cast("long")
+                                       .alias("doc_id"), F.lit(None).cast("string").alias("reason"))
+    return kept.unionByName(spark.read.parquet(bad).select(
+        F.regexp_extract("value", "[0-9]+", 0).cast("long").alias("doc_id"), "reason"))
+
+
+def last_lines(spark, d):
+    """The last record of each UUID over two folders of JSON lines, in order."""
+    src, out = _folder(spark, "lines"), _folder(spark, "sorted")
+    docs = A.table(spark, d, "documents").select("doc_id", "lang", "text", F.concat(
+        A._uuid_of(F.col("doc_id")), F.lit(".json")).alias("file"))
+    docs.write.json(f"{src}/a")
+    docs.where("lang = 'en'").withColumn("text", F.md5("text")).write.json(f"{src}/b")
+    jobs.sort_jsonl(spark, src, out, last_only=True)
+    lines = spark.read.text(out).select(
+        F.col("_metadata.file_name").alias("name"), F.monotonically_increasing_id().alias("at"),
+        F.from_json("value", "doc_id long, text string").alias("r"))
+    # gzip files are read whole, each in one task: its rows count up in the order of its lines.
+    return dense_ids(lines.select("name", "at", "r.doc_id", F.md5("r.text").alias("text_md5")),
+                     ["name", "at"], id_col="position").select("position", "doc_id", "text_md5")
+
+
+def co_words(spark, d):
+    """Pairs of words (texts as items, so encoded) that share enough documents."""
+    words = A.table(spark, d, "documents").select(
+        "doc_id", F.explode(F.split("text", " ")).alias("word")).where("word != ''")
+    return counts.co_occurrence_counts(words, "doc_id", "word", None, WORD_SUPPORT, WORD_SUPPORT,
+                                       left="word_a", right="word_b")
+
+
 # The value of the key whose type differs between documents (the strict job would stop there).
 MIXED_VALUE = '"mixed":("[a-z]*"|[0-9]+)'
+WORD_SUPPORT = 250
 APPENDS = ("1997-01-01", "1999-06-01", None)
 
 QUERIES = {f.__name__: f for f in (
     collated_tree, collation_ledger, residual_tree, converted_mentions, profile_report,
-    licence_report, registered_ids)}
+    licence_report, registered_ids, rejected_files, rejected_lines, last_lines, co_words)}
 
 
 def oracle(base: dict[str, str]) -> dict[str, str]:
@@ -190,6 +244,26 @@ def oracle(base: dict[str, str]) -> dict[str, str]:
                   LEFT JOIN recs r ON r.code = t.license GROUP BY 1)
             SELECT row_number() OVER (ORDER BY n DESC, licence_name) AS rank,
                    licence_name || ';' || n AS line FROM c""",
+        "rejected_files": f"""
+            SELECT substr(folder, 1, 1) AS folder, parse_type, name AS file,
+                   CASE page_id % 5 WHEN 0 THEN 'malformed JSON' ELSE 'not a JSON object' END
+                     AS reason
+            FROM ({named}) WHERE parse_type IS NOT NULL AND page_id % 5 < 2""",
+        "rejected_lines": """
+            SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'no UUID in file'
+                                WHEN 1 THEN 'malformed JSON' END AS reason FROM documents""",
+        "last_lines": f"""
+            SELECT row_number() OVER (ORDER BY {O._uuid_sql('doc_id')}) AS position, doc_id,
+                   md5(CASE WHEN lang = 'en' THEN md5(text) ELSE text END) AS text_md5
+            FROM documents""",
+        "co_words": f"""
+            WITH p AS (SELECT DISTINCT doc_id, unnest(string_split(text, ' ')) AS w FROM documents),
+                 s AS (SELECT * FROM p WHERE w IN (
+                           SELECT w FROM p WHERE w <> '' GROUP BY w
+                           HAVING count(*) >= {WORD_SUPPORT}))
+            SELECT a.w AS word_a, b.w AS word_b, count(*) AS n
+            FROM s a JOIN s b ON a.doc_id = b.doc_id AND a.w < b.w
+            GROUP BY 1, 2 HAVING count(*) >= {WORD_SUPPORT}""",
         "registered_ids": f"""
             SELECT source_uuid, row_number() OVER (ORDER BY generation, source_uuid) AS paper_id,
                    generation

@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeweave import storage
-from citeweave.operators import (analyses, collate, counts, identifiers, profile, registry,
-                                 sampling, slim, tables)
+from citeweave.operators import (analyses, collate, counts, identifiers, profile, quarantine,
+                                 registry, sampling, slim, tables)
+from citeweave.operators.keys import dense_ids
 from citeweave.schemas import (DEFAULT_MIN_SUPPORT, DEFAULT_SAMPLE_FRACTIONS, GENERIC_SOFTWARE_NAMES,
-                               MENTION_JSON, PAPER_JSON)
+                               MENTION_JSON, PAPER_JSON, TABLE_COMMENTS)
 from citeweave.sinks import writers
 from citeweave.sources import jsonl, raw_tree
 from citeweave.sources import tables as table_sources
@@ -34,7 +35,7 @@ def _folder_groups(spark: SparkSession, raw_root: str, size: int) -> list[list[s
 
 # JOB-1 -----------------------------------------------------------------------------------------
 
-LEDGER = "_ledger"
+LEDGER, REJECTED = "_ledger", "_rejected"
 
 
 def collation_ledger(spark: SparkSession, out: str) -> DataFrame:
@@ -64,16 +65,20 @@ def _buckets(spark: SparkSession, out: str, folders: Sequence[str]) -> list[str]
     """Paths of the buckets that a collection holds of these folders."""
     return [f"{out}/{t}/{p}" for t in storage.children(spark, out) if t.startswith("parse_type=")
             for p in storage.children(spark, f"{out}/{t}")
-            if unquote(p.removeprefix("prefix=")) in folders]
+            if unquote(p.removeprefix("prefix=")) in folders] + [
+        f"{out}/{REJECTED}/{p}" for p in storage.children(spark, f"{out}/{REJECTED}")
+        if unquote(p.removeprefix("folder=")) in folders]
 
 
 def collate_tree(spark: SparkSession, raw_root: str, out: str, resume: bool = True,
-                 prefixes_per_job: int = 8, open_cost_bytes: int = 64 * 1024) -> list[str]:
+                 prefixes_per_job: int = 8, open_cost_bytes: int = 64 * 1024,
+                 strict: bool = True) -> list[str]:
     """Raw tree → JSONL partitioned by parse type and top-level folder; returns the folders
     processed.
 
     Every top-level folder is taken, and its name is the bucket of its files. Objects are copied as
-    they are (see ``collate.copied_object``); a file that is not one JSON object is an error.
+    they are (see ``collate.copied_object``); a file that is not one JSON object is an error, or,
+    with ``strict=False``, a row of the folder's rejected files (:func:`rejected_files`).
     Pending folders are collated ``prefixes_per_job`` at a time: the driver only ever lists that
     share of the ~100 M files. A group is entered in the ledger (:func:`collation_ledger`) once all
     its buckets are committed; with ``resume`` only folders that are not in the ledger are pending.
@@ -96,18 +101,42 @@ def collate_tree(spark: SparkSession, raw_root: str, out: str, resume: bool = Tr
             records = raw_tree.read_raw_text(
                 spark, [os.path.join(raw_root, f) for f in group], folder_of=raw_root)
             tagged = collate.tagged_records(records, "_file_name", "_folder").drop("_folder")
-            lines = tagged.withColumn("line", F.when(
-                F.col("parse_type").isNotNull(), collate.copied_object("text", "file"))).drop(
-                "text", "file")
             storage.delete(spark, *_buckets(spark, out, group))
             # Written once, so that the range partitioner's two passes do not open raw files twice.
             with scratch_scope(spark):
-                written = materialize(lines, "collated-lines")
-                writers.write_collection(written.where("parse_type IS NOT NULL"), out)
+                if strict:
+                    written = materialize(_collated_lines(tagged), "collated-lines")
+                    taken = written.where("parse_type IS NOT NULL")
+                else:
+                    parts = quarantine.split(tagged, F.when(
+                        F.col("parse_type").isNotNull(), quarantine.not_an_object(F.col("text"))),
+                        "collation")
+                    written = parts.accepted
+                    taken = _collated_lines(written.where("parse_type IS NOT NULL"))
+                    if parts.n_rejected:
+                        parts.rejected.withColumnRenamed("prefix", "folder").select(
+                            "folder", "parse_type", "file", "text", "reason").write.mode(
+                            "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                            "folder").parquet(f"{out}/{REJECTED}")
+                writers.write_collection(taken, out)
                 _ledger_rows(written, group).write.mode("append").parquet(f"{out}/{LEDGER}")
     return folders
 
 
+def _collated_lines(tagged: DataFrame) -> DataFrame:
+    return tagged.withColumn("line", F.when(
+        F.col("parse_type").isNotNull(), collate.copied_object("text", "file"))).drop("text", "file")
+
+
+def rejected_files(spark: SparkSession, out: str) -> DataFrame:
+    """Files that collations with ``strict=False`` left out: ``folder``, ``parse_type``, ``file``,
+    ``text``, ``reason``. The ledger counts accepted files only."""
+    schema = "parse_type string, file string, text string, reason string, folder string"
+    if REJECTED not in storage.children(spark, out):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{out}/{REJECTED}")
+
+
 # JOB-2, JOB-3 ----------------------------------------------------------------------------------
 
 def _collection(spark: SparkSession, collection: str, schema, parse_type: str,
@@ -151,6 +180,8 @@ def extract_tables(spark: SparkSession, collection: str, out: str,
     mentions_in = {t: _collection(spark, collection, MENTION_JSON, t, repartition) for t in types}
 
     def write(df: DataFrame, name: str, path: str) -> None:
+        df = writers.with_table_comment(df, next(c for t, c in TABLE_COMMENTS.items()
+                                                 if name.startswith(t)))
         if table_prefix:
             writers.write_bucketed_table(df, f"{table_prefix}{name}", path,
                                          num_buckets=num_buckets)
@@ -200,18 +231,33 @@ def extract_tables(spark: SparkSession, collection: str, out: str,
 # JOB-4 -----------------------------------------------------------------------------------------
 
 def json_stats(spark: SparkSession, path: str, out: str | None = None,
-               name_pattern: str | None = None, mode: str = "FAILFAST") -> DataFrame:
+               name_pattern: str | None = None, mode: str = "FAILFAST",
+               rejected: str | None = None) -> DataFrame:
     """Profile of every leaf path in JSONL files, as ``path;summary`` lines sorted by path.
 
     Folders are read recursively; ``name_pattern`` is a regular expression on file names; a
     malformed line is an error unless ``mode`` is "PERMISSIVE". With ``out`` the report is written
     and the returned frame reads it back, so no scratch table stays; without it the frame reads
     scratch tables that belong to the caller (``session.scratch_scope``).
+    With ``rejected`` (a folder) nothing stops the job: malformed lines (``file``, ``value``,
+    ``reason``) go to ``<rejected>/lines``, and paths with more than one type to
+    ``<rejected>/conflicts``; the report has neither.
     """
     def build() -> DataFrame:
-        docs = jsonl.read_variant_lines(spark, path, "v", name_pattern, mode)
-        prof, enums = profile.document_parts(docs)
-        return profile.profile_summary(profile.raise_on_conflicts(prof), enums)
+        if rejected is None:
+            docs = jsonl.read_variant_lines(spark, path, "v", name_pattern, mode)
+            prof, enums = profile.document_parts(docs)
+            return profile.profile_summary(profile.raise_on_conflicts(prof), enums)
+        lines = jsonl.read_text_lines(spark, path, name_pattern).select(
+            F.col("_metadata.file_name").alias("file"), "value")
+        parts = quarantine.split(lines, F.when(F.try_parse_json("value").isNull(),
+                                               F.lit("malformed JSON")), "profile")
+        writers.write_table(parts.rejected, f"{rejected}/lines")
+        stats, typed, digested = profile.document_statistics(
+            profile.parse_documents(parts.accepted, "value"))
+        writers.write_table(profile.statistics_conflicts(stats), f"{rejected}/conflicts")
+        prof, enums = profile.statistics_parts(stats, typed, digested)
+        return profile.profile_summary(prof.where("kind != 'conflict'"), enums)
 
     if not out:
         return build()
@@ -289,11 +335,21 @@ def subsample(spark: SparkSession, folder: str, out: str, seed: int,
 # JOB-7, JOB-8 ----------------------------------------------------------------------------------
 
 def paper_id_convert(spark: SparkSession, path: str, out: str, keep_oa_link: bool = True,
-                     validate: bool = False) -> DataFrame | None:
-    """Identifier JSONL → typed Parquet; with ``validate`` returns the round-trip violations."""
+                     validate: bool = False, rejected: str | None = None) -> DataFrame | None:
+    """Identifier JSONL → typed Parquet; with ``validate`` returns the round-trip violations.
+    With ``rejected`` (a folder) records that do not convert are written there with the failing
+    field as ``reason``, instead of stopping the job."""
     records = jsonl.read_identifiers(spark, path)
-    writers.write_table(identifiers.typed_identifiers(records, keep_oa_link), out,
-                        compression="snappy")
+    with scratch_scope(spark):
+        if rejected is not None:
+            parts = quarantine.split(records, identifiers.violation_reason(), "identifiers")
+            writers.write_table(parts.rejected, rejected)
+            records = parts.accepted
+        writers.write_table(identifiers.typed_identifiers(records, keep_oa_link), out,
+                            compression="snappy")
+    if rejected is not None:
+        records = jsonl.read_identifiers(spark, path).where(
+            identifiers.violation_reason().isNull())
     if validate:
         keyed = records.withColumn("row_key", F.monotonically_increasing_id())
         return identifiers.roundtrip_violations(keyed)
@@ -338,27 +394,43 @@ def mentions_convert(spark: SparkSession, raw_root: str, out: str,
 
 # JOB-10 ----------------------------------------------------------------------------------------
 
-def sort_jsonl(spark: SparkSession, path: str, out: str, last_only: bool = False) -> None:
+def sort_jsonl(spark: SparkSession, path: str, out: str, last_only: bool = False,
+               rejected: str | None = None) -> None:
     """Sort JSONL records by the UUID in ``file``; optionally keep only the last record per UUID.
 
     Records of one UUID are ordered by file path, then by their place in the file (its block, and
-    the running number inside the block's task). A malformed line is an error.
+    the running number inside the block's task). A malformed line, or a record without a UUID, is an
+    error, or, with ``rejected`` (a folder), written there with its reason. Keyed lines are written
+    to scratch once: sorting, and looking for last records, read them twice.
     """
-    lines = spark.read.option("recursiveFileLookup", True).text(path).where("trim(value) != ''")
-    keyed = lines.select(F.parse_json("value").alias("v"),
-                         F.col("_metadata.file_path").alias("_src"),
-                         F.col("_metadata.file_block_start").alias("_block"),
-                         F.monotonically_increasing_id().alias("_pos"))
-    keyed = keyed.withColumn("_key", collate.uuid_sort_key(
-        F.variant_get("v", "$.file", "string")))
-    place = ["_src", "_block", "_pos"]
-    if last_only:
-        keyed = collate.last_by_key(keyed.withColumn("line", F.to_json("v")).drop("v"), "_key",
-                                    place, alias="_key")
-    else:
-        keyed = keyed.withColumn("line", F.to_json("v"))
-    ordered = keyed.orderBy("_key", *place).select(F.col("line").alias("value"))
-    ordered.write.mode("overwrite").option("compression", "gzip").text(out)
+    lines = jsonl.read_text_lines(spark, path).select(
+        "value", F.col("_metadata.file_path").alias("_src"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_pos"))
+    with scratch_scope(spark):
+        if rejected is not None:
+            value = F.try_parse_json("value")
+            key = collate.uuid_sort_key(F.try_variant_get(value, "$.file", "string"), strict=False)
+            parts = quarantine.split(lines, F.when(value.isNull(), F.lit("malformed JSON")).when(
+                key.isNull(), F.lit("no UUID in file")), "sort")
+            writers.write_table(parts.rejected.select(F.col("_src").alias("path"), "value",
+                                                      "reason"), rejected)
+            lines = parts.accepted
+        parsed = lines.select(F.parse_json("value").alias("v"), "_src", "_block", "_pos")
+        keyed = materialize(parsed.select(
+            collate.uuid_sort_key(F.variant_get("v", "$.file", "string")).alias("_key"),
+            F.to_json("v").alias("line"), "_src", "_block", "_pos"), "keyed-lines")
+        place = ["_src", "_block", "_pos"]
+        if last_only:
+            # One number for the place: the file's rank, the block's start and the row number.
+            ranks = dense_ids(keyed.select("_src").distinct(), ["_src"], "_rank")
+            parts = [F.col(c).cast("decimal(38,0)") for c in ("_rank", "_block", "_pos")]
+            at = (parts[0] * F.lit(1 << 40) + parts[1]) * F.lit(1 << 50) + F.pmod(
+                parts[2], F.lit(1 << 33))
+            keyed = collate.last_at(keyed.join(ranks, "_src").withColumn(
+                "_at", at.cast("decimal(38,0)")), "_key", "_at")
+        ordered = keyed.orderBy("_key", *place).select(F.col("line").alias("value"))
+        ordered.write.mode("overwrite").option("compression", "gzip").text(out)
 
 
 # JOB-11 ----------------------------------------------------------------------------------------

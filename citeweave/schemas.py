@@ -18,6 +18,11 @@ def _f(name: str, dtype: T.DataType, nullable: bool, comment: str) -> T.StructFi
 # ---------------------------------------------------------------------------------------------
 
 PAPERS_COMMENT = "One row per paper (source document) with bibliographic metadata."
+TABLE_COMMENTS = {
+    "papers": PAPERS_COMMENT,
+    "mentions": "One row per mention of software in a paper.",
+    "purpose_assessments": "Six rows per mention: how certain each purpose is, in each scope.",
+}
 
 PAPERS = T.StructType([
     _f("paper_id", T.LongType(), False, "Dense sequential id of the paper, starting at 1."),

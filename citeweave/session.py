@@ -87,14 +87,14 @@ def scratch_scope(spark: SparkSession):
         release_scratch(spark, *_SCOPES.pop())
 
 
-def write_scratch(df, name: str) -> str:
+def write_scratch(df, name: str, partition_by: list[str] | None = None) -> str:
     """Write ``df`` as Parquet under the shared checkpoint folder; return the path."""
     import uuid
 
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     if _SCOPES:
         _SCOPES[-1].append(path)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by or []).parquet(path)
     return path
 
 

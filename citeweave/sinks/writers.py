@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+TABLE_COMMENT = "table_comment"
+
+
 def write_collection(collated: DataFrame, out: str, mode: str = "overwrite",
                      num_partitions: int | None = None) -> None:
     """gzip JSONL under ``parse_type=<t>/prefix=<p>/``, rows in UUID order.
@@ -51,6 +54,10 @@ def write_bucketed_table(df: DataFrame, name: str, path: str, key: str = "paper_
     """
     (df.write.mode(mode).option("compression", compression).option("path", path)
      .bucketBy(num_buckets, key).sortBy(key).saveAsTable(name))
+    comment = comment_of_table(df)
+    if comment:
+        text = comment.replace("\\", "\\\\").replace("'", "\\'")
+        df.sparkSession.sql(f"COMMENT ON TABLE {name} IS '{text}'")
 
 
 def write_samples(sampled: DataFrame, out: str, sample_col: str = "sample",
@@ -91,6 +98,20 @@ def table_comment(df: DataFrame, column: str) -> str | None:
     return meta.get("comment") if meta else None
 
 
+def with_table_comment(df: DataFrame, comment: str) -> DataFrame:
+    """Attach a comment on the whole table. Spark keeps metadata by field only, so it is stored with
+    the first one, beside that column's own comment; it survives Parquet."""
+    first = df.schema.fields[0]
+    meta = {**(first.metadata or {}), TABLE_COMMENT: comment}
+    return df.select(F.col(first.name).alias(first.name, metadata=meta),
+                     *[F.col(c) for c in df.columns[1:]])
+
+
+def comment_of_table(df: DataFrame) -> str | None:
+    """The comment that :func:`with_table_comment` has stored, if any."""
+    return (df.schema.fields[0].metadata or {}).get(TABLE_COMMENT) if df.columns else None
+
+
 def with_comments(df: DataFrame, comments: dict[str, str]) -> DataFrame:
     """Attach column comments (kept in the Parquet schema metadata)."""
     return df.select(*[F.col(c).alias(c, metadata={"comment": comments[c]}) if c in comments

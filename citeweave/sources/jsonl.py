@@ -73,6 +73,14 @@ def read_collated(spark: SparkSession, path: str, schema: T.StructType,
     return df.withColumn("bucket", F.col("prefix")).drop("parse_type", "prefix")
 
 
+def read_text_lines(spark: SparkSession, path: str, name_pattern: str | None = None) -> DataFrame:
+    """Lines (``value``) that are not blank, of all files under ``path`` whose names match."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    if name_pattern is not None:
+        lines = lines.where(F.col("_metadata.file_name").rlike(name_pattern))
+    return lines.where(F.trim("value") != "")
+
+
 def read_variant_lines(spark: SparkSession, path: str, column: str = "v",
                        name_pattern: str | None = None, mode: str = "FAILFAST") -> DataFrame:
     """Schemaless scan: each JSON line as one VARIANT value (no inference pass, no widening).
@@ -80,10 +88,7 @@ def read_variant_lines(spark: SparkSession, path: str, column: str = "v",
     Folders are read recursively; ``name_pattern`` is a regular expression that file names must
     match. A malformed line is an error; with ``mode`` "PERMISSIVE" it becomes a null value.
     """
-    lines = spark.read.option("recursiveFileLookup", True).text(path)
-    if name_pattern is not None:
-        lines = lines.where(F.col("_metadata.file_name").rlike(name_pattern))
-    lines = lines.where(F.trim("value") != "")
+    lines = read_text_lines(spark, path, name_pattern)
     parse = F.parse_json if mode == "FAILFAST" else F.try_parse_json
     return lines.select(parse("value").alias(column))
 
