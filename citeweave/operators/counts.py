@@ -69,7 +69,10 @@ def zero_filled_counts(dimension: DataFrame, facts: DataFrame, key: str,
 
 def _pairs_in_owners(pairs: DataFrame, owner: str, item: str, left: str, right: str,
                      alias: str) -> DataFrame:
-    """Pair counts by a plain self-join on the owner (owners here hold a bounded item set)."""
+    """Pair counts by a plain self-join on the owner (owners here hold a bounded item set). The join
+    makes far more rows than it reads, so its tasks are not merged by their input's size."""
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = pairs.repartition(parts, owner)
     a = pairs.select(owner, F.col(item).alias(left))
     b = pairs.select(owner, F.col(item).alias(right))
     return (a.join(b, owner).where(F.col(left) < F.col(right))

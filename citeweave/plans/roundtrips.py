@@ -14,7 +14,7 @@ from citeweave.operators import collate, tables
 from citeweave.operators.keys import dense_ids
 from citeweave.plans import analogues as A
 from citeweave.plans import jobs
-from citeweave.session import scratch_path
+from citeweave.session import materialize, scratch_path, scratch_scope
 from citeweave.sinks import writers
 from citeweave.sources import jsonl
 from citeweave.sources import tables as table_sources
@@ -24,13 +24,15 @@ def _folder(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
-def _write_collection(spark: SparkSession, records: DataFrame, out: str, mode: str) -> None:
+def _write_collection(spark: SparkSession, records: DataFrame, out: str, mode: str,
+                      bucket_width: int = 2) -> None:
     """Records with a ``file`` name as a collated collection: objects copied, bucket by UUID."""
     fields = [c for c in records.columns if c not in ("file", "bucket")]
     text = records.select("file", F.to_json(F.struct(*fields)).alias("text"))
-    tagged = collate.collate_records(text, "file")
-    writers.write_collection(tagged.withColumn("line", collate.copied_object("text", "file"))
-                             .drop("text", "file"), out, mode)
+    tagged = collate.collate_records(text, "file", bucket_width=bucket_width)
+    lines = tagged.withColumn("line", collate.copied_object("text", "file")).drop("text", "file")
+    with scratch_scope(spark):
+        writers.write_collection(materialize(lines, "collection-lines"), out, mode)
 
 
 def collection_roundtrip(spark, d):
@@ -47,8 +49,8 @@ def collection_roundtrip(spark, d):
 def _extracted(spark, d) -> str:
     """Papers and mentions of the built analogues as a collection, and the job's tables."""
     coll, out = _folder(spark, "collection"), _folder(spark, "tables")
-    _write_collection(spark, A._paper_records(spark, d), coll, "overwrite")
-    _write_collection(spark, A._mention_records(spark, d), coll, "overwrite")
+    _write_collection(spark, A._paper_records(spark, d), coll, "overwrite", 1)
+    _write_collection(spark, A._mention_records(spark, d), coll, "overwrite", 1)
     jobs.extract_tables(spark, coll, out, "pdf")
     return out
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeweave.operators.collate import collate_records, copied_object
+from citeweave.session import materialize, scratch_scope
 from citeweave.sinks.writers import write_collection
 
 
@@ -44,7 +45,9 @@ def collate_stream(spark: SparkSession, raw_root: str, out: str, checkpoint: str
     lines = tagged.withColumn("line", copied_object("text", "file")).drop("text", "file")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_collection(batch, f"{out}/batch={batch_id}")
+        # Written once, so that the range partitioner's two passes do not open raw files twice.
+        with scratch_scope(spark):
+            write_collection(materialize(batch, "stream-lines"), f"{out}/batch={batch_id}")
 
     writer = lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:
