@@ -164,6 +164,23 @@ def _encoder(tokenizer_file: str) -> PieceEncoder:
     return PieceEncoder(tokenizer_file)
 
 
+def _cut(text: str) -> Iterator[str]:
+    """A text in parts of about SLICE_BYTES characters, cut where no piece goes across."""
+    begin = 0
+    while found := CUT.search(text, begin + SLICE_BYTES):
+        yield text[begin:found.start()]
+        begin = found.start()
+    yield text[begin:]
+
+
+def _encode_slice(encoder: PieceEncoder, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """``encoder.encode`` of a slice; a text longer than a slice is encoded part by part."""
+    if len(texts) > 1 or pc.binary_length(texts)[0].as_py() <= SLICE_BYTES:
+        return encoder.encode(texts)
+    ids = np.concatenate([encoder.encode(pa.array([part]))[0] for part in _cut(texts[0].as_py())])
+    return ids, np.array([len(ids)])
+
+
 def _slices(texts: pa.Array) -> Iterator[pa.Array]:
     """Runs of whole texts of about SLICE_BYTES."""
     sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -311,14 +328,16 @@ def write_token_shards(docs: DataFrame, tokenizer_file: str, out_dir: str, end_i
                 fs.create_dir(folder, recursive=True)
                 sink = fs.open_output_stream(draft)
                 writer, encoder = ShardWriter(sink, frame_ids), _encoder(tokenizer_file)
-            doc_ids, at = batch.column(0).to_pylist(), 0
-            texts = batch.column(1)
-            for some in _slices(texts.cast(pa.string())):
-                ids, lengths = encoder.encode(some)
+            doc_ids, at, some = batch.column(0).to_pylist(), 0, None
+            for some in _slices(batch.column(1).cast(pa.string())):
+                ids, lengths = _encode_slice(encoder, some)
                 # One end id behind each document.
                 ends = np.cumsum(lengths)
                 writer.add(doc_ids[at:at + len(some)], np.insert(ids, ends, end_id), lengths + 1)
                 at += len(some)
+            # The pool would keep the batch's pages for the rest of the worker's life.
+            del batch, some
+            pa.default_memory_pool().release_unused()
         if writer is not None:
             writer.close()
             sink.close()

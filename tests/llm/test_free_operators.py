@@ -275,6 +275,21 @@ def test_pieces_encode_like_whole_texts():
         assert ids.tolist() == [i for e in expected for i in e]
 
 
+def test_texts_over_a_slice_encode_like_whole_texts(monkeypatch):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_shards, "SLICE_BYTES", 7)
+    whole, encoder = Tokenizer.from_file(TOKENIZER), token_shards.PieceEncoder(TOKENIZER)
+    rng = random.Random(5)
+    alphabet = ["a", "Zé", " ", " ", "\n", "\t", ".", "!", "'s", "7", "\xa0", "\x00", "ß"]
+    for text in ODD_TEXTS + ["".join(rng.choices(alphabet, k=60)) for _ in range(200)]:
+        assert "".join(token_shards._cut(text)) == text
+        ids, lengths = token_shards._encode_slice(encoder, pa.array([text]))
+        expected = whole.encode(text, add_special_tokens=False).ids
+        assert ids.tolist() == expected and lengths.tolist() == [len(expected)]
+
+
 def test_shard_reads_only_frames_of_a_document():
     sink = io.BytesIO()
     writer = token_shards.ShardWriter(sink, frame_ids=10)
