@@ -41,7 +41,7 @@ from citeweave.session import scratch_path, write_scratch
 SKIPPABLE_MAGIC, SEEK_MAGIC = 0x184D2A5E, 0x8F92EAB1
 FRAME_IDS = 1 << 18
 # Text handled at once inside a task, and pieces remembered per Python worker.
-SLICE_BYTES, CACHE_PIECES = 2 << 20, 400_000
+SLICE_BYTES, CACHE_PIECES = 4 << 20, 600_000
 PUNCTUATION = ".,!?&%$*#|;:"
 # White space as the pre-tokenizer has it; cuts go in front of it, behind anything else.
 BLANKS = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000")
