@@ -6,7 +6,8 @@ neighbouring blocks of S shingles, S being the largest template of which a membe
 tenths, so every occurrence lies whole in some window. A window and a template meet when
 any of b MinHash values agree (bands of one row). b follows from the smallest Jaccard similarity
 that a window holding a match can have, so that such a pair is retrieved with probability at least
-1 - MISS. Every retrieved pair is verified by exact containment of the template's shingles.
+1 - MISS. A window is compared with the templates it met and no others: each such pair is verified
+by exact containment of the template's shingles.
 
 A window's minimum in a band equals the template's only if the window holds the very shingle at
 which the template takes it. Shingles are therefore screened against those few first, and minima
@@ -18,6 +19,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Sequence
+from itertools import accumulate, chain
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -90,39 +92,55 @@ def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES,
     bands = {block: bands_needed(min(len(t) for _, t in members), block, containment)
              for block, members in classes.items()}
     salts = _salts(spark, max(bands.values(), default=0))
-    # The shingle at which each template takes its minimum, by class and band.
-    least = {block: sorted({int(t[np.argmin(t ^ np.int64(salt))])
-                            for t in (np.array(hashes, np.int64) for _, hashes in members)
-                            for salt in salts[:bands[block]]})
+    # The shingle at which each template takes its minimum, by class, template and band.
+    least = {block: [[int(t[np.argmin(t ^ np.int64(salt))]) for salt in salts[:bands[block]]]
+                     for t in (np.array(hashes, np.int64) for _, hashes in members)]
              for block, members in classes.items()}
 
-    def retrieved(hashes: Column, screened: Column, block: int) -> Column:
-        """Start positions of windows that share a band with a template of the class."""
-        members, use = classes[block], salts[:bands[block]]
-        hits = F.filter(screened, lambda i: F.array_contains(_literal(least[block]),
-                                                                F.get(hashes, i)))
-        if block == 1:
-            return hits
-        blocks = F.array_distinct(F.transform(hits, lambda i: F.floor(i / block).cast("int")))
-        pairs = F.array_distinct(F.flatten(F.transform(blocks, lambda k: F.array(
-            F.greatest(k - 1, F.lit(0)), k))))
-        values = sorted({int((np.array(t, np.int64) ^ np.int64(salt)).min()) for _, t in members
-                         for salt in use})
-        return F.transform(F.filter(pairs, lambda k: let(
-            F.slice(hashes, k * block + 1, 2 * block), lambda window: F.arrays_overlap(
-                _minima(window, use), _literal(values)))), lambda k: k * block)
+    def met(window: Column, block: int) -> Column:
+        """Members of the class that agree with the window in a band, by their place in it."""
+        use = salts[:bands[block]]
+        minima = [[value ^ salt for value, salt in zip(row, use)] for row in least[block]]
+        flat = _literal(list(chain.from_iterable(minima)))
+        return let(_minima(window, use), lambda own: F.when(
+            F.arrays_overlap(own, flat),
+            F.filter(_places(len(minima)), lambda m: F.exists(
+                F.zip_with(own, F.slice(flat, m * len(use) + 1, len(use)), lambda x, y: x == y),
+                lambda same: same))))
+
+    def candidates(hashes: Column, screened: Column, block: int) -> Column:
+        """Where the windows begin that hold a shingle at which the class takes a minimum."""
+        hits = F.filter(screened, lambda i: F.array_contains(
+            _literal(sorted(set(chain.from_iterable(least[block])))), F.get(hashes, i)))
+        if block > 1:
+            blocks = F.array_distinct(F.transform(hits, lambda i: F.floor(i / block).cast("int")))
+            hits = F.transform(F.array_distinct(F.flatten(F.transform(blocks, lambda k: F.array(
+                F.greatest(k - 1, F.lit(0)), k)))), lambda k: k * block)
+        return hits
 
     def verified(hashes: Column, screened: Column, block: int) -> Column:
-        width = 1 if block == 1 else 2 * block
-        return F.flatten(F.transform(retrieved(hashes, screened, block), lambda at: let(
-            F.slice(hashes, at + 1, width), lambda window: F.array(*[
-                F.struct(F.lit(name).alias("license"), at.alias("at"),
-                         (F.size(F.array_intersect(_literal(t), window))
-                          / F.lit(float(len(t)))).alias("containment"))
-                for name, t in classes[block]]))))
+        """Containment of each template that a window met, in that window."""
+        width, members = 1 if block == 1 else 2 * block, classes[block]
+        names = F.array(*[F.lit(name) for name, _ in members])
+        flat = _literal(list(chain.from_iterable(t for _, t in members)))
+        ends = list(accumulate(len(t) for _, t in members))
+        starts, lengths = (_literal([0, *ends[:-1]]), _literal([len(t) for _, t in members]))
+
+        def contained(m: Column, window: Column, at: Column) -> Column:
+            n = F.get(lengths, m)
+            shingles = F.slice(flat, (F.get(starts, m) + 1).cast("int"), n.cast("int"))
+            return F.struct(F.get(names, m).alias("license"), at.alias("at"),
+                            (F.size(F.array_intersect(shingles, window)) / n.cast("double"))
+                            .alias("containment"))
+
+        return F.flatten(F.filter(F.transform(
+            candidates(hashes, screened, block), lambda at: let(
+                F.slice(hashes, at + 1, width), lambda window: F.transform(
+                    met(window, block), lambda m: contained(m, window, at)))),
+            lambda found: found.isNotNull()))
 
     # One test for all classes finds the few positions at which any template takes a minimum.
-    every = sorted(set().union(*least.values()))
+    every = sorted({value for rows in least.values() for row in rows for value in row})
 
     def all_classes(hashes: Column) -> Column:
         return let(F.filter(F.sequence(F.lit(0), F.size(hashes) - 1),
@@ -141,6 +159,10 @@ def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES,
                  F.min("match.at").cast("long").alias("first_word")))
 
 
+def _places(n: int) -> Column:
+    return F.sequence(F.lit(0), F.lit(n - 1))
+
+
 def _literal(hashes: Sequence[int]) -> Column:
     """A constant array; the optimizer folds it, and it takes one call however long it is."""
     return F.split(F.lit(",".join(map(str, hashes))), ",").cast("array<bigint>")

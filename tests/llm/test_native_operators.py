@@ -1,6 +1,7 @@
 """Decontamination, mixing, licenses and secrets on small cases and against brute force."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -107,6 +108,44 @@ def test_license_windows(spark, documents):
     assert licenses.scan(documents([])).count() == 0
 
 
+def test_windows_are_compared_with_the_templates_they_meet(documents):
+    """Random templates of one and of several size classes, planted whole, with words changed and
+    cut: the rows are those of brute force over the same windows."""
+    rnd = random.Random(6)
+    vocabulary = [f"w{k}" for k in range(60)]
+    templates = [(f"t{k}", " ".join(rnd.choices(vocabulary, k=rnd.randint(5, 90))))
+                 for k in range(40)]
+    texts = []
+    for k in range(60):
+        parts = [" ".join(rnd.choices(vocabulary, k=rnd.randint(0, 40))) for _ in range(3)]
+        for at in (1, 2):
+            found = rnd.choice(templates)[1].split()
+            if rnd.random() < 0.5:
+                found[rnd.randrange(len(found))] = "changed"
+            parts[at] = " ".join(found[:len(found) - rnd.choice([0, 0, 3])] + [parts[at]])
+        texts.append((k, " ".join(parts)))
+
+    def shingles(text):
+        w = text.split()
+        return [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
+
+    sets = {name: set(shingles(text)) for name, text in templates}
+    sizes = {len(s) for s in sets.values()}
+    expected = {}
+    for k, text in texts:
+        own = shingles(text)
+        for name, t in sets.items():
+            block = max(n for n in sizes if 6 * n <= 10 * len(t))
+            width = 1 if block == 1 else 2 * block
+            best = max((len(t & set(own[at:at + width])) / len(t)
+                        for at in range(0, len(own), block)), default=0)
+            if best >= licenses.CONTAINMENT:
+                expected[k, name] = best
+    got = {(r["id"], r["license"]): r["containment"]
+           for r in licenses.scan(documents(texts), templates).collect()}
+    assert got == expected and len(expected) > 60
+
+
 def test_usual_license_sentences_are_found(documents):
     gnu = "it under the terms of the GNU General Public License as published by the Free Software"
     cases = [

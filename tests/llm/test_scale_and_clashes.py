@@ -7,7 +7,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from citeweave.llm import language, line_dedup, mixing, pii, secrets
+from citeweave.llm import language, licenses, line_dedup, mixing, pii, secrets
 from citeweave.session import scratch_path
 
 ONE_MB = 1 << 20
@@ -218,3 +218,13 @@ def test_prompt_that_a_third_of_the_items_share(spark, limit):
     shared = sorted({f"item{k:04d}" for k in range(900) if k % 3})
     assert got[1]["item_ids"] == shared and got[2]["item_ids"] == shared
     assert (got[1]["n_hit"], got[2]["n_hit"], got[3]["n_hit"], got[4]["n_items"]) == (15, 17, 0, 0)
+
+
+def test_licenses_in_long_texts(spark, documents):
+    """A text that holds one notice at its far end, and one that is nothing but notices."""
+    notice = "This work is licensed under the GNU General Public License, version 3. "
+    rows = documents([(1, "word " * 200_000 + notice), (2, notice * 8000), (3, "1 " * ONE_MB)])
+    begin = time.time()
+    got = {(r["id"], r["license"]): r["containment"] for r in licenses.scan(rows).collect()}
+    assert time.time() - begin < 60
+    assert got[1, "GPL-3.0"] == got[2, "GPL-3.0"] == 1.0 and 3 not in {k for k, _ in got}
