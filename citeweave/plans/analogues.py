@@ -393,10 +393,13 @@ def last_by_key(spark, d):
 
 def _slim_records(spark, d):
     """Documents as per-paper mention files: the file is named by the document's UUID and each
-    line is a mention whose software name is the whole line."""
+    line is a mention whose software name is the whole line. Every document has a second file
+    whose name holds no UUID; none of its mentions may come through."""
     recs = _documents_as_records(spark, d)
+    names = F.array(_uuid_of(F.col("doc_id")), F.concat(F.lit("draft-"), F.col("doc_id")))
     return slim.slim_mentions(recs.select(
-        F.concat(_uuid_of(F.col("doc_id")), F.lit(".software.json")).alias("_file_name"),
+        F.explode(F.transform(names, lambda n: F.concat(n, F.lit(".software.json"))))
+        .alias("_file_name"),
         F.transform("lines", lambda ln: F.struct(F.struct(
             ln.alias("normalizedForm"),
             F.lit(None).cast("string").alias("wikidataId")).alias("software-name")))
