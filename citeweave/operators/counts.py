@@ -11,6 +11,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from citeweave.operators import pair_tiles
 from citeweave.operators.keys import dense_ids
 from citeweave.schemas import DEFAULT_MIN_SUPPORT, GENERIC_SOFTWARE_NAMES
 from citeweave.session import materialize
@@ -106,6 +107,45 @@ def _pairs_in_blocks(pairs: DataFrame, owner: str, item: str, block_size: int, l
             .groupBy(left, right).agg(F.count(F.lit(1)).alias(alias)))
 
 
+# Items up to which the dictionary is sent to every executor instead of shuffling rows to it.
+BROADCAST_ITEMS = 500_000
+
+
+def _encoded_counts(df: DataFrame, owner: str, item: str, stop_list: Iterable | None,
+                    min_item_support: int, threshold: int, left: str, right: str,
+                    alias: str) -> DataFrame:
+    """Pair counts with items as integers, counted in tiles of the pair matrix.
+
+    An item with fewer rows than ``min_item_support`` cannot have as many owners, so only the others
+    are numbered (by falling number of rows) and no other row is shuffled. The set of codes of every
+    owner is written once to the shared checkpoint folder; an item's support is its number of sets.
+    The pairs of an owner, however many items it holds, are never rows (see ``pair_tiles``); only
+    those that reach the threshold are decoded.
+    """
+    if stop_list:
+        df = df.where(~F.col(item).isin(list(stop_list)))
+    often = materialize(df.where(F.col(item).isNotNull()).groupBy(item).agg(
+        F.count(F.lit(1)).alias("_s")).where(F.col("_s") >= min_item_support), "frequent-items")
+    n_items = often.count()
+    small = F.broadcast if n_items <= BROADCAST_ITEMS else lambda codes: codes
+    codes = dense_ids(often, [F.desc("_s"), F.asc(item)], "_code", start=0).select(
+        F.col(item).alias("_name"), F.col("_code").cast("int").alias("_code"))
+    coded = df.select(owner, F.col(item).alias("_name")).join(small(codes), "_name")
+    sets = materialize(pair_tiles.packed_sets(coded, owner, "_code"), "owner-item-codes")
+    support = materialize(
+        sets.select(F.explode("codes").alias("_code")).groupBy("_code")
+        .agg(F.count(F.lit(1)).alias("_s")).join(codes, "_code"), "item-support")
+    n_members = support.agg(F.sum("_s")).first()[0] or 0
+    names = support.where(F.col("_s") >= min_item_support).select("_code", "_name")
+    # A null owner counts as one for an item's support, but joins no owner, so it has no pairs.
+    counts = pair_tiles.pair_counts(sets.where(F.col(owner).isNotNull()), n_items, n_members,
+                                    threshold, left, right, alias)
+    a, b = (small(names.select(F.col("_code").alias(c), F.col("_name").alias(n)))
+            for c, n in ((left, "_a"), (right, "_b")))
+    return counts.join(a, left).join(b, right).select(
+        F.least("_a", "_b").alias(left), F.greatest("_a", "_b").alias(right), alias)
+
+
 def co_occurrence_counts(df: DataFrame, owner: str = "paper_id",
                          item: str = "software_normalized",
                          stop_list: Iterable | None = tuple(GENERIC_SOFTWARE_NAMES),
@@ -132,25 +172,20 @@ def co_occurrence_counts(df: DataFrame, owner: str = "paper_id",
          (see :func:`_pairs_in_blocks`), so a heavy owner is spread over many tasks.
     3. Pair counts are pre-aggregated in each task before the shuffle on the pair.
 
-    Items that are texts (or with ``encode``) go through all of this as integers: a dictionary
-    numbers the supported items by falling support, and only the result is decoded. It needs an
-    item threshold, without which the dictionary would hold every item there is.
+    Items that are texts (or with ``encode``) go another way, see :func:`_encoded_counts`. It needs
+    an item threshold, without which the dictionary would hold every item there is.
     """
-    pairs = owner_item_set(df, owner, item, stop_list)
-    codes = None
     if min_item_support and min_item_support > 1:
-        supported = (pairs.groupBy(item).agg(F.count(F.lit(1)).alias("_s"))
-                     .where(F.col("_s") >= min_item_support))
         if encode is None:
             encode = df.schema[item].dataType.simpleString() == "string"
         if encode:
-            supported = materialize(supported, "supported-items")
-            codes = dense_ids(supported, [F.desc("_s"), F.asc(item)], "_code").select(
-                F.col(item).alias("_name"), F.col("_code").cast("int").alias("_code"))
-            pairs = pairs.join(codes.withColumnRenamed("_name", item), item).select(owner, "_code")
-            item = "_code"
-        else:
-            pairs = pairs.join(supported.select(item), item, "left_semi")
+            return _encoded_counts(df, owner, item, stop_list, min_item_support,
+                                   min_pair_support or 0, left, right, alias)
+    pairs = owner_item_set(df, owner, item, stop_list)
+    if min_item_support and min_item_support > 1:
+        supported = (pairs.groupBy(item).agg(F.count(F.lit(1)).alias("_s"))
+                     .where(F.col("_s") >= min_item_support))
+        pairs = pairs.join(supported.select(item), item, "left_semi")
     if materialize_pairs:
         pairs = materialize(pairs, "co-occurrence-pairs")
 
@@ -177,12 +212,7 @@ def co_occurrence_counts(df: DataFrame, owner: str = "paper_id",
         counts = _pairs_in_blocks(pairs, owner, item, block_size, left, right, alias)
     if threshold:
         counts = counts.where(F.col(alias) >= threshold)
-    if codes is None:
-        return counts
-    a, b = (codes.select(F.col("_code").alias(c), F.col("_name").alias(n))
-            for c, n in ((left, "_a"), (right, "_b")))
-    return counts.join(a, left).join(b, right).select(
-        F.least("_a", "_b").alias(left), F.greatest("_a", "_b").alias(right), alias)
+    return counts
 
 
 def ranked_counts(counts_df: DataFrame, name: str, alias: str = "n") -> DataFrame:
