@@ -13,6 +13,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from citeweave import storage
 from citeweave.operators import (analyses, collate, counts, identifiers, profile, quarantine,
@@ -27,12 +28,20 @@ from citeweave.session import materialize, scratch_scope, write_scratch
 
 
 def _folder_groups(spark: SparkSession, raw_root: str, size: int) -> list[list[str]]:
-    """Top-level folders of the raw tree, whatever their names, in groups of ``size``: one job per
-    group keeps the driver's file listing to that share of the tree."""
+    """Top-level folders of the raw tree, whatever their names, in groups of ``size``."""
     dirs = [n for n, is_dir in storage.entries(spark, raw_root) if is_dir]
     return [dirs[i:i + size] for i in range(0, len(dirs), size)]
 
 
+def _raw_texts(spark: SparkSession, raw_root: str, folders: Sequence[str], glob: str,
+               open_cost_bytes: int = 64 * 1024) -> DataFrame:
+    """Whole texts of the files in these folders; Spark lists a storage only it can open."""
+    if raw_tree.can_walk(spark, raw_root):
+        return raw_tree.read_walked_text(spark, raw_root, folders, glob, open_cost_bytes)
+    return raw_tree.read_raw_text(spark, [os.path.join(raw_root, f) for f in folders], glob,
+                                  folder_of=raw_root)
+
+
 # JOB-1 -----------------------------------------------------------------------------------------
 
 LEDGER, REJECTED = "_ledger", "_rejected"
@@ -79,8 +88,8 @@ def collate_tree(spark: SparkSession, raw_root: str, out: str, resume: bool = Tr
     Every top-level folder is taken, and its name is the bucket of its files. Objects are copied as
     they are (see ``collate.copied_object``); a file that is not one JSON object is an error, or,
     with ``strict=False``, a row of the folder's rejected files (:func:`rejected_files`).
-    Pending folders are collated ``prefixes_per_job`` at a time: the driver only ever lists that
-    share of the ~100 M files. A group is entered in the ledger (:func:`collation_ledger`) once all
+    Pending folders are collated ``prefixes_per_job`` at a time; tasks list and read the ~100 M
+    files (``raw_tree.read_walked_text``), so no listing goes through the driver. A group is entered in the ledger (:func:`collation_ledger`) once all
     its buckets are committed; with ``resume`` only folders that are not in the ledger are pending.
     So a run that broke between two buckets is redone for its whole group, and a folder that lacks
     some parse type, or holds nothing to collate, is done all the same. Buckets of a pending folder
@@ -98,12 +107,11 @@ def collate_tree(spark: SparkSession, raw_root: str, out: str, resume: bool = Tr
     with raw_tree.many_small_files(spark, open_cost_bytes):
         for start in range(0, len(folders), prefixes_per_job):
             group = folders[start:start + prefixes_per_job]
-            records = raw_tree.read_raw_text(
-                spark, [os.path.join(raw_root, f) for f in group], folder_of=raw_root)
-            tagged = collate.tagged_records(records, "_file_name", "_folder").drop("_folder")
             storage.delete(spark, *_buckets(spark, out, group))
             # Written once, so that the range partitioner's two passes do not open raw files twice.
             with scratch_scope(spark):
+                records = _raw_texts(spark, raw_root, group, "*.json", open_cost_bytes)
+                tagged = collate.tagged_records(records, "_file_name", "_folder").drop("_folder")
                 if strict:
                     written = materialize(_collated_lines(tagged), "collated-lines")
                     taken = written.where("parse_type IS NOT NULL")
@@ -373,17 +381,22 @@ def mentions_convert(spark: SparkSession, raw_root: str, out: str,
                      prefixes_per_job: int = 8, counts_out: str | None = None) -> DataFrame:
     """Per-paper mention files → slim mention table; returns name occurrence counts (desc).
 
-    The tree is read one group of prefix folders per job (bounded driver listing); each group
-    appends its part of the table. With ``counts_out`` the ``name;count`` report is written too.
+    The tree is read one group of prefix folders per job, listed in tasks; each group appends its
+    part of the table. With ``counts_out`` the ``name;count`` report is written too.
     """
     mode = "overwrite"
     with raw_tree.many_small_files(spark):
         for group in _folder_groups(spark, raw_root, prefixes_per_job):
-            records = raw_tree.read_raw_tree(spark, [os.path.join(raw_root, p) for p in group],
-                                             MENTION_JSON, glob="*" + parse_suffix)
-            records = records.where(F.col("_file_name").endswith(parse_suffix)
+            with scratch_scope(spark):
+                texts = _raw_texts(spark, raw_root, group, "*" + parse_suffix)
+                texts = texts.where(F.col("_file_name").endswith(parse_suffix)
                                     & (F.length(F.col("_file_name")) == 36 + len(parse_suffix)))
-            writers.write_table(slim.slim_mentions(records), out, compression="snappy", mode=mode)
+                # As the file reader does: a byte order mark is no text, an array is many records.
+                objects = F.from_json(F.regexp_replace("text", "^\ufeff", ""),
+                                      T.ArrayType(MENTION_JSON), {"mode": "FAILFAST"})
+                records = texts.select("_file_name", F.inline(objects))
+                writers.write_table(slim.slim_mentions(records), out, compression="snappy",
+                                    mode=mode)
             mode = "append"
     ranked = counts.ranked_counts(slim.name_occurrences(spark.read.parquet(out)),
                                   "normalized_form")
@@ -440,16 +453,22 @@ def residual_report(spark: SparkSession, raw_root: str, out: str | None = None,
     """Files under the raw tree that match no parse pattern (listing only; nothing is deleted).
 
     Without ``out`` the tree is listed in one job (small trees). With ``out`` each group of prefix
-    folders is listed by its own job and appended to ``out`` as (path, name, length), so the
-    driver never holds the whole listing; files directly under the root come from the root
+    folders is listed by its own jobs, in tasks, and appended to ``out`` as (path, name, length), so
+    the driver never holds a listing; files directly under the root come from the root
     listing (their length is not read).
     """
     if out is None:
         return collate.residual_files(raw_tree.list_files(spark, raw_root), "name")
     mode = "overwrite"
     for group in _folder_groups(spark, raw_root, prefixes_per_job):
-        listing = raw_tree.list_files(spark, [os.path.join(raw_root, p) for p in group])
-        collate.residual_files(listing, "name").write.mode(mode).parquet(out)
+        with scratch_scope(spark):
+            if raw_tree.can_walk(spark, raw_root):
+                listing = raw_tree.walked_files(spark, raw_root, group).select(
+                    F.concat(F.lit(f"{storage.qualified(spark, raw_root).rstrip('/')}/"), "rel")
+                    .alias("path"), F.substring_index("rel", "/", -1).alias("name"), "length")
+            else:
+                listing = raw_tree.list_files(spark, [os.path.join(raw_root, p) for p in group])
+            collate.residual_files(listing, "name").write.mode(mode).parquet(out)
         mode = "append"
     loose = [(os.path.join(raw_root, n), n) for n, is_dir in storage.entries(spark, raw_root)
              if not is_dir]

@@ -28,6 +28,18 @@ def uri_path(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(hpath).toUri().getPath()
 
 
+def uri(spark: SparkSession, path: str) -> str:
+    """The path with its scheme and authority, special characters in per cent form."""
+    fs, hpath = _at(spark, path)
+    return fs.makeQualified(hpath).toUri().toString()
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The same as plain text, as Spark shows the paths of files."""
+    fs, hpath = _at(spark, path)
+    return fs.makeQualified(hpath).toString()
+
+
 def create_file(spark: SparkSession, path: str, text: str) -> None:
     """A small text file that must not exist yet: of two writers only one succeeds."""
     fs, hpath = _at(spark, path)
