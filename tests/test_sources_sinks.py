@@ -71,3 +71,26 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
         "HashAggregate")[0]
     want = {(i % 2000, str(i % 7)) for i in range(8000) if (i % 2000) % 30 + 1990 >= 2010}
     assert {(r.paper_id, r.software) for r in joined.collect()} == want
+
+
+def test_tables_and_collections_take_the_fast_gzip(spark, tmp_path):
+    rows = spark.range(0, 20_000, 1, 1).selectExpr(
+        "'paper' AS parse_type", "'ab' AS prefix", "lpad(id, 36, '0') AS uuid",
+        "concat('a line of text, ', sha2(string(id), 256), ', and words: ', id % 97) AS line")
+
+    def size(folder):
+        return sum(f.stat().st_size for f in (tmp_path / folder).rglob("part-*"))
+
+    fast, slow = (rows.write.option("compression", "gzip").option("zlib.compress.level", level)
+                  for level in ("BEST_SPEED", "DEFAULT_COMPRESSION"))
+    fast.parquet(str(tmp_path / "fast"))
+    slow.parquet(str(tmp_path / "slow"))
+    writers.write_table(rows, str(tmp_path / "table"))
+    assert size("table") == size("fast") > size("slow")
+    writers.write_collection(rows, str(tmp_path / "collection"), num_partitions=1)
+    lines = rows.select("line").sort("line").coalesce(1)
+    rows.sort("uuid").select("line").coalesce(1).write.option("compression", "gzip").text(
+        str(tmp_path / "plain"))
+    assert size("collection") > size("plain")
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "collection")).collect()) == [
+        r.line for r in lines.collect()]
